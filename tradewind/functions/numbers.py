@@ -12,7 +12,7 @@ def ratio_half_up(numerator: Column, denominator: Column, scale: int) -> Column:
     Whole-number arithmetic, so no intermediate rounding can tip a value over a half.
     """
     unit = 10**scale
-    twice = F.try_add(numerator * F.lit(2 * unit), denominator)
-    steps = F.call_function("div", twice, denominator * 2)
-    value = (steps.cast("decimal(20,0)") / F.lit(unit).cast("decimal(10,0)")).cast("decimal(20,2)")
-    return F.when(denominator == 0, F.lit(0).cast("decimal(20,2)")).otherwise(value)
+    divisor = F.nullif(denominator, F.lit(0))
+    steps = F.call_function("div", numerator * F.lit(2 * unit) + divisor, divisor * 2)
+    value = steps.cast("decimal(20,0)") / F.lit(unit).cast("decimal(10,0)")
+    return F.coalesce(value.cast("decimal(20,2)"), F.lit(0).cast("decimal(20,2)"))
