@@ -12,10 +12,14 @@ from pyspark.sql import functions as F
 
 from tradewind.functions.times import day_text, is_blank
 
-ENTRY = is_blank("last_page_id")
 SLICES_PER_WINDOW = 6
 
 
+def is_entry() -> Column:
+    """A page nobody came from inside the app: the start of a session."""
+    return is_blank("last_page_id")
+
+
 def repair_new_flag(
     df: DataFrame, visitor: str = "mid", flag: str = "is_new", order: tuple[str, ...] = ("ts", "seq")
 ) -> DataFrame:
@@ -45,14 +49,14 @@ def daily_unique(
     pages: DataFrame,
     visitor: str = "mid",
     order: tuple[str, ...] = ("ts", "seq"),
-    entry: Column = ENTRY,
+    entry: Column | None = None,
 ) -> DataFrame:
     """First entry page per visitor and calendar day, with the day as ``dt``.
 
     ``row_number() = 1`` runs as a group limit before the shuffle: each task sends at most one row
     per visitor and day.
     """
-    entries = pages.filter(entry).withColumn("dt", day_text("ts"))
+    entries = pages.filter(is_entry() if entry is None else entry).withColumn("dt", day_text("ts"))
     w = Window.partitionBy(visitor, "dt").orderBy(*order)
     return entries.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
 
@@ -81,7 +85,7 @@ def bounces(
     visitor: str = "mid",
     ts: str = "ts",
     tie: str = "seq",
-    entry: Column = ENTRY,
+    entry: Column | None = None,
 ) -> DataFrame:
     """Entry pages that were not followed up, with ``kind`` telling why.
 
@@ -90,7 +94,8 @@ def bounces(
     within it.
     """
     slice_ms = slice_ms or SLICES_PER_WINDOW * within_ms
-    sliced = time_slices(pages.withColumn("__entry", entry), within_ms, slice_ms, ts)
+    marked = pages.withColumn("__entry", is_entry() if entry is None else entry)
+    sliced = time_slices(marked, within_ms, slice_ms, ts)
     w = Window.partitionBy(visitor, "slice").orderBy(ts, tie)
     soon = F.coalesce(F.lead(ts).over(w) - F.col(ts) < within_ms, F.lit(False))
     decided = sliced.select(

@@ -5,36 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tradewind.functions.json_text import MAP, as_object, part
 from tradewind.functions.times import is_blank
 from tradewind.operators.visits import repair_new_flag
 
-_MAP = "map<string,string>"
-
 
 def parse(lines: DataFrame) -> DataFrame:
-    """Parse each ``value`` once into a map of its top-level fields; null if it is no JSON object."""
-    return lines.withColumn("fields", F.from_json("value", _MAP))
+    """Parse each ``value`` once; ``line`` is null if it is no JSON object."""
+    return lines.withColumn("line", as_object("value"))
 
 
 def dirty(lines: DataFrame) -> DataFrame:
     """Lines that are no JSON object, unchanged."""
-    return parse(lines).filter(F.col("fields").isNull()).select("value")
+    return parse(lines).filter(F.col("line").isNull()).select("value")
 
 
 def clean(lines: DataFrame) -> DataFrame:
     """Lines that are JSON objects, opened up; unknown fields of each part stay in its map."""
-    fields = parse(lines).filter(F.col("fields").isNotNull())
-    part = fields.select(
-        "seq",
-        F.from_json(F.col("fields")["common"], _MAP).alias("common"),
-        F.col("fields")["start"].alias("start"),
-        F.from_json(F.col("fields")["page"], _MAP).alias("page"),
-        F.from_json(F.col("fields")["displays"], f"array<{_MAP}>").alias("displays"),
-        F.expr("try_cast(fields['ts'] AS BIGINT)").alias("ts"),
-    )
-    return part.select(
-        "seq", F.col("common")["mid"].alias("mid"), F.col("common")["is_new"].alias("is_new"),
-        "common", "start", "page", "displays", "ts",
+    return (
+        parse(lines)
+        .filter(F.col("line").isNotNull())
+        .select(
+            "seq",
+            part("line", "common.mid", "string").alias("mid"),
+            part("line", "common.is_new", "string").alias("is_new"),
+            part("line", "common", MAP).alias("common"),
+            part("line", "start", "string").alias("start"),
+            part("line", "page", MAP).alias("page"),
+            part("line", "displays", f"array<{MAP}>").alias("displays"),
+            part("line", "ts", "bigint").alias("ts"),
+        )
     )
 
 
@@ -47,7 +47,7 @@ def put_flag(events: DataFrame) -> DataFrame:
     """Write the ``is_new`` column back into ``common``."""
     others = F.map_filter("common", lambda key, _: key != "is_new")
     flag = F.when(F.col("is_new").isNotNull(), F.create_map(F.lit("is_new"), F.col("is_new")))
-    return events.withColumn("common", F.map_concat(others, F.coalesce(flag, F.create_map().cast(_MAP))))
+    return events.withColumn("common", F.map_concat(others, F.coalesce(flag, F.create_map().cast(MAP))))
 
 
 def starts(events: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.functions.times import at_ms
-from tradewind.operators.visits import ENTRY
+from tradewind.operators.visits import is_entry
 from tradewind.operators.windows import SIZE, tumble, with_watermark
 from tradewind.schemas import VISITOR_STATS_COLUMNS
 
@@ -39,7 +39,7 @@ def visitor_stats(
     views = _rows(
         pages,
         pv_ct=one,
-        sv_ct=F.when(ENTRY, 1).otherwise(0),
+        sv_ct=F.when(is_entry(), 1).otherwise(0),
         dur_sum=F.coalesce("during_time", F.lit(0)),
     )
     union = views.unionByName(_rows(unique_visits, uv_ct=one)).unionByName(_rows(jumps, uj_ct=one))

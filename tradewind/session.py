@@ -10,6 +10,8 @@ from pyspark.sql import SparkSession
 # cluster's business: adaptive execution coalesces small partitions and splits skewed ones.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    # A repeated JSON key takes its last value instead of spoiling the line.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

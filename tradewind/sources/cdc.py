@@ -5,22 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tradewind.functions.json_text import MAP, text_map
 from tradewind.schemas import CDC_CHANGE
 
-_MAP = "map<string,string>"
-
 
 def normalise(records: DataFrame) -> DataFrame:
     """Capture records to changes: database and table from ``server.database.table``, absent rows as
     empty maps, operation in lower case with ``create`` called ``insert``."""
     path = F.split("topic", "\\.")
     op = F.lower("op")
-    empty = F.create_map().cast(_MAP)
+    empty = F.create_map().cast(MAP)
     return records.select(
         path[1].alias("database"),
         path[2].alias("table"),
-        F.coalesce(F.from_json("before", _MAP), empty).alias("before"),
-        F.coalesce(F.from_json("after", _MAP), empty).alias("after"),
+        F.coalesce(text_map("before"), empty).alias("before"),
+        F.coalesce(text_map("after"), empty).alias("after"),
         F.when(op == "create", "insert").otherwise(op).alias("operation"),
         "seq",
     )
