@@ -160,6 +160,29 @@ _FINAL = {
         GROUP BY keyword ORDER BY sum(ct) DESC, keyword LIMIT 20""",
 }
 
+# Append mode holds back windows and timers the watermark has not passed: the latest event time
+# minus the delay of the job.
+_STREAMS = {
+    "stream_new_flag": _FINAL["log_is_new_fix"],
+    "stream_uv_daily": "SELECT dt, mid FROM uv",
+    "stream_jump_detail": """
+        SELECT mid, seq, ts, page_id, kind FROM jumps
+        WHERE (ts // 21600000 + 1) * 21600000 + 3600000 <= (SELECT max(ts) - 1000 FROM page_log)""",
+    "stream_order_wide": """
+        SELECT order_id, detail_id, sku_id, split_total_amount, create_time, name AS province_name
+        FROM order_facts LEFT JOIN dim_province p ON p.id = CAST(province_id AS VARCHAR)""",
+    "stream_visitor_stats": """
+        SELECT * FROM visitor_stats
+        WHERE (ts // 10000 + 1) * 10000 <= (SELECT max(ts) - 11000 FROM visitor_rows)""",
+    "stream_product_stats": """
+        SELECT * FROM product_stats
+        WHERE (ts // 10000 + 1) * 10000 <= (SELECT max(ts) - 1000 FROM activity)""",
+    "stream_province_stats": """
+        SELECT * FROM province_stats
+        WHERE (ts // 10000 + 1) * 10000 <= (SELECT max(s) * 1000 - 1000 FROM order_wide)""",
+    "stream_dim_upsert": _FINAL["dim_upsert"],
+}
+
 
 def statements() -> dict[str, str]:
-    return {name: sql(final) for name, final in _FINAL.items()}
+    return {name: sql(final) for name, final in {**_FINAL, **_STREAMS}.items()}

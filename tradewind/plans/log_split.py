@@ -20,24 +20,40 @@ def dirty(lines: DataFrame) -> DataFrame:
     return parse(lines).filter(F.col("line").isNull()).select("value")
 
 
-def clean(lines: DataFrame) -> DataFrame:
-    """Lines that are JSON objects, opened up; unknown fields of each part stay in its map."""
+def heads(lines: DataFrame) -> DataFrame:
+    """Lines that are JSON objects, with what the new-visitor repair needs."""
     return (
         parse(lines)
         .filter(F.col("line").isNotNull())
         .select(
             "seq",
+            "value",
+            "line",
             part("line", "common.mid", "string").alias("mid"),
             part("line", "common.is_new", "string").alias("is_new"),
-            part("line", "common", MAP).alias("common"),
-            part("line", "start", "string").alias("start"),
-            part("line", "page", MAP).alias("page"),
-            part("line", "displays", f"array<{MAP}>").alias("displays"),
             part("line", "ts", "bigint").alias("ts"),
         )
     )
 
 
+def open_parts(events: DataFrame) -> DataFrame:
+    """The parts of each parsed line; fields nobody listed stay in the map of their part."""
+    return events.select(
+        "seq",
+        "mid",
+        "is_new",
+        part("line", "common", MAP).alias("common"),
+        part("line", "start", "string").alias("start"),
+        part("line", "page", MAP).alias("page"),
+        part("line", "displays", f"array<{MAP}>").alias("displays"),
+        "ts",
+    )
+
+
+def clean(lines: DataFrame) -> DataFrame:
+    return open_parts(heads(lines))
+
+
 def repaired(lines: DataFrame) -> DataFrame:
     """Clean lines with the new-visitor flag repaired."""
     return put_flag(repair_new_flag(clean(lines)))

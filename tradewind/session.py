@@ -6,6 +6,9 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+# The keyed-state operators need a state store with several column families.
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 # Settings that can change on a running session. Sizes (shuffle partitions, memory) stay the
 # cluster's business: adaptive execution coalesces small partitions and splits skewed ones.
 RUNTIME_CONF = {
@@ -17,12 +20,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A hot join key is split even where that costs one more exchange further up.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
 }
 
-# The keyed-state operators need a state store with several column families.
-ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-STATE_STORE_CONF = "spark.sql.streaming.stateStore.providerClass"
-
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else created."""
@@ -35,7 +35,7 @@ def build(app_name: str, master: str | None = None, **conf: str) -> SparkSession
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_CONF, STATE_STORE_CONF: ROCKSDB_PROVIDER, **conf}.items():
+    for key, value in {**RUNTIME_CONF, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
