@@ -14,7 +14,7 @@ from tradewind.functions.words import latin_words, split_words
 from tradewind.operators import routing, upsert, visits
 from tradewind.operators.enrichment import enrich, product_dim
 from tradewind.operators.intervals import interval_join
-from tradewind.operators.windows import tumble_distinct
+from tradewind.operators.windows import in_day, tumble_distinct
 from tradewind.plans import (
     keyword_stats,
     log_split,
@@ -70,6 +70,15 @@ def visitors(t: SampleTables) -> DataFrame:
     return visitor_stats.visitor_stats(t.page_log(), visits.daily_unique(t.page_log()), jumps(t))
 
 
+def visitors_of_day(t: SampleTables, day: str) -> DataFrame:
+    """Visitor statistics of one day: bounces look one bounce time past its end, the rest not at all."""
+    pages = t.page_log().withColumn("time", F.timestamp_millis("ts"))
+    today = in_day(pages, "time", day)
+    ahead = in_day(pages, "time", day, f"{JUMP_MS // 1000} seconds")
+    bounced = visits.bounces(ahead, within_ms=JUMP_MS)
+    return visitor_stats.visitor_stats(today, visits.daily_unique(today), bounced, day=day)
+
+
 def product_activity(t: SampleTables) -> DataFrame:
     facts = order_facts(t)
     return product_stats.activity(
@@ -78,20 +87,21 @@ def product_activity(t: SampleTables) -> DataFrame:
     )
 
 
-def products_by_window(t: SampleTables) -> DataFrame:
-    return product_stats.product_stats(product_activity(t))
+def products_by_window(t: SampleTables, day: str | None = None) -> DataFrame:
+    return product_stats.product_stats(product_activity(t), day=day)
 
 
-def products_named(t: SampleTables) -> DataFrame:
-    return product_stats.with_product(products_by_window(t), products(t))
+def products_named(t: SampleTables, day: str | None = None) -> DataFrame:
+    return product_stats.with_product(products_by_window(t, day), products(t))
 
 
-def provinces(t: SampleTables) -> DataFrame:
-    return province_stats.province_stats(order_wide.with_province(order_facts(t), t.dim_province()))
+def provinces(t: SampleTables, day: str | None = None) -> DataFrame:
+    wide = order_wide.with_province(order_facts(t), t.dim_province())
+    return province_stats.province_stats(wide, day=day)
 
 
-def keywords(t: SampleTables) -> DataFrame:
-    return keyword_stats.keyword_stats(t.search_pages(), source=F.col("source"))
+def keywords(t: SampleTables, day: str | None = None) -> DataFrame:
+    return keyword_stats.keyword_stats(t.search_pages(), source=F.col("source"), day=day)
 
 
 def routed(t: SampleTables) -> DataFrame:
@@ -309,7 +319,7 @@ def visitor_stats_rows(t: SampleTables) -> DataFrame:
 @query
 def product_click_display(t: SampleTables) -> DataFrame:
     rows = product_stats.activity(t.page_log())
-    return rows.select("sku_id", "ts", "kind", "click_ct", "display_ct")
+    return rows.select("sku_id", F.unix_millis("event_time").alias("ts"), "kind", "click_ct", "display_ct")
 
 
 @query
@@ -380,27 +390,27 @@ def scalar_pack(t: SampleTables) -> DataFrame:
 
 @query
 def rpt_gmv(t: SampleTables) -> DataFrame:
-    return reports.gmv(products_by_window(t), DAY)
+    return reports.gmv(products_by_window(t, DAY), DAY)
 
 
 @query
 def rpt_spu_topn(t: SampleTables) -> DataFrame:
-    return reports.spu_top(products_named(t), DAY)
+    return reports.spu_top(products_named(t, DAY), DAY)
 
 
 @query
 def rpt_category_topn(t: SampleTables) -> DataFrame:
-    return reports.category_top(products_named(t), DAY)
+    return reports.category_top(products_named(t, DAY), DAY)
 
 
 @query
 def rpt_trademark_topn(t: SampleTables) -> DataFrame:
-    return reports.trademark_top(products_named(t), DAY)
+    return reports.trademark_top(products_named(t, DAY), DAY)
 
 
 @query
 def rpt_trademark_arrays(t: SampleTables) -> DataFrame:
-    arrays = reports.trademark_arrays(products_named(t), DAY)
+    arrays = reports.trademark_arrays(products_named(t, DAY), DAY)
     return arrays.select(
         F.concat_ws(",", "categories").alias("categories"),
         F.concat_ws(",", F.col("data").cast("array<string>")).alias("data"),
@@ -409,25 +419,25 @@ def rpt_trademark_arrays(t: SampleTables) -> DataFrame:
 
 @query
 def rpt_province(t: SampleTables) -> DataFrame:
-    return reports.province_map(provinces(t), DAY)
+    return reports.province_map(provinces(t, DAY), DAY)
 
 
 @query
 def rpt_hourly(t: SampleTables) -> DataFrame:
-    return reports.hourly(visitors(t), DAY)
+    return reports.hourly(visitors_of_day(t, DAY), DAY)
 
 
 @query
 def rpt_new_old(t: SampleTables) -> DataFrame:
-    return reports.new_and_old(visitors(t), DAY)
+    return reports.new_and_old(visitors_of_day(t, DAY), DAY)
 
 
 @query
 def rpt_row_counts(t: SampleTables) -> DataFrame:
-    return reports.row_counts(visitors(t), DAY)
+    return reports.row_counts(visitors_of_day(t, DAY), DAY)
 
 
 @query
 def rpt_keywords(t: SampleTables) -> DataFrame:
     """The documents fall into the first minutes and hours of the period."""
-    return reports.keywords(keywords(t), "20240101")
+    return reports.keywords(keywords(t, "20240101"), "20240101")

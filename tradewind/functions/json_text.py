@@ -5,16 +5,24 @@ Numbers keep their digits this way; parsing straight into a text map would turn
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAP = "map<string,string>"
 
 
-def as_object(text: Column | str) -> Column:
-    """The text as a variant if it is a JSON object; null for anything else."""
-    parsed = F.try_parse_json(text)
-    return F.when(F.try_variant_get(parsed, "$", "map<string,variant>").isNotNull(), parsed)
+def is_object(value: Column) -> Column:
+    """Whether a variant is a JSON object; false for text that was no JSON at all."""
+    return F.try_variant_get(value, "$", "map<string,variant>").isNotNull()
+
+
+def with_parsed(df: DataFrame, text: str, name: str) -> DataFrame:
+    """Add the parsed text as a variant column.
+
+    By way of a generator: filters and projections on the variant then read it, where they would
+    otherwise each be rewritten to parse the text again.
+    """
+    return df.select("*", F.explode(F.array(F.try_parse_json(text))).alias(name))
 
 
 def part(value: Column | str, path: str, type_name: str) -> Column:

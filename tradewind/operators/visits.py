@@ -61,6 +61,12 @@ def daily_unique(
     return entries.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
 
 
+def slice_of(ts: str, slice_ms: int) -> Column:
+    """Number of the time slice an epoch-millisecond time falls into."""
+    start = F.col(ts) - F.pmod(F.col(ts), F.lit(slice_ms))
+    return F.call_function("div", start, F.lit(slice_ms))
+
+
 def time_slices(
     df: DataFrame, within_ms: int, slice_ms: int | None = None, ts: str = "ts"
 ) -> DataFrame:
@@ -72,7 +78,7 @@ def time_slices(
     slice_ms = slice_ms or SLICES_PER_WINDOW * within_ms
     if slice_ms < within_ms:
         raise ValueError("a slice must be at least as long as the window it decides about")
-    own = F.floor(F.col(ts) / slice_ms)
+    own = slice_of(ts, slice_ms)
     head = F.pmod(F.col(ts), F.lit(slice_ms)) < within_ms
     slices = F.when(head, F.array(own, own - 1)).otherwise(F.array(own))
     return df.select("*", F.explode(slices).alias("slice"))
@@ -101,7 +107,7 @@ def bounces(
     decided = sliced.select(
         "*", soon.alias("__soon"), F.lead("__entry").over(w).alias("__next_entry")
     )
-    owned = F.col("slice") == F.floor(F.col(ts) / slice_ms)
+    owned = F.col("slice") == slice_of(ts, slice_ms)
     kept = decided.filter(owned & F.col("__entry") & ~(F.col("__soon") & ~F.col("__next_entry")))
     kind = F.when(F.col("__soon"), "match").otherwise("timeout")
     return kept.select(*pages.columns, kind.alias("kind"))

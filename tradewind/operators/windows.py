@@ -50,6 +50,19 @@ def bounds_as_text(df: DataFrame) -> DataFrame:
     )
 
 
+def in_day(df: DataFrame, time: str, day: str | None, extra: str = "0 seconds") -> DataFrame:
+    """Rows of one day (``yyyyMMdd``) and ``extra`` time after it; all rows without a day.
+
+    Windows never cross midnight, so cutting the input is the same as cutting the result, and it
+    happens before anything is shuffled.
+    """
+    if day is None:
+        return df
+    start = F.to_timestamp(F.lit(day), "yyyyMMdd")
+    end = start + F.expr("INTERVAL '1 day'") + F.expr(f"INTERVAL '{extra}'")
+    return df.filter((F.col(time) >= start) & (F.col(time) < end))
+
+
 def with_watermark(df: DataFrame, time: str, delay: str | None) -> DataFrame:
     """Attach a watermark on streams; batch inputs pass through."""
     return df.withWatermark(time, delay) if delay and df.isStreaming else df

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tradewind.functions.times import at_second
 from tradewind.functions.words import split_words
-from tradewind.operators.windows import SIZE, tumble, with_watermark
+from tradewind.operators.windows import SIZE, in_day, tumble, with_watermark
 from tradewind.schemas import KEYWORD_STATS_COLUMNS
 
 DELAY = "1 second"
@@ -25,13 +25,14 @@ def keyword_stats(
     source: Column | str = SEARCH,
     size: str = SIZE,
     delay: str = DELAY,
+    day: str | None = None,
 ) -> DataFrame:
     """Hits per word and window; ``source`` says where the words were seen."""
     source = F.lit(source) if isinstance(source, str) else source
     rows = searches(pages).select(
         "item", source.alias("source"), "ts", at_second("ts").alias("event_time")
     )
-    words = split_words(with_watermark(rows, "event_time", delay), "item", dictionary)
+    words = split_words(with_watermark(in_day(rows, "event_time", day), "event_time", delay), "item", dictionary)
     counted = tumble(
         words, "event_time", ["word", "source"], {"ct": F.count(F.lit(1)), "ts": F.min("ts")}, size
     )

@@ -5,26 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.functions.json_text import MAP, as_object, part
+from tradewind.functions.json_text import MAP, is_object, part, with_parsed
 from tradewind.functions.times import is_blank
 from tradewind.operators.visits import repair_new_flag
 
 
-def parse(lines: DataFrame) -> DataFrame:
-    """Parse each ``value`` once; ``line`` is null if it is no JSON object."""
-    return lines.withColumn("line", as_object("value"))
-
-
 def dirty(lines: DataFrame) -> DataFrame:
     """Lines that are no JSON object, unchanged."""
-    return parse(lines).filter(F.col("line").isNull()).select("value")
+    return lines.filter(~is_object(F.try_parse_json("value"))).select("value")
 
 
 def heads(lines: DataFrame) -> DataFrame:
     """Lines that are JSON objects, with what the new-visitor repair needs."""
     return (
-        parse(lines)
-        .filter(F.col("line").isNotNull())
+        with_parsed(lines, "value", "line")
+        .filter(is_object(F.col("line")))
         .select(
             "seq",
             "value",

@@ -12,6 +12,7 @@ from tradewind.operators.windows import with_watermark
 from tradewind.schemas import AMOUNT, ORDER_WIDE_COLUMNS
 
 ORDER_TIME = "order_time"
+PAYMENT_TIME = "payment_time"
 DELAY = "0 seconds"
 
 
@@ -152,19 +153,19 @@ def payment_wide(
         "order_id",
         "user_id",
         "total_amount",
-        text_time("create_time").alias("payment_time"),
+        text_time("create_time").alias(PAYMENT_TIME),
     )
     dropped = {"order_id", "user_id", "total_amount", "create_time", "operate_time", "expire_time",
                "create_date", "create_hour", ORDER_TIME}
     right = wide.select(
         F.col("order_id").alias("__wide_order"),
         F.col("create_time").alias("order_create_time"),
-        text_time("create_time").alias("__wide_time"),
+        (F.col(ORDER_TIME) if ORDER_TIME in wide.columns else text_time("create_time")).alias("__wide_time"),
         *[c for c in wide.columns if c not in dropped],
     )
     joined = interval_join(
-        with_watermark(left, "payment_time", delay),
+        with_watermark(left, PAYMENT_TIME, delay),
         with_watermark(right, "__wide_time", delay),
-        "order_id", "__wide_order", "payment_time", "__wide_time", lower, upper,
+        "order_id", "__wide_order", PAYMENT_TIME, "__wide_time", lower, upper,
     )
     return joined.drop("__wide_order", "__wide_time")

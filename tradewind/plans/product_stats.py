@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.codes import APPRAISE
-from tradewind.functions.times import at_ms, text_ms
+from tradewind.functions.times import at_ms, text_time
 from tradewind.operators.enrichment import enrich
-from tradewind.operators.windows import SIZE, tumble_distinct, with_watermark
+from tradewind.operators.windows import SIZE, in_day, tumble_distinct, with_watermark
+from tradewind.plans.order_wide import ORDER_TIME, PAYMENT_TIME
 from tradewind.schemas import AMOUNT, PRODUCT_STATS_COLUMNS, TOTAL
 
 COUNTS = [
@@ -18,16 +19,17 @@ AMOUNTS = ["order_amount", "payment_amount", "refund_amount"]
 # Distinct orders are counted per kind of row.
 ORDER_COUNTS = {"order_ct": "order", "paid_order_ct": "payment", "refund_order_ct": "refund"}
 DELAY = "1 second"
+TIME = "event_time"
 
 
 def _rows(
-    events: DataFrame, kind: str, ts: Column, sku: Column | None = None, order: Column | None = None,
+    events: DataFrame, kind: str, time: Column, sku: Column | None = None, order: Column | None = None,
     **measures: Column,
 ) -> DataFrame:
     no_order = F.lit(None).cast("bigint")
     return events.select(
         (F.col("sku_id") if sku is None else sku).alias("sku_id"),
-        ts.alias("ts"),
+        time.alias(TIME),
         F.lit(kind).alias("kind"),
         (no_order if order is None else order).alias("order_id"),
         *[measures.get(c, F.lit(0)).cast("bigint").alias(c) for c in COUNTS],
@@ -35,10 +37,15 @@ def _rows(
     )
 
 
+def _time(events: DataFrame, column: str, text: str) -> Column:
+    """The event time a join already worked out, or the parsed text of a stored row."""
+    return F.col(column) if column in events.columns else text_time(text)
+
+
 def clicks(pages: DataFrame) -> DataFrame:
     """Detail-page views of a sku."""
     seen = pages.filter((F.col("page_id") == "good_detail") & (F.col("item_type") == "sku_id"))
-    return _rows(seen, "click", F.col("ts"), F.col("item").try_cast("bigint"), click_ct=F.lit(1))
+    return _rows(seen, "click", at_ms("ts"), F.col("item").try_cast("bigint"), click_ct=F.lit(1))
 
 
 def displays(pages: DataFrame) -> DataFrame:
@@ -47,41 +54,41 @@ def displays(pages: DataFrame) -> DataFrame:
         F.col("display.item_type") == "sku_id"
     )
     sku = F.col("display.item").try_cast("bigint")
-    return _rows(shown, "display", F.col("ts"), sku, display_ct=F.lit(1))
+    return _rows(shown, "display", at_ms("ts"), sku, display_ct=F.lit(1))
 
 
 def favors(favor: DataFrame) -> DataFrame:
-    return _rows(favor, "favor", text_ms("create_time"), favor_ct=F.lit(1))
+    return _rows(favor, "favor", text_time("create_time"), favor_ct=F.lit(1))
 
 
 def carts(cart: DataFrame) -> DataFrame:
-    return _rows(cart, "cart", text_ms("create_time"), cart_ct=F.lit(1))
+    return _rows(cart, "cart", text_time("create_time"), cart_ct=F.lit(1))
 
 
 def orders(wide: DataFrame) -> DataFrame:
     return _rows(
-        wide, "order", text_ms("create_time"), order=F.col("order_id"),
+        wide, "order", _time(wide, ORDER_TIME, "create_time"), order=F.col("order_id"),
         order_sku_num=F.col("sku_num"), order_amount=F.col("split_total_amount"),
     )
 
 
 def payments(paid: DataFrame) -> DataFrame:
     return _rows(
-        paid, "payment", text_ms("payment_create_time"), order=F.col("order_id"),
+        paid, "payment", _time(paid, PAYMENT_TIME, "payment_create_time"), order=F.col("order_id"),
         payment_amount=F.col("split_total_amount"),
     )
 
 
 def refunds(refund: DataFrame) -> DataFrame:
     return _rows(
-        refund, "refund", text_ms("create_time"), order=F.col("order_id"),
+        refund, "refund", text_time("create_time"), order=F.col("order_id"),
         refund_amount=F.col("refund_amount"),
     )
 
 
 def comments(comment: DataFrame) -> DataFrame:
     good = F.when(F.col("appraise") == APPRAISE["good"], 1).otherwise(0)
-    return _rows(comment, "comment", text_ms("create_time"), comment_ct=F.lit(1), good_comment_ct=good)
+    return _rows(comment, "comment", text_time("create_time"), comment_ct=F.lit(1), good_comment_ct=good)
 
 
 def activity(
@@ -109,17 +116,19 @@ def activity(
     return union
 
 
-def product_stats(rows: DataFrame, size: str = SIZE, delay: str = DELAY) -> DataFrame:
-    """Counts, amounts and exact distinct orders per sku and window."""
-    timed = with_watermark(rows.withColumn("event_time", at_ms("ts")), "event_time", delay)
+def product_stats(
+    rows: DataFrame, size: str = SIZE, delay: str = DELAY, day: str | None = None
+) -> DataFrame:
+    """Counts, amounts and exact distinct orders per sku and window; ``day`` limits it to one day."""
+    timed = with_watermark(in_day(rows, TIME, day), TIME, delay)
     counts = {c: F.sum(c) for c in COUNTS}
     amounts = {a: F.sum(a) for a in AMOUNTS}
     return tumble_distinct(
         timed,
-        "event_time",
+        TIME,
         ["sku_id"],
         ["kind", "order_id"],
-        {**counts, **amounts, "ts": F.min("ts")},
+        {**counts, **amounts, "ts": F.min(F.unix_millis(TIME))},
         {
             **counts,
             **{a: F.sum(a).cast(TOTAL) for a in AMOUNTS},

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.functions.times import text_time
-from tradewind.operators.windows import SIZE, tumble_distinct, with_watermark
+from tradewind.operators.windows import SIZE, in_day, tumble_distinct, with_watermark
+from tradewind.plans.order_wide import ORDER_TIME
 from tradewind.schemas import PROVINCE_STATS_COLUMNS, TOTAL
 
 KEYS = [
@@ -15,11 +16,14 @@ KEYS = [
 DELAY = "1 second"
 
 
-def province_stats(wide: DataFrame, size: str = SIZE, delay: str = DELAY) -> DataFrame:
+def province_stats(
+    wide: DataFrame, size: str = SIZE, delay: str = DELAY, day: str | None = None
+) -> DataFrame:
+    time = F.col(ORDER_TIME) if ORDER_TIME in wide.columns else text_time("create_time")
     rows = wide.select(
-        *KEYS, "order_id", "split_total_amount", text_time("create_time").alias("event_time")
+        *KEYS, "order_id", "split_total_amount", time.alias("event_time")
     )
-    timed = with_watermark(rows, "event_time", delay)
+    timed = with_watermark(in_day(rows, "event_time", day), "event_time", delay)
     return tumble_distinct(
         timed,
         "event_time",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tradewind.functions.times import at_ms
 from tradewind.operators.visits import is_entry
-from tradewind.operators.windows import SIZE, tumble, with_watermark
+from tradewind.operators.windows import SIZE, in_day, tumble, with_watermark
 from tradewind.schemas import VISITOR_STATS_COLUMNS
 
 KEYS = ["vc", "ch", "ar", "is_new"]
@@ -28,6 +28,7 @@ def visitor_stats(
     jumps: DataFrame,
     size: str = SIZE,
     delay: str = DELAY,
+    day: str | None = None,
 ) -> DataFrame:
     """Visitors, page views, sessions, bounces and dwell time.
 
@@ -43,7 +44,8 @@ def visitor_stats(
         dur_sum=F.coalesce("during_time", F.lit(0)),
     )
     union = views.unionByName(_rows(unique_visits, uv_ct=one)).unionByName(_rows(jumps, uj_ct=one))
-    timed = with_watermark(union.withColumn("event_time", at_ms("ts")), "event_time", delay)
+    union = in_day(union.withColumn("event_time", at_ms("ts")), "event_time", day)
+    timed = with_watermark(union, "event_time", delay)
     sums = {c: F.sum(c) for c in COUNTS}
     return tumble(timed, "event_time", KEYS, {**sums, "ts": F.min("ts")}, size).select(
         *VISITOR_STATS_COLUMNS

@@ -6,8 +6,8 @@ Jobs are materialised between layers (topic or table), as each has its own event
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from tradewind.functions.json_text import with_parsed
 from tradewind.functions.times import at_ms, day_text
 from tradewind.operators.visits import is_entry
 from tradewind.plans import log_split
@@ -17,7 +17,7 @@ from tradewind.streaming.stateful import repair_new_flag_stream
 def log_events(lines: DataFrame, ttl_ms: int | None = None) -> DataFrame:
     """Clean, repaired log lines; ``log_split.starts``, ``pages`` and ``displays`` split them."""
     fixed = repair_new_flag_stream(log_split.heads(lines), ttl_ms)
-    return log_split.put_flag(log_split.open_parts(fixed.withColumn("line", F.try_parse_json("value"))))
+    return log_split.put_flag(log_split.open_parts(with_parsed(fixed, "value", "line")))
 
 
 def log_outputs() -> dict:
