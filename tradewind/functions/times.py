@@ -23,8 +23,11 @@ def at_second(ms: Column | str) -> Column:
 
 
 def text_time(text: Column | str) -> Column:
-    """``yyyy-MM-dd HH:mm:ss`` text to timestamp."""
-    return F.to_timestamp(_col(text), TIME_FORMAT)
+    """``yyyy-MM-dd HH:mm:ss`` text to timestamp; null for anything that is no time.
+
+    The cast reads this layout several times faster than a pattern does.
+    """
+    return _col(text).try_cast("timestamp")
 
 
 def text_ms(text: Column | str) -> Column:

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.codes import APPRAISE
-from tradewind.functions.times import at_ms, text_time
 from tradewind.operators.enrichment import enrich
 from tradewind.operators.windows import SIZE, in_day, tumble_distinct, with_watermark
 from tradewind.plans.order_wide import ORDER_TIME, PAYMENT_TIME
@@ -23,72 +22,70 @@ TIME = "event_time"
 
 
 def _rows(
-    events: DataFrame, kind: str, time: Column, sku: Column | None = None, order: Column | None = None,
-    **measures: Column,
+    events: DataFrame, kind: str, time: str, sku: str = "sku_id", order: str = "NULL", **measures: str
 ) -> DataFrame:
-    no_order = F.lit(None).cast("bigint")
-    return events.select(
-        (F.col("sku_id") if sku is None else sku).alias("sku_id"),
-        time.alias(TIME),
-        F.lit(kind).alias("kind"),
-        (no_order if order is None else order).alias("order_id"),
-        *[measures.get(c, F.lit(0)).cast("bigint").alias(c) for c in COUNTS],
-        *[F.coalesce(measures.get(a, F.lit(0)), F.lit(0)).cast(AMOUNT).alias(a) for a in AMOUNTS],
+    """One row layout for every kind of activity; measures are SQL expressions, absent ones are 0."""
+    return events.selectExpr(
+        f"{sku} AS sku_id",
+        f"{time} AS {TIME}",
+        f"'{kind}' AS kind",
+        f"CAST({order} AS BIGINT) AS order_id",
+        *[f"CAST({measures.get(c, '0')} AS BIGINT) AS {c}" for c in COUNTS],
+        *[f"CAST(coalesce({measures.get(a, '0')}, 0) AS {AMOUNT}) AS {a}" for a in AMOUNTS],
     )
 
 
-def _time(events: DataFrame, column: str, text: str) -> Column:
+def _time(events: DataFrame, text: str, column: str | None = None) -> str:
     """The event time a join already worked out, or the parsed text of a stored row."""
-    return F.col(column) if column in events.columns else text_time(text)
+    return column if column in events.columns else f"try_cast({text} AS TIMESTAMP)"
 
 
 def clicks(pages: DataFrame) -> DataFrame:
     """Detail-page views of a sku."""
-    seen = pages.filter((F.col("page_id") == "good_detail") & (F.col("item_type") == "sku_id"))
-    return _rows(seen, "click", at_ms("ts"), F.col("item").try_cast("bigint"), click_ct=F.lit(1))
+    seen = pages.filter("page_id = 'good_detail' AND item_type = 'sku_id'")
+    return _rows(seen, "click", "timestamp_millis(ts)", "try_cast(item AS BIGINT)", click_ct="1")
 
 
 def displays(pages: DataFrame) -> DataFrame:
     """Skus shown in lists, one row each."""
-    shown = pages.select("ts", F.explode("displays").alias("display")).filter(
-        F.col("display.item_type") == "sku_id"
-    )
-    sku = F.col("display.item").try_cast("bigint")
-    return _rows(shown, "display", at_ms("ts"), sku, display_ct=F.lit(1))
+    shown = pages.selectExpr("ts", "explode(displays) AS display").filter("display.item_type = 'sku_id'")
+    sku = "try_cast(display.item AS BIGINT)"
+    return _rows(shown, "display", "timestamp_millis(ts)", sku, display_ct="1")
 
 
 def favors(favor: DataFrame) -> DataFrame:
-    return _rows(favor, "favor", text_time("create_time"), favor_ct=F.lit(1))
+    return _rows(favor, "favor", _time(favor, "create_time"), favor_ct="1")
 
 
 def carts(cart: DataFrame) -> DataFrame:
-    return _rows(cart, "cart", text_time("create_time"), cart_ct=F.lit(1))
+    return _rows(cart, "cart", _time(cart, "create_time"), cart_ct="1")
 
 
 def orders(wide: DataFrame) -> DataFrame:
     return _rows(
-        wide, "order", _time(wide, ORDER_TIME, "create_time"), order=F.col("order_id"),
-        order_sku_num=F.col("sku_num"), order_amount=F.col("split_total_amount"),
+        wide, "order", _time(wide, "create_time", ORDER_TIME), order="order_id",
+        order_sku_num="sku_num", order_amount="split_total_amount",
     )
 
 
 def payments(paid: DataFrame) -> DataFrame:
     return _rows(
-        paid, "payment", _time(paid, PAYMENT_TIME, "payment_create_time"), order=F.col("order_id"),
-        payment_amount=F.col("split_total_amount"),
+        paid, "payment", _time(paid, "payment_create_time", PAYMENT_TIME), order="order_id",
+        payment_amount="split_total_amount",
     )
 
 
 def refunds(refund: DataFrame) -> DataFrame:
     return _rows(
-        refund, "refund", text_time("create_time"), order=F.col("order_id"),
-        refund_amount=F.col("refund_amount"),
+        refund, "refund", _time(refund, "create_time"), order="order_id", refund_amount="refund_amount"
     )
 
 
 def comments(comment: DataFrame) -> DataFrame:
-    good = F.when(F.col("appraise") == APPRAISE["good"], 1).otherwise(0)
-    return _rows(comment, "comment", text_time("create_time"), comment_ct=F.lit(1), good_comment_ct=good)
+    good = f"if(appraise = '{APPRAISE['good']}', 1, 0)"
+    return _rows(
+        comment, "comment", _time(comment, "create_time"), comment_ct="1", good_comment_ct=good
+    )
 
 
 def activity(

@@ -23,6 +23,9 @@ RUNTIME_CONF = {
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
 }
 
+# Settings a session has to start with: no call-site lookup for every column expression.
+START_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else created."""
@@ -35,7 +38,7 @@ def build(app_name: str, master: str | None = None, **conf: str) -> SparkSession
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_CONF, **conf}.items():
+    for key, value in {**RUNTIME_CONF, **START_CONF, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

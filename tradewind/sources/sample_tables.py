@@ -7,33 +7,45 @@ parts are skus, nations are provinces, events are page views and cart, favour an
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tradewind.codes import APPRAISE, ORDER_STATUS, PAYMENT_TYPE
-from tradewind.functions.times import time_text
 from tradewind.schemas import AMOUNT, ROUTING_RULE
 
 EPOCH = 1704067200  # 2024-01-01 00:00:00, where the events start
 PERIOD = 30 * 86400
-CHANNELS = ["store", "web", "partner", "ad"]
-LAST_PAGES = ["home", "search", "good_list"]
-PAGE_OF_EVENT = {"click": "good_detail", "view": "home", "signup": "register", "purchase": "trade"}
 TRUNCATED_EVERY = 97
-LINE_SOURCE_OF_LANG = {"en": "SEARCH", "fr": "ORDER", "de": "CART", "es": "CLICK"}
 
 
-def _pick(values: list[str], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+def _text(second: str) -> str:
+    """Epoch seconds as 'yyyy-MM-dd HH:mm:ss'."""
+    return f"date_format(timestamp_seconds({second}), 'yyyy-MM-dd HH:mm:ss')"
 
 
-def _name_id(name: Column) -> Column:
+def _order_second(key: str) -> str:
+    return f"({EPOCH} + {key} * 7919 % {PERIOD})"
+
+
+def _name_id(name: str) -> str:
     """Numeric id of a name: the first 28 bits of its MD5."""
-    return F.conv(F.substring(F.md5(name), 1, 7), 16, 10)
+    return f"conv(substring(md5({name}), 1, 7), 16, 10)"
+
+
+def _money(column: str) -> str:
+    return f"CAST({column} AS {AMOUNT})"
+
+
+def _birthday(key: str) -> str:
+    return f"date_format(date_add(DATE '1950-01-01', CAST({key} % 20000 AS INT)), 'yyyy-MM-dd')"
+
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a small input, with fewer splits than there are cores, one split per core.
 
-def _money(value: str) -> Column:
-    return F.col(value).cast(AMOUNT)
+    A large input has more splits than cores already and is left as it is, so nothing big is moved.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
 class SampleTables:
@@ -44,162 +56,147 @@ class SampleTables:
         self.path = path.rstrip("/")
         self.stream = stream
         self.options = options
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        file = f"{self.path}/{name}.parquet"
-        df = self.spark.read.parquet(file)
-        if self.stream:
+        if name not in self._tables:
+            self._tables[name] = self._open(name)
+        return self._tables[name]
+
+    def _open(self, name: str) -> DataFrame:
+        df = self.spark.read.parquet(f"{self.path}/{name}.parquet")
+        if not self.stream:
+            df = spread(df)
+        else:
             reader = self.spark.readStream.schema(df.schema).options(**self.options)
             df = reader.option("pathGlobFilter", f"{name}.parquet").parquet(self.path)
-        return df.withColumns(
-            {f.name: F.col(f.name).cast("timestamp") for f in df.schema if "timestamp" in f.dataType.simpleString()}
+        times = {c for c, kind in df.dtypes if kind.startswith("timestamp")}
+        return df.selectExpr(
+            *[f"CAST({c} AS TIMESTAMP) AS {c}" if c in times else c for c in df.columns]
         )
 
     # -- logs ---------------------------------------------------------------------------------
 
     def _events(self) -> DataFrame:
-        return self.table("events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+        return self.table("events").selectExpr("*", "CAST(get_json_object(props, '$.k') AS INT) AS k")
 
     def page_log(self) -> DataFrame:
-        k, kind = F.col("k"), F.col("event_type")
-        page = F.lit("error")
-        for event, page_id in PAGE_OF_EVENT.items():
-            page = F.when(kind == event, page_id).otherwise(page)
-        shown = F.slice(
-            F.array(
-                *[
-                    F.struct(
-                        (k + i).cast("string").alias("item"),
-                        F.lit("activity_id" if i == 3 else "sku_id").alias("item_type"),
-                    )
-                    for i in (1, 2, 3)
-                ]
-            ),
-            F.lit(1),
-            k % 4,
-        )
-        return self._events().select(
-            F.col("event_id").alias("seq"),
-            F.col("user_id").cast("string").alias("mid"),
-            F.concat(F.lit("v"), (k % 3).cast("string")).alias("vc"),
-            _pick(CHANNELS, k % 4).alias("ch"),
-            (F.col("user_id") % 25).cast("string").alias("ar"),
-            F.when(k % 2 == 0, "1").otherwise("0").alias("is_new"),
-            page.alias("page_id"),
-            F.when(kind != "view", _pick(LAST_PAGES, k % 3)).alias("last_page_id"),
-            F.when(kind == "click", k.cast("string")).alias("item"),
-            F.when(kind == "click", "sku_id").alias("item_type"),
-            F.floor(F.col("value") * 1000).cast("bigint").alias("during_time"),
-            shown.alias("displays"),
-            F.unix_millis("ts").alias("ts"),
-            k.alias("k"),
+        return self._events().selectExpr(
+            "event_id AS seq",
+            "CAST(user_id AS STRING) AS mid",
+            "'v' || (k % 3) AS vc",
+            "element_at(array('store', 'web', 'partner', 'ad'), k % 4 + 1) AS ch",
+            "CAST(user_id % 25 AS STRING) AS ar",
+            "if(k % 2 = 0, '1', '0') AS is_new",
+            "CASE event_type WHEN 'click' THEN 'good_detail' WHEN 'view' THEN 'home' "
+            "WHEN 'signup' THEN 'register' WHEN 'purchase' THEN 'trade' ELSE 'error' END AS page_id",
+            "CASE WHEN event_type <> 'view' "
+            "THEN element_at(array('home', 'search', 'good_list'), k % 3 + 1) END AS last_page_id",
+            "CASE WHEN event_type = 'click' THEN CAST(k AS STRING) END AS item",
+            "CASE WHEN event_type = 'click' THEN 'sku_id' END AS item_type",
+            "CAST(floor(value * 1000) AS BIGINT) AS during_time",
+            "slice(array(named_struct('item', CAST(k + 1 AS STRING), 'item_type', 'sku_id'), "
+            "named_struct('item', CAST(k + 2 AS STRING), 'item_type', 'sku_id'), "
+            "named_struct('item', CAST(k + 3 AS STRING), 'item_type', 'activity_id')), 1, k % 4) AS displays",
+            "unix_millis(ts) AS ts",
+            "k",
         )
 
     def log_lines(self) -> DataFrame:
         """Raw click-log text; a tenth are app starts, every 97th line is cut short."""
-        pages = self.page_log()
-        common = F.struct("ar", "ch", "is_new", "mid", "vc").alias("common")
-        page = F.struct("page_id", "last_page_id", "item", "item_type", "during_time").alias("page")
-        start = F.struct(F.lit("icon").alias("entry"), F.col("k").alias("loading_time")).alias("start")
-        line = F.when(F.col("k") % 10 == 7, F.to_json(F.struct(common, start, "ts"))).otherwise(
-            F.to_json(F.struct(common, page, "displays", "ts"))
+        common = "struct(ar, ch, is_new, mid, vc) AS common"
+        page = "struct(page_id, last_page_id, item, item_type, during_time) AS page"
+        start = "named_struct('entry', 'icon', 'loading_time', k) AS start"
+        line = self.page_log().selectExpr(
+            "seq",
+            f"if(k % 10 = 7, to_json(struct({common}, {start}, ts)), "
+            f"to_json(struct({common}, {page}, displays, ts))) AS line",
         )
-        cut = F.when(
-            F.col("seq") % TRUNCATED_EVERY == 0, F.substring(line, F.lit(1), F.length(line) - 5)
-        ).otherwise(line)
         # The generator makes the text a column of its own: a filter on it must not be rewritten over
         # the long expression above, which stands in for reading a text file.
-        return pages.select(F.explode(F.array(cut)).alias("value"), "seq")
+        return line.selectExpr(
+            f"explode(array(if(seq % {TRUNCATED_EVERY} = 0, substring(line, 1, length(line) - 5), line))) "
+            "AS value",
+            "seq",
+        )
 
     def search_pages(self) -> DataFrame:
         """Documents as search page views, one per second; the text is what was searched for."""
-        source = F.lit(None).cast("string")
-        for lang, name in LINE_SOURCE_OF_LANG.items():
-            source = F.when(F.col("lang") == lang, name).otherwise(source)
-        return self.table("documents").select(
-            F.lit("search").alias("last_page_id"),
-            F.col("text").alias("item"),
-            ((F.lit(EPOCH) + F.col("doc_id") % PERIOD) * 1000).alias("ts"),
-            source.alias("source"),
+        return self.table("documents").selectExpr(
+            "'search' AS last_page_id",
+            "text AS item",
+            f"({EPOCH} + doc_id % {PERIOD}) * 1000 AS ts",
+            "CASE lang WHEN 'en' THEN 'SEARCH' WHEN 'fr' THEN 'ORDER' WHEN 'de' THEN 'CART' "
+            "WHEN 'es' THEN 'CLICK' END AS source",
         )
 
     # -- facts --------------------------------------------------------------------------------
 
-    @staticmethod
-    def _order_second(key: str) -> Column:
-        return F.lit(EPOCH) + F.col(key) * 7919 % PERIOD
-
-    @staticmethod
-    def _text(second: Column) -> Column:
-        return time_text(F.timestamp_seconds(second))
-
     def order_info(self) -> DataFrame:
-        second = self._order_second("o_orderkey")
-        status = F.col("o_orderstatus")
-        fee = (F.col("o_orderkey") % 20).cast(AMOUNT)
-        return self.table("orders").select(
-            F.col("o_orderkey").alias("id"),
-            (F.col("o_custkey") % 25).alias("province_id"),
-            F.when(status == "F", ORDER_STATUS["finished"])
-            .when(status == "P", ORDER_STATUS["paid"])
-            .otherwise(ORDER_STATUS["unpaid"])
-            .alias("order_status"),
-            F.col("o_custkey").alias("user_id"),
-            _money("o_totalprice").alias("total_amount"),
-            F.lit(0).cast(AMOUNT).alias("activity_reduce_amount"),
-            F.lit(0).cast(AMOUNT).alias("coupon_reduce_amount"),
-            (_money("o_totalprice") + fee).cast(AMOUNT).alias("original_total_amount"),
-            fee.alias("feight_fee"),
-            self._text(second + 900).alias("expire_time"),
-            self._text(second).alias("create_time"),
-            self._text(second + 1).alias("operate_time"),
+        second = _order_second("o_orderkey")
+        finished, paid, unpaid = (ORDER_STATUS[s] for s in ("finished", "paid", "unpaid"))
+        return self.table("orders").selectExpr(
+            "o_orderkey AS id",
+            "o_custkey % 25 AS province_id",
+            f"CASE o_orderstatus WHEN 'F' THEN '{finished}' WHEN 'P' THEN '{paid}' ELSE '{unpaid}' END "
+            "AS order_status",
+            "o_custkey AS user_id",
+            f"{_money('o_totalprice')} AS total_amount",
+            f"{_money('0')} AS activity_reduce_amount",
+            f"{_money('0')} AS coupon_reduce_amount",
+            f"CAST({_money('o_totalprice')} + {_money('o_orderkey % 20')} AS {AMOUNT}) AS original_total_amount",
+            f"{_money('o_orderkey % 20')} AS feight_fee",
+            f"{_text(second + ' + 900')} AS expire_time",
+            f"{_text(second)} AS create_time",
+            f"{_text(second + ' + 1')} AS operate_time",
         )
 
     def order_detail(self) -> DataFrame:
         """Lines written -6 to +6 seconds around their order, so both ends of +-5 are met and missed."""
-        second = self._order_second("l_orderkey") + F.col("l_partkey") % 13 - 6
-        return self.table("lineitem").select(
-            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
-            F.col("l_orderkey").alias("order_id"),
-            F.col("l_partkey").alias("sku_id"),
-            _money("l_extendedprice").alias("order_price"),
-            F.col("l_quantity").cast("bigint").alias("sku_num"),
-            F.concat(F.lit("sku "), F.col("l_partkey").cast("string")).alias("sku_name"),
-            self._text(second).alias("create_time"),
-            _money("l_extendedprice").alias("split_total_amount"),
-            _money("l_discount").alias("split_activity_amount"),
-            _money("l_tax").alias("split_coupon_amount"),
+        second = _order_second("l_orderkey") + " + l_partkey % 13 - 6"
+        return self.table("lineitem").selectExpr(
+            "l_orderkey * 10 + l_linenumber AS id",
+            "l_orderkey AS order_id",
+            "l_partkey AS sku_id",
+            f"{_money('l_extendedprice')} AS order_price",
+            "CAST(l_quantity AS BIGINT) AS sku_num",
+            "'sku ' || l_partkey AS sku_name",
+            f"{_text(second)} AS create_time",
+            f"{_money('l_extendedprice')} AS split_total_amount",
+            f"{_money('l_discount')} AS split_activity_amount",
+            f"{_money('l_tax')} AS split_coupon_amount",
         )
 
     def payment_info(self) -> DataFrame:
         """One payment per finished order, -6 to +6 seconds around it."""
-        second = self._order_second("o_orderkey") + F.col("o_orderkey") % 13 - 6
-        return self.table("orders").filter("o_orderstatus = 'F'").select(
-            (F.col("o_orderkey") + 1_000_000_000).alias("id"),
-            F.col("o_orderkey").alias("order_id"),
-            F.col("o_custkey").alias("user_id"),
-            _money("o_totalprice").alias("total_amount"),
-            F.concat(F.lit("order "), F.col("o_orderkey").cast("string")).alias("subject"),
-            _pick(list(PAYMENT_TYPE.values()), F.col("o_orderkey") % 3).alias("payment_type"),
-            self._text(second).alias("create_time"),
-            self._text(second + 2).alias("callback_time"),
+        second = _order_second("o_orderkey") + " + o_orderkey % 13 - 6"
+        types = ", ".join(f"'{code}'" for code in PAYMENT_TYPE.values())
+        return self.table("orders").filter("o_orderstatus = 'F'").selectExpr(
+            "o_orderkey + 1000000000 AS id",
+            "o_orderkey AS order_id",
+            "o_custkey AS user_id",
+            f"{_money('o_totalprice')} AS total_amount",
+            "'order ' || o_orderkey AS subject",
+            f"element_at(array({types}), CAST(o_orderkey % 3 AS INT) + 1) AS payment_type",
+            f"{_text(second)} AS create_time",
+            f"{_text(second + ' + 2')} AS callback_time",
         )
 
     def refund_info(self) -> DataFrame:
-        return self.table("lineitem").filter("l_returnflag = 'R'").select(
-            F.col("l_orderkey").alias("order_id"),
-            F.col("l_partkey").alias("sku_id"),
-            _money("l_extendedprice").alias("refund_amount"),
-            self._text(self._order_second("l_orderkey")).alias("create_time"),
+        return self.table("lineitem").filter("l_returnflag = 'R'").selectExpr(
+            "l_orderkey AS order_id",
+            "l_partkey AS sku_id",
+            f"{_money('l_extendedprice')} AS refund_amount",
+            f"{_text(_order_second('l_orderkey'))} AS create_time",
         )
 
     def _actions(self, event: str) -> DataFrame:
-        return self._events().filter(F.col("event_type") == event).select(
-            F.col("event_id").alias("id"),
+        return self._events().filter(f"event_type = '{event}'").selectExpr(
+            "event_id AS id",
             "user_id",
-            F.col("k").cast("bigint").alias("sku_id"),
-            F.when(F.col("k") % 2 == 0, APPRAISE["good"]).otherwise(APPRAISE["bad"]).alias("appraise"),
-            time_text("ts").alias("create_time"),
+            "CAST(k AS BIGINT) AS sku_id",
+            f"if(k % 2 = 0, '{APPRAISE['good']}', '{APPRAISE['bad']}') AS appraise",
+            "date_format(ts, 'yyyy-MM-dd HH:mm:ss') AS create_time",
         )
 
     def favor_info(self) -> DataFrame:
@@ -213,42 +210,35 @@ class SampleTables:
 
     # -- dimensions ---------------------------------------------------------------------------
 
-    @staticmethod
-    def _birthday(key: str) -> Column:
-        days = (F.col(key) % 20000).cast("int")
-        return F.date_format(F.date_add(F.lit("1950-01-01").cast("date"), days), "yyyy-MM-dd")
-
     def dim_user(self) -> DataFrame:
-        return self.table("customer").select(
-            F.col("c_custkey").cast("string").alias("id"),
-            F.when(F.col("c_custkey") % 2 == 0, "F").otherwise("M").alias("gender"),
-            self._birthday("c_custkey").alias("birthday"),
+        return self.table("customer").selectExpr(
+            "CAST(c_custkey AS STRING) AS id",
+            "if(c_custkey % 2 = 0, 'F', 'M') AS gender",
+            f"{_birthday('c_custkey')} AS birthday",
         )
 
     def dim_province(self) -> DataFrame:
-        key = F.col("n_nationkey").cast("string")
-        return self.table("nation").select(
-            key.alias("id"),
-            F.col("n_name").alias("name"),
-            F.concat(F.lit("1"), F.lpad(key, 5, "0")).alias("area_code"),
-            F.concat(F.lit("N-"), key).alias("iso_code"),
-            F.concat(F.lit("R"), F.col("n_regionkey").cast("string"), F.lit("-"), key).alias("iso_3166_2"),
+        return self.table("nation").selectExpr(
+            "CAST(n_nationkey AS STRING) AS id",
+            "n_name AS name",
+            "'1' || lpad(CAST(n_nationkey AS STRING), 5, '0') AS area_code",
+            "'N-' || n_nationkey AS iso_code",
+            "'R' || n_regionkey || '-' || n_nationkey AS iso_3166_2",
         )
 
     def dim_sku(self) -> DataFrame:
-        return self.table("part").select(
-            F.col("p_partkey").cast("string").alias("id"),
-            F.concat("p_name", F.lit(" "), F.col("p_partkey").cast("string")).alias("sku_name"),
-            _money("p_retailprice").cast("string").alias("price"),
-            _name_id(F.col("p_name")).alias("spu_id"),
-            _name_id(F.col("p_brand")).alias("tm_id"),
-            _name_id(F.col("p_type")).alias("category3_id"),
+        return self.table("part").selectExpr(
+            "CAST(p_partkey AS STRING) AS id",
+            "p_name || ' ' || p_partkey AS sku_name",
+            f"CAST({_money('p_retailprice')} AS STRING) AS price",
+            f"{_name_id('p_name')} AS spu_id",
+            f"{_name_id('p_brand')} AS tm_id",
+            f"{_name_id('p_type')} AS category3_id",
         )
 
     def _names(self, column: str, name: str) -> DataFrame:
-        return self.table("part").select(F.col(column).alias(name)).distinct().select(
-            _name_id(F.col(name)).alias("id"), name
-        )
+        names = self.table("part").selectExpr(f"{column} AS {name}").distinct()
+        return names.selectExpr(f"{_name_id(name)} AS id", name)
 
     def dim_spu(self) -> DataFrame:
         return self._names("p_name", "spu_name")
@@ -263,56 +253,48 @@ class SampleTables:
 
     def cdc_records(self) -> DataFrame:
         """Changes of four source tables; three changes per user id, ``seq`` in key order."""
-        key = F.col("c_custkey")
-        user = F.to_json(
-            F.struct(
-                F.floor(key / 3).alias("id"),
-                F.col("c_name").alias("name"),
-                F.when(key % 7 != 0, F.when(key % 2 == 0, "F").otherwise("M")).alias("gender"),
-                self._birthday("c_custkey").alias("birthday"),
-                F.col("c_mktsegment").alias("segment"),
-            ),
-            {"ignoreNullFields": "false"},
-        )
-        user_op = _pick(["CREATE", "UPDATE", "READ", "DELETE", "UPDATE"], key % 5)
-        users = self.table("customer").select(
-            F.lit("sql.shop.user_info").alias("topic"),
-            F.when(user_op.isin("UPDATE", "DELETE"), user).alias("before"),
-            F.when(user_op != "DELETE", user).alias("after"),
-            user_op.alias("op"),
-            key.alias("seq"),
+        no_before = "CAST(NULL AS STRING) AS before"
+        users = (
+            self.table("customer")
+            .selectExpr(
+                "c_custkey AS seq",
+                "element_at(array('CREATE', 'UPDATE', 'READ', 'DELETE', 'UPDATE'), "
+                "CAST(c_custkey % 5 AS INT) + 1) AS op",
+                "to_json(named_struct('id', c_custkey div 3, 'name', c_name, "
+                "'gender', CASE WHEN c_custkey % 7 <> 0 THEN if(c_custkey % 2 = 0, 'F', 'M') END, "
+                f"'birthday', {_birthday('c_custkey')}, 'segment', c_mktsegment), "
+                "map('ignoreNullFields', 'false')) AS row",
+            )
+            .selectExpr(
+                "'sql.shop.user_info' AS topic",
+                "CASE WHEN op IN ('UPDATE', 'DELETE') THEN row END AS before",
+                "CASE WHEN op <> 'DELETE' THEN row END AS after",
+                "op",
+                "seq",
+            )
         )
-        none = F.lit(None).cast("string").alias("before")
-        skus = self.table("part").select(
-            F.lit("sql.shop.sku_info").alias("topic"),
-            none,
-            F.to_json(
-                F.struct(
-                    F.col("p_partkey").alias("id"), F.col("p_name").alias("sku_name"),
-                    _money("p_retailprice").cast("string").alias("price"), F.col("p_size").alias("size"),
-                )
-            ).alias("after"),
-            F.lit("CREATE").alias("op"),
-            F.col("p_partkey").alias("seq"),
+        skus = self.table("part").selectExpr(
+            "'sql.shop.sku_info' AS topic",
+            no_before,
+            "to_json(named_struct('id', p_partkey, 'sku_name', p_name, "
+            f"'price', CAST({_money('p_retailprice')} AS STRING), 'size', p_size)) AS after",
+            "'CREATE' AS op",
+            "p_partkey AS seq",
         )
-        orders = self.table("orders").select(
-            F.lit("sql.shop.order_info").alias("topic"),
-            none,
-            F.to_json(
-                F.struct(
-                    F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("user_id"),
-                    _money("o_totalprice").cast("string").alias("total_amount"), F.col("o_orderpriority").alias("priority"),
-                )
-            ).alias("after"),
-            F.when(F.col("o_orderstatus") == "O", "CREATE").otherwise("UPDATE").alias("op"),
-            F.col("o_orderkey").alias("seq"),
+        orders = self.table("orders").selectExpr(
+            "'sql.shop.order_info' AS topic",
+            no_before,
+            "to_json(named_struct('id', o_orderkey, 'user_id', o_custkey, "
+            f"'total_amount', CAST({_money('o_totalprice')} AS STRING), 'priority', o_orderpriority)) AS after",
+            "if(o_orderstatus = 'O', 'CREATE', 'UPDATE') AS op",
+            "o_orderkey AS seq",
         )
-        nations = self.table("nation").select(
-            F.lit("sql.shop.base_nation").alias("topic"),
-            none,
-            F.to_json(F.struct(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))).alias("after"),
-            F.lit("CREATE").alias("op"),
-            F.col("n_nationkey").cast("bigint").alias("seq"),
+        nations = self.table("nation").selectExpr(
+            "'sql.shop.base_nation' AS topic",
+            no_before,
+            "to_json(named_struct('id', n_nationkey, 'name', n_name)) AS after",
+            "'CREATE' AS op",
+            "CAST(n_nationkey AS BIGINT) AS seq",
         )
         return users.unionByName(skus).unionByName(orders).unionByName(nations)
 
