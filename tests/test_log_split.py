@@ -42,11 +42,11 @@ def test_routing(spark, rows):
 def test_new_flag_repair(spark, rows):
     df = spark.createDataFrame(
         [("a", "1", 1, 1), ("a", "1", 2, 2), ("a", "0", 3, 3), ("a", "1", 4, 4), ("b", "0", 1, 5),
-         ("b", "1", 2, 6), (None, "1", 1, 7), (None, "1", 1, 8), ("c", None, 1, 9)],
+         ("b", "1", 2, 6), ("d", "1", None, 10), ("d", "1", 5, 11), (None, "1", 1, 7), (None, "1", 1, 8), ("c", None, 1, 9)],
         "mid STRING, is_new STRING, ts BIGINT, seq BIGINT",
     )
-    assert rows(repair_new_flag(df), "seq", "is_new") == [
-        (1, "1"), (2, "0"), (3, "0"), (4, "0"), (5, "0"), (6, "1"), (7, "1"), (8, "0"), (9, None)
+    assert sorted(rows(repair_new_flag(df), "seq", "is_new")) == [
+        (1, "1"), (2, "0"), (3, "0"), (4, "0"), (5, "0"), (6, "1"), (7, "1"), (8, "0"), (9, None), (10, "1"), (11, "0")
     ]
 
 

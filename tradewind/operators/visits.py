@@ -29,19 +29,17 @@ def repair_new_flag(
     partially aggregated minimum; it is joined back on visitor *and* position, so the rows of a hot
     visitor spread over all partitions.
     """
-    position = F.struct(*order)
     first = (
         df.filter(F.col(flag) == "1")
         .groupBy(F.col(visitor).alias("__visitor"))
-        .agg(F.min(position).alias("__first"))
-        .select("__visitor", *[F.col("__first")[c].alias(f"__{c}") for c in order])
+        .agg(F.min(F.struct(*order)).alias("__first"))
+        .select("__visitor", *[F.col("__first")[c].alias(f"__{c}") for c in order], F.lit(True).alias("__found"))
     )
     same = df[visitor].eqNullSafe(first["__visitor"])
     for c in order:
-        same = same & (df[c] == first[f"__{c}"])
-    repaired = F.when(
-        (F.col(flag) == "1") & F.col(f"__{order[0]}").isNull(), F.lit("0")
-    ).otherwise(F.col(flag))
+        same = same & df[c].eqNullSafe(first[f"__{c}"])
+    later = (F.col(flag) == "1") & F.col("__found").isNull()
+    repaired = F.when(later, F.lit("0")).otherwise(F.col(flag))
     return df.join(first, same, "left").withColumn(flag, repaired).select(*df.columns)
 
 
