@@ -93,3 +93,11 @@ def test_age_counts_years_of_365_days(spark):
 
 def test_camel():
     assert [camel(n) for n in ("sku_name", "iso_3166_2", "ID", "tm_id")] == ["skuName", "iso31662", "id", "tmId"]
+
+
+def test_only_counted_tables_are_broadcast(spark):
+    from tradewind.operators.enrichment import broadcast_if_few
+
+    few = spark.range(3).withColumnRenamed("id", "k")
+    hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+    assert hinted(broadcast_if_few(few, 3)) and not hinted(broadcast_if_few(few, 2))

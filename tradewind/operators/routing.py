@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tradewind.operators.enrichment import broadcast_if_few
+
 STREAM_SINK = "kafka"
 DEFAULT_KEY = "id"
 
@@ -30,12 +32,13 @@ def route(changes: DataFrame, rules: DataFrame) -> DataFrame:
     """Match each change that is not a delete with its rule.
 
     Adds ``sink_type``, ``sink_table``, ``sink_pk`` and cuts ``after`` to the listed columns. A
-    change without a rule keeps nulls there (see ``rejected``). The rule table is a plain left join:
-    a few rows, broadcast by Spark on its own size estimate.
+    change without a rule keeps nulls there (see ``rejected``). Changes have few distinct tables and
+    operations, so shuffling them on those would pile them up: the rules are counted and broadcast,
+    and only a rule table too long for that leaves the join to the adaptive skew handling.
     """
     live = changes.filter(~F.col("operation").eqNullSafe("delete"))
     matched = live.join(
-        latest_rules(rules),
+        broadcast_if_few(latest_rules(rules)),
         (live["table"] == F.col("source_table")) & (live["operation"] == F.col("operate_type")),
         "left",
     )

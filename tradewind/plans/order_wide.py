@@ -141,8 +141,8 @@ def payment_wide(
     """Payments next to the order rows they pay, the order written within the bounds of the payment.
 
     Fields both sides have (order, user, total) come from the payment. ``payment_time`` is the
-    payment's event time. The order side arrives hash-partitioned by order id from its own join, so
-    only the payments move.
+    payment's event time. Where the order side is the bare join of orders and details it is already
+    partitioned by order id, and only the payments move.
     """
     left = payments.select(
         F.col("id").alias("payment_id"),
