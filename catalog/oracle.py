@@ -60,7 +60,7 @@ _FINAL = {
     "order_enrich_time": """
         SELECT id, create_time, substr(create_time, 1, 10) AS create_date,
             substr(create_time, 12, 2) AS create_hour, s * 1000 AS create_ts FROM order_info""",
-    "interval_join_days": """
+    "interval_join": """
         SELECT o_orderkey, o_custkey, l_partkey, l_linenumber,
             strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS order_time,
             strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS ship_time
@@ -68,8 +68,8 @@ _FINAL = {
             AND l_shipdate BETWEEN o_orderdate - INTERVAL 30 DAY AND o_orderdate + INTERVAL 30 DAY""",
     "interval_join_seconds": """
         SELECT order_id, detail_id, sku_id, sku_num, sku_name, split_total_amount, create_time FROM order_facts""",
-    "order_wide_rows": "SELECT * EXCLUDE (s) FROM order_wide",
-    "payment_wide_rows": "SELECT * FROM payment_wide",
+    "order_wide": "SELECT * EXCLUDE (s) FROM order_wide",
+    "payment_wide": "SELECT * FROM payment_wide",
     "wide_coalesce": """
         SELECT id AS order_id, CASE WHEN id % 3 <> 0 THEN order_status ELSE '1005' END AS order_status,
             CASE WHEN id % 5 <> 0 THEN total_amount ELSE original_total_amount END AS total_amount,
@@ -87,16 +87,16 @@ _FINAL = {
     "json_roundtrip": "SELECT * EXCLUDE (s) FROM order_info",
     "uv_daily": "SELECT dt, mid, seq, ts, vc, ch, is_new FROM uv",
     "jump_detail": "SELECT mid, seq, ts, page_id, kind FROM jumps",
-    "visitor_stats_rows": "SELECT * FROM visitor_stats",
+    "visitor_stats": "SELECT * FROM visitor_stats",
     "product_click_display": """
         SELECT sku_id, ts, kind, CAST(kind = 'click' AS BIGINT) AS click_ct,
             CAST(kind = 'display' AS BIGINT) AS display_ct
         FROM activity WHERE kind IN ('click', 'display')""",
-    "product_stats_rows": "SELECT * FROM product_stats",
+    "product_stats": "SELECT * FROM product_stats",
     "product_stats_wide": "SELECT * FROM product_stats_wide",
-    "province_stats_rows": "SELECT * FROM province_stats",
+    "province_stats": "SELECT * FROM province_stats",
     "keyword_tokens": "SELECT doc_id, word, count(*) AS ct FROM words GROUP BY ALL",
-    "keyword_stats_rows": "SELECT * FROM keyword_stats",
+    "keyword_stats": "SELECT * FROM keyword_stats",
     "distinct_per_window": f"""
         SELECT {stt('ts', 3600)}, {edt('ts', 3600)}, page_id, count(DISTINCT mid) AS mid_ct, count(*) AS view_ct
         FROM page_log GROUP BY ts // 3600000, page_id""",
