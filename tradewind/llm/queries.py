@@ -7,12 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.llm import packing, token_counts
+from tradewind.llm import line_dedup, minhash, packing, token_counts
 from tradewind.llm.storage import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), path)
@@ -23,7 +27,46 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), path)
 
 
+def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op3_token_counts, op4_best_fit_packing)
+    f.__name__: f for f in (op1_line_dedup, op3_token_counts, op4_best_fit_packing, op6_minhash_near_dedup)
+}
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+SQL: dict[str, str] = {
+    "op1_line_dedup": f"""
+WITH cut AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+numbered AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM cut),
+keyed AS (SELECT *, {_LOWER.format(f"trim(line, {_SPACE})")} AS key FROM numbered),
+repeated AS (SELECT key, max(doc_id) AS last_doc FROM keyed WHERE length(key) >= 20
+             GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+marked AS (SELECT doc_id, pos, line, last_doc IS NOT NULL AND doc_id <> last_doc AS lost
+           FROM keyed LEFT JOIN repeated USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT lost), '')) AS kept_sha256
+FROM marked GROUP BY doc_id""",
+    "op6_minhash_near_dedup": f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex({_LOWER.format("coalesce(text, '')")}, '[\\x20\\x09-\\x0D]+'),
+                             x -> x <> '') AS w FROM documents),
+sets AS (SELECT doc_id, CASE WHEN len(w) < 2 THEN w
+                             ELSE list_distinct(list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1])) END AS s
+         FROM words),
+members AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS an, any_value(b.n) AS bn, count(*) AS n_common
+           FROM members a JOIN members b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+           AND least(a.n, b.n) * 100 >= greatest(a.n, b.n) * 80 GROUP BY 1, 2),
+linked AS (SELECT a, b FROM common WHERE 100 * n_common >= 80 * (an + bn - n_common)),
+reach AS (SELECT a AS id, b AS other FROM linked UNION SELECT b, a FROM linked
+          UNION SELECT r.id, l.o FROM reach r
+          JOIN (SELECT a AS i, b AS o FROM linked UNION ALL SELECT b, a FROM linked) l ON r.other = l.i),
+lowest AS (SELECT id, min(other) AS other FROM reach GROUP BY id)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, least(doc_id, coalesce(other, doc_id)) AS component_id,
+       least(doc_id, coalesce(other, doc_id)) = doc_id AS kept
+FROM sets LEFT JOIN lowest ON doc_id = id""",
 }
-SQL: dict[str, str] = {}
