@@ -1,6 +1,6 @@
 """Packing of tokenised documents into sequences of bounded length, best fit decreasing.
 
-Each document is turned into ids once: a distinct word goes through the tokenizer once per task, the
+Each document is turned into ids once: a distinct word goes through the tokenizer once per worker, the
 ids of a text are put together from those of its words (the tokenizer drops white space and never
 merges across it), and an end id closes the document. Only a document longer than a sequence is cut.
 
@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,11 +28,38 @@ from tradewind.llm.storage import stored
 from tradewind.llm.texts import Numbers, joined, ranges, slices, utf8
 from tradewind.llm.token_counts import tokenizer
 
-WORDS_HELD = 400_000
+WORDS_HELD = 1_000_000
+WORDS_A_CALL = 500
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", sequence_id long, offset long"
 
 
+def encoded(path: str, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all words in a row, and where each begins.
+
+    Many words go through the tokenizer in one text, with an added token between them: it ends a word
+    wherever it stands and is easily found again. Where words hold added tokens themselves, they are
+    encoded one by one.
+    """
+    model = tokenizer(path)
+    marks = model.get_added_tokens_decoder()
+    parts, lengths = [np.empty(0, np.uint32)], [0]
+    for at in range(0, len(words), WORDS_A_CALL):
+        group = words[at : at + WORDS_A_CALL]
+        for mark, token in list(marks.items())[:1]:
+            found = model.encode_batch_fast([token.content.join(group)], add_special_tokens=False)[0]
+            ids = np.array(found.ids, np.uint32)
+            cuts = np.flatnonzero(ids == mark)
+        if marks and len(cuts) == len(group) - 1:
+            parts.append(ids[ids != mark])
+            lengths += (np.diff(np.concatenate([[-1], cuts, [len(ids)]])) - 1).tolist()
+        else:
+            for one in model.encode_batch_fast(group, add_special_tokens=False):
+                parts.append(np.array(one.ids, np.uint32))
+                lengths.append(len(one.ids))
+    return np.concatenate(parts), np.cumsum(lengths)
+
+
 class WordIds:
     """Ids of words, each tokenised once; word 0 is the end of a document."""
 
@@ -49,10 +77,23 @@ class WordIds:
         fresh, self.known.fresh = self.known.fresh, []
         if not fresh:
             return
-        found = tokenizer(self.path).encode_batch_fast([w.decode() for w in fresh], add_special_tokens=False)
-        flat, starts = joined([np.array(x.ids, np.uint32) for x in found], np.uint32)
-        self.starts = np.concatenate([self.starts, starts[1:] + self.starts[-1]])
-        self.flat = np.concatenate([self.flat, flat])
+        # A comma or full stop after a letter is a token of its own, and case makes no difference, so
+        # what goes through the tokenizer is the rest of the word; added tokens stay as they are.
+        cores = Numbers()
+        ends_of_words = cores.of([b",", b"."])
+        lines = b"\n".join(fresh) + b"\n"
+        chars = np.frombuffer(lines if b"<" in lines else lines.lower(), np.uint8)
+        ends = np.flatnonzero(chars == 10)
+        last, before = chars[ends - 1], chars[np.maximum(ends - 2, 0)]
+        cut = ((last == ord(",")) | (last == ord("."))) & (before >= ord("a")) & (before <= ord("z"))
+        core = cores.of(np.delete(chars, ends[cut] - 1).tobytes().split(b"\n")[:-1])
+        tail = np.where(cut, ends_of_words[(last == ord(".")).astype(int)], -1)
+        pool, starts = encoded(self.path, [w.decode() for w in cores])
+        parts = np.column_stack([core, tail]).astype(np.int64).reshape(-1)
+        lengths = np.where(parts < 0, 0, np.diff(starts)[parts])
+        self.flat = np.concatenate([self.flat, pool[ranges(starts[parts], lengths)]])
+        ends = np.cumsum(lengths.reshape(-1, 2).sum(axis=1))
+        self.starts = np.concatenate([self.starts, ends + self.starts[-1]])
 
     def of(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and where each text begins."""
@@ -65,9 +106,14 @@ class WordIds:
         return ids, np.concatenate([[0], np.cumsum(lengths)])[starts]
 
 
+@lru_cache(maxsize=1)
+def word_ids(path: str, end_id: int) -> WordIds:
+    return WordIds(path, end_id)
+
+
 def _pieces(path: str, end_id: int, most: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(path, end_id)
+        words = word_ids(path, end_id)
         for batch in slices(batches):
             ids, starts = words.of(utf8(batch))
             n = np.diff(starts)

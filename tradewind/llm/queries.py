@@ -53,9 +53,9 @@ FROM marked GROUP BY doc_id""",
     "op6_minhash_near_dedup": f"""
 WITH RECURSIVE words AS (
   SELECT doc_id, list_filter(string_split_regex({_LOWER.format("coalesce(text, '')")}, '[\\x20\\x09-\\x0D]+'),
-                             x -> x <> '') AS w FROM documents),
+                             lambda x: x <> '') AS w FROM documents),
 sets AS (SELECT doc_id, CASE WHEN len(w) < 2 THEN w
-                             ELSE list_distinct(list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1])) END AS s
+                             ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s
          FROM words),
 members AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
 common AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS an, any_value(b.n) AS bn, count(*) AS n_common
