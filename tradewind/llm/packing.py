@@ -26,40 +26,13 @@ from pyspark.sql import functions as F
 
 from tradewind.llm.storage import stored
 from tradewind.llm.texts import Numbers, joined, ranges, slices, utf8
-from tradewind.llm.token_counts import tokenizer
+from tradewind.llm.token_counts import encoded
 
 WORDS_HELD = 1_000_000
-WORDS_A_CALL = 500
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", sequence_id long, offset long"
 
 
-def encoded(path: str, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of all words in a row, and where each begins.
-
-    Many words go through the tokenizer in one text, with an added token between them: it ends a word
-    wherever it stands and is easily found again. Where words hold added tokens themselves, they are
-    encoded one by one.
-    """
-    model = tokenizer(path)
-    marks = model.get_added_tokens_decoder()
-    parts, lengths = [np.empty(0, np.uint32)], [0]
-    for at in range(0, len(words), WORDS_A_CALL):
-        group = words[at : at + WORDS_A_CALL]
-        for mark, token in list(marks.items())[:1]:
-            found = model.encode_batch_fast([token.content.join(group)], add_special_tokens=False)[0]
-            ids = np.array(found.ids, np.uint32)
-            cuts = np.flatnonzero(ids == mark)
-        if marks and len(cuts) == len(group) - 1:
-            parts.append(ids[ids != mark])
-            lengths += (np.diff(np.concatenate([[-1], cuts, [len(ids)]])) - 1).tolist()
-        else:
-            for one in model.encode_batch_fast(group, add_special_tokens=False):
-                parts.append(np.array(one.ids, np.uint32))
-                lengths.append(len(one.ids))
-    return np.concatenate(parts), np.cumsum(lengths)
-
-
 class WordIds:
     """Ids of words, each tokenised once; word 0 is the end of a document."""
 
