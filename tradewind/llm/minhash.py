@@ -110,7 +110,7 @@ def survives(a: np.ndarray, b: np.ndarray, similarity: float, miss: float) -> np
     return out
 
 
-def _band_keys(minima: np.ndarray, bands: int, rows: int) -> np.ndarray:
+def band_keys(minima: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """64-bit keys (signatures by bands) of the minima of each band and the number of the band."""
     minima = minima.reshape(-1, bands, rows).astype(np.uint64)
     key = np.broadcast_to(mixed(np.arange(1, bands + 1, dtype=np.uint64)), minima.shape[:2])
@@ -132,7 +132,7 @@ def _banded(shingle: int, bands: int, rows: int):
                 for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)
             ]
             ends = np.concatenate([[0], np.cumsum(full * bands)]).astype(np.int32)
-            keys = _band_keys(minima, bands, rows).reshape(-1).view(np.int64)
+            keys = band_keys(minima, bands, rows).reshape(-1).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
