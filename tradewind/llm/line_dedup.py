@@ -145,18 +145,25 @@ def _suspected_lines(least_chars: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             ids = batch.column("doc_id").to_pylist()
-            docs, keys = [], []
+            docs, keys, key_hashes = [], [], []
             for doc, text, hashes in zip(ids, utf8(batch), batch.column("hashes").to_pylist(), strict=True):
                 wanted = set(hashes)
                 found = {
-                    k
+                    k: h
                     for line in text.split(b"\n")
-                    if (k := key_of(line, least_chars)) is not None and hash_of(k) in wanted
+                    if (k := key_of(line, least_chars)) is not None and (h := hash_of(k)) in wanted
                 }
                 docs += [doc] * len(found)
                 keys += found
+                key_hashes += found.values()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(docs, pa.int64()), pa.array(keys, pa.binary()).cast(pa.string())], names=["doc_id", "key"]
+                [
+                    pa.array(docs, pa.int64()),
+                    pa.array(keys, pa.binary()).cast(pa.string()),
+                    pa.array(key_hashes, pa.int64()),
+                    pa.array(map(xxhash.xxh3_128_digest, keys), pa.binary()),
+                ],
+                names=["doc_id", "key", "hash", "digest"],
             )
 
     return run
@@ -180,27 +187,20 @@ def losses(docs: DataFrame, least_chars: int = 20, least_docs: int = 3) -> DataF
     lines = (
         docs.join(suspects, _same(docs["doc_id"], suspects["suspect_doc"]))
         .select("doc_id", "text", "hashes")
-        .mapInArrow(_suspected_lines(least_chars), "doc_id long, key string")
+        .mapInArrow(_suspected_lines(least_chars), "doc_id long, key string, hash long, digest binary")
     )
     repeated = (
         lines.groupBy("key")
-        .agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("last_doc"))
+        .agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("last_doc"), F.first("digest").alias("digest"))
         .filter(F.col("n_docs") >= least_docs)
     )
+    # Counted by text, joined by its 128-bit digest: the text moves once, and a hot key can be split.
     lost = (
-        lines.join(repeated, "key")
+        lines.select("doc_id", "hash", "digest")
+        .join(repeated.select("digest", "last_doc"), "digest")
         .filter(~_same(F.col("doc_id"), F.col("last_doc")))
-        .mapInArrow(_hashed, "lost_doc long, hash long")
     )
-    return lost.groupBy("lost_doc").agg(F.collect_set("hash").alias("lost"))
-
-
-def _hashed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keys = batch.column("key").cast(pa.binary()).to_pylist()
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(map(hash_of, keys), pa.int64())], names=["lost_doc", "hash"]
-        )
+    return lost.groupBy(F.col("doc_id").alias("lost_doc")).agg(F.collect_set("hash").alias("lost"))
 
 
 def kept_lines(text: bytes, lost: set[int], least_chars: int) -> tuple[list[bytes], int]:
