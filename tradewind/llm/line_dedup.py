@@ -94,6 +94,12 @@ def _sent_hashes(least_chars: int):
     return run
 
 
+def _digests(keys: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """128-bit digests of keys, as two columns of 64 bits."""
+    both = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, keys)), np.int64).reshape(-1, 2)
+    return both[:, 0], both[:, 1]
+
+
 class Bloom:
     """A Bloom filter over 64-bit hashes, as an array of bits."""
 
@@ -161,9 +167,9 @@ def _suspected_lines(least_chars: int):
                     pa.array(docs, pa.int64()),
                     pa.array(keys, pa.binary()).cast(pa.string()),
                     pa.array(key_hashes, pa.int64()),
-                    pa.array(map(xxhash.xxh3_128_digest, keys), pa.binary()),
+                    *(pa.array(x) for x in _digests(keys)),
                 ],
-                names=["doc_id", "key", "hash", "digest"],
+                names=["doc_id", "key", "hash", "high", "low"],
             )
 
     return run
@@ -187,17 +193,22 @@ def losses(docs: DataFrame, least_chars: int = 20, least_docs: int = 3) -> DataF
     lines = (
         docs.join(suspects, _same(docs["doc_id"], suspects["suspect_doc"]))
         .select("doc_id", "text", "hashes")
-        .mapInArrow(_suspected_lines(least_chars), "doc_id long, key string, hash long, digest binary")
+        .mapInArrow(_suspected_lines(least_chars), "doc_id long, key string, hash long, high long, low long")
     )
     repeated = (
         lines.groupBy("key")
-        .agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("last_doc"), F.first("digest").alias("digest"))
+        .agg(
+            F.count(F.lit(1)).alias("n_docs"),
+            F.max("doc_id").alias("last_doc"),
+            F.max("high").alias("high"),
+            F.max("low").alias("low"),
+        )
         .filter(F.col("n_docs") >= least_docs)
     )
     # Counted by text, joined by its 128-bit digest: the text moves once, and a hot key can be split.
     lost = (
-        lines.select("doc_id", "hash", "digest")
-        .join(repeated.select("digest", "last_doc"), "digest")
+        lines.select("doc_id", "hash", "high", "low")
+        .join(repeated.select("high", "low", "last_doc"), ["high", "low"])
         .filter(~_same(F.col("doc_id"), F.col("last_doc")))
     )
     return lost.groupBy(F.col("doc_id").alias("lost_doc")).agg(F.collect_set("hash").alias("lost"))

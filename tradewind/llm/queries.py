@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,7 +48,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {name: f for name, f in list(globals().items()) if name.startswith("op")}
+QUERIES: dict[str, Query] = {
+    **{name: f for name, f in list(globals().items()) if name.startswith("op")},
+    "pipeline": corpus_pipeline.run,
+}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
