@@ -8,7 +8,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.llm import decontaminate, language_id, licenses, line_dedup, minhash, packing, quality, secrets, token_counts
+from tradewind.llm import decontaminate, embeddings, language_id, licenses, line_dedup, minhash, packing, quality, secrets, token_counts
 from tradewind.llm.storage import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,10 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
 
 
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op8_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -61,6 +65,19 @@ _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxy
 _SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 SQL: dict[str, str] = {
+    "op7_embedding_near_dedup": """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL),
+linked AS (SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id
+           WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+reach AS (SELECT a AS id, b AS other FROM linked
+          UNION SELECT r.id, l.b FROM reach r JOIN linked l ON r.other = l.a),
+lowest AS (SELECT id, min(other) AS other FROM reach GROUP BY id),
+counted AS (SELECT a AS id, count(*) AS n_links FROM linked GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, least(vec_id, coalesce(other, vec_id)) AS component_id,
+       least(vec_id, coalesce(other, vec_id)) = vec_id AS kept
+FROM embeddings LEFT JOIN lowest ON vec_id = lowest.id LEFT JOIN counted ON vec_id = counted.id""",
     "op1_line_dedup": f"""
 WITH cut AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 numbered AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM cut),
