@@ -7,15 +7,17 @@ sets is at least ``similar_percent`` per cent, compared in whole numbers.
 Steps:
 1. each text becomes its set's size and digest and the keys of its bands (of ``bands * rows`` minima).
    Documents of equal sets are one class from here on, so thousands of copies are one member;
-2. members that share a band are candidates. A pair at the threshold shares none of the 32 bands of 4
-   rows with probability 5e-8. Only the texts of such members are read again, for signature and set;
+2. members that share a band are candidates. A pair at the threshold shares none of the 40 bands of 5
+   rows with probability 1.2e-7. Only the texts of such members are read again, for signature and set;
 3. the signatures of a pair are compared in batches of 32 minima: with m of n equal, the posterior
    probability (uniform prior) that the similarity reaches the threshold is a binomial tail, and the
    pair is dropped as soon as that is below ``miss``;
 4. survivors are verified on their full sets;
-5. pairs come in two rounds. First every member meets one other, the smallest member of most of its
-   bands; the links join most of a group, be it thousands of near copies, in as many pairs as members.
-   Then all pairs of a band that the links have not joined yet and whose sizes allow the similarity;
+5. candidates come in three rounds, so that no round lists the pairs of a large group. First every
+   member meets one other, the smallest member of most of its bands. Then each member visits the
+   largest component that shares a band with it, then all that still do, always from the smaller
+   component to the larger one. A visit compares the member with the whole component, block by block,
+   and ends in one link at most;
 6. components of the links, spread over the classes.
 
 Empty and null texts have the empty set and are linked with nothing. A null ``doc_id`` is never
@@ -37,11 +39,14 @@ from pyspark.sql import functions as F
 
 from tradewind.llm.links import components
 from tradewind.llm.storage import stored
-from tradewind.llm.texts import Numbers, joined, mixed, slices, utf8
+from tradewind.llm.texts import Numbers, joined, mixed, ranges, slices, utf8
 
-BANDS, ROWS = 32, 4
+BANDS, ROWS = 40, 5
 BATCH = 32
 CACHED = 1 << 15
+BLOCK = 128
+PAIRS_AT_ONCE = 1 << 16
+MEMBERS_AT_ONCE = 1 << 13
 MISS = 1e-9
 _FIRST = np.uint64(0x9E3779B97F4A7C15)
 _OTHER = np.uint64(0xD1B54A32D192ED03)
@@ -166,50 +171,105 @@ def _sets(shingle: int, count: int):
     return run
 
 
-def _numbers(column: pd.Series, dtype) -> np.ndarray:
-    return np.frombuffer(b"".join(column), dtype).reshape(len(column), -1)
+def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Numbers of common members of each left with each right set."""
+    known = np.unique(np.concatenate(left))
+    values, starts = joined(right, np.uint64)
+    place = np.minimum(np.searchsorted(known, values), len(known) - 1)
+    there = known[place] == values
+    of_right = np.zeros((len(right), len(known)), np.float32)
+    of_right[np.repeat(np.arange(len(right)), np.diff(starts))[there], place[there]] = 1
+    of_left = np.zeros((len(left), len(known)), np.float32)
+    for i, own in enumerate(left):
+        of_left[i, np.searchsorted(known, own)] = 1
+    return np.rint(of_left @ of_right.T).astype(np.int64)
+
+
+def similar(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which left sets are similar to which right ones, exactly."""
+    out = np.zeros((len(left), len(right)), bool)
+    n_right = np.array([len(x) for x in right])
+    at = 0
+    while at < len(left):  # a few at a time: the table below has a column for each of their members
+        stop, total = at, 0
+        while stop < len(left) and (stop == at or total + len(left[stop]) <= MEMBERS_AT_ONCE):
+            total += len(left[stop])
+            stop += 1
+        common = _common(left[at:stop], right)
+        n_left = np.array([len(x) for x in left[at:stop]])
+        out[at:stop] = 100 * common >= percent * (n_left[:, None] + n_right - common)
+        at = stop
+    return out
 
 
-def _pruned(similarity: float, miss: float):
-    """Which pairs of signatures survive."""
+def _pruned_and_verified(percent: int, miss: float):
+    """Both tests, for pairs that come with signatures and sets."""
 
     @F.pandas_udf("boolean")
-    def test(a: pd.Series, b: pd.Series) -> pd.Series:
-        alive = survives(_numbers(a, np.uint32), _numbers(b, np.uint32), similarity, miss) if len(a) else []
-        return pd.Series(alive, dtype=bool)
+    def test(a: pd.Series, b: pd.Series, a_set: pd.Series, b_set: pd.Series) -> pd.Series:
+        out = np.zeros(len(a), bool)
+        if len(a):
+            left, right = (np.frombuffer(b"".join(x), np.uint32).reshape(len(x), -1) for x in (a, b))
+            for i in np.flatnonzero(survives(left, right, percent / 100, miss)):
+                x, y = (np.frombuffer(s.iloc[i], np.uint64) for s in (a_set, b_set))
+                out[i] = similar([x], [y], percent)[0, 0]
+        return pd.Series(out)
 
     return test
 
 
-def _similar(a: bytes, b: bytes, percent: int) -> bool:
-    left, right = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-    common = len(np.intersect1d(left, right, assume_unique=True))
-    return 100 * common >= percent * (len(left) + len(right) - common)
-
+def _surviving_visits(percent: int, miss: float):
+    """Visits of which a pair survives: (component, block, visitor)."""
 
-def _verified(percent: int):
-    """Which pairs of full sets are similar."""
-
-    @F.pandas_udf("boolean")
-    def test(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([_similar(x, y, percent) for x, y in zip(a, b, strict=True)], dtype=bool)
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            visitors, members = batch.column("visitors"), batch.column("members")
+            v_count, m_count = visitors.value_lengths().to_numpy(), members.value_lengths().to_numpy()
+            v_sign, m_sign = (
+                np.frombuffer(b"".join(x.flatten().field("signature").to_pylist()), np.uint32) for x in (visitors, members)
+            )
+            ids = visitors.flatten().field("id").to_numpy()
+            v_sign, m_sign = v_sign.reshape(len(ids), -1), m_sign.reshape(int(m_count.sum()), -1)
+            # All pairs of a row: each of its visitors with each of its members.
+            row = np.repeat(np.arange(batch.num_rows), v_count)
+            m_first = (np.cumsum(m_count) - m_count)[row]
+            alive = np.zeros(len(ids), bool)
+            ends = np.cumsum(m_count[row])
+            first = 0
+            while first < len(ids):
+                before = ends[first - 1] if first else 0
+                last = max(first + 1, int(np.searchsorted(ends, before + PAIRS_AT_ONCE, side="right")))
+                count = m_count[row[first:last]]
+                visitor = np.repeat(np.arange(first, last), count)
+                member = ranges(m_first[first:last], count)
+                alive[visitor[survives(v_sign[visitor], m_sign[member], percent / 100, miss)]] = True
+                first = last
+            kept = np.flatnonzero(alive)
+            at = pa.array(row[kept])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("component").take(at), batch.column("block").take(at), pa.array(ids[kept])],
+                names=["component", "block", "id"],
+            )
 
-    return test
+    return run
 
 
-def _pruned_and_verified(percent: int, miss: float):
-    """Both tests, for pairs that come with signatures and sets."""
+def _verified_visits(percent: int):
+    """One link of each visitor that is similar to a member of the block."""
 
-    @F.pandas_udf("boolean")
-    def test(a: pd.Series, b: pd.Series, a_set: pd.Series, b_set: pd.Series) -> pd.Series:
-        out = np.zeros(len(a), bool)
-        if len(a):
-            alive = survives(_numbers(a, np.uint32), _numbers(b, np.uint32), percent / 100, miss)
-            for i in np.flatnonzero(alive):
-                out[i] = _similar(a_set.iloc[i], b_set.iloc[i], percent)
-        return pd.Series(out)
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            links = []
+            for row in range(batch.num_rows):
+                visitors, members = batch.column("visitors")[row].as_py(), batch.column("members")[row].as_py()
+                left, right = ([np.frombuffer(x["own"], np.uint64) for x in side] for side in (visitors, members))
+                found = similar(left, right, percent)
+                for i in np.flatnonzero(found.any(axis=1)).tolist():
+                    links.append((members[int(found[i].argmax())]["id"], visitors[i]["id"]))
+            a, b = zip(*links, strict=True) if links else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return test
+    return run
 
 
 class NearDuplicates:
@@ -258,43 +318,66 @@ class NearDuplicates:
         pairs = active.filter("hub IS NOT NULL").join(hubs, F.col("hub") == F.col("a"))
         return pairs.filter(test("a_signature", "signature", "a_own", "own")).select("a", F.col("id").alias("b"))
 
-    def _still_apart(self, active: DataFrame, joined_so_far: DataFrame) -> DataFrame:
-        """Links of members of a band that have different components so far."""
-        shared = self.shared.select("id", "n", "band").join(joined_so_far, "id", "left")
-        shared = shared.withColumn("component", F.coalesce("component", "id"))
-        bands = shared.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        rest = stored(shared.join(bands.filter("lo <> hi").select("band"), "band"), "apart")
-        left, right = (
-            rest.select("band", *[F.col(c).alias(f"{side}_{c}") for c in ("id", "n", "component")]) for side in "ab"
+    def _visits(self, cells: DataFrame, largest: bool) -> DataFrame:
+        """(component, size, id) of members to compare with components they share a band with.
+
+        ``cells``: the members of bands with their component and its size. The smaller component's
+        members visit the larger one; with ``largest``, only the largest that they share a band with.
+        """
+        bands = cells.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+        apart = stored(cells.join(bands.filter("lo <> hi").select("band"), "band"), "apart")
+        there = apart.groupBy(F.col("band").alias("of_band"), F.col("component").alias("visited")).agg(
+            F.max("size").alias("visited_size"), F.min("n").alias("least_n"), F.max("n").alias("most_n")
         )
-        fit = F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * self.percent
-        pairs = left.join(right, "band").filter(
-            (F.col("a_id") < F.col("b_id")) & (F.col("a_component") != F.col("b_component")) & fit
+        fit = (F.col("n") * 100 >= F.col("least_n") * self.percent) & (F.col("most_n") * 100 >= F.col("n") * self.percent)
+        smaller = F.struct("size", "component") < F.struct(F.col("visited_size").alias("size"), F.col("visited").alias("component"))
+        visits = apart.join(there, (F.col("band") == F.col("of_band")) & smaller & fit)
+        visits = visits.select(F.col("visited").alias("component"), F.col("visited_size").alias("size"), "id").distinct()
+        if not largest:
+            return visits
+        return visits.groupBy("id").agg(F.max(F.struct("size", "component")).alias("to")).select("to.component", "to.size", "id")
+
+    def _met(self, visits: DataFrame, members: DataFrame, column: str) -> DataFrame:
+        """Blocks of components with a chunk of their visitors, both with ``column`` of the members."""
+        chunk = F.pmod(F.xxhash64("id"), F.greatest(F.lit(1), F.ceil(F.col("times") / BLOCK))).cast("int")
+        times = visits.groupBy("component", "block").agg(F.count(F.lit(1)).alias("times"))
+        own = members.select("id", column)
+        side = F.collect_list(F.struct("id", column))
+        visitors = visits.join(own, "id").join(times, ["component", "block"]).withColumn("chunk", chunk)
+        visitors = visitors.groupBy("component", "block", "chunk").agg(side.alias("visitors"))
+        visited = members.join(times.select("component", "block"), ["component", "block"], "left_semi")
+        visited = visited.groupBy("component", "block").agg(side.alias("members"))
+        return visitors.join(visited, ["component", "block"])
+
+    def _visited(self, active: DataFrame, joined_so_far: DataFrame, largest: bool) -> DataFrame:
+        """Links found by visits between the components so far."""
+        known = stored(
+            active.select("id").join(joined_so_far, "id", "left").select("id", F.coalesce("component", "id").alias("component")),
+            "known",
         )
-        pairs = pairs.select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
-        signs, sets = active.select("id", "signature"), active.select("id", "own")
+        sizes = known.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+        known = stored(known.join(sizes, "component"), "sized")
+        blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+        visits = self._visits(self.shared.select("id", "n", "band").join(known, "id"), largest)
+        visits = stored(visits.select("component", "id", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block")), "visits")
+        block = F.pmod(F.xxhash64("id"), blocks).alias("block")
+        members = active.join(known.select("id", "component", block), "id")
         alive = stored(
-            pairs.join(signs.toDF("a", "a_signature"), "a")
-            .join(signs.toDF("b", "b_signature"), "b")
-            .filter(_pruned(self.percent / 100, self.miss)("a_signature", "b_signature"))
-            .select("a", "b"),
+            self._met(visits, members, "signature").mapInArrow(
+                _surviving_visits(self.percent, self.miss), "component long, block int, id long"
+            ),
             "alive",
         )
-        needed = alive.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        sets = sets.join(needed, "id", "left_semi")
-        return (
-            alive.join(sets.toDF("a", "a_own"), "a")
-            .join(sets.toDF("b", "b_own"), "b")
-            .filter(_verified(self.percent)("a_own", "b_own"))
-            .select("a", "b")
-        )
+        return self._met(alive, members, "own").mapInArrow(_verified_visits(self.percent), "a long, b long")
 
     def linked(self) -> DataFrame:
         """``id, component`` of the members that any link joins."""
         active = self._active()
-        first = stored(self._with_hub(active), "first_links")
-        second = stored(self._still_apart(active, components(first)), "second_links")
-        return components(first.unionByName(second))
+        links = stored(self._with_hub(active), "hub_links")
+        for largest in (True, False):
+            found = self._visited(active, components(links), largest)
+            links = links.unionByName(stored(found, "visit_links"))
+        return components(links)
 
     def labelled(self) -> DataFrame:
         """``doc_id, n_shingles, component_id, kept`` of every document."""
