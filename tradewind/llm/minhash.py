@@ -21,8 +21,8 @@ Steps:
 6. components of the links, spread over the classes.
 
 Empty and null texts have the empty set and are linked with nothing. A null ``doc_id`` is never
-linked, its component is null and it is not kept. Rows that share a ``doc_id`` share a component. An
-empty table gives no rows. ``deduplicated`` returns all columns of the documents it keeps.
+linked, its component is null and it is not kept. Repeated rows come out repeated; of rows that share
+a ``doc_id`` but not the text each has the component of its own text. An empty table gives no rows. ``deduplicated`` returns all columns of the documents it keeps.
 """
 
 from __future__ import annotations
