@@ -79,6 +79,10 @@ _FINAL = {
         SELECT l_partkey + 50 AS sku_id, k.sku_name, k.tm_name, count(*) AS line_ct,
             CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS sku_num
         FROM lineitem LEFT JOIN dim_sku k ON k.id = CAST(l_partkey + 50 AS VARCHAR) GROUP BY ALL""",
+    "order_wide_orphans": """
+        SELECT l_orderkey * 10 + l_linenumber AS id, l_orderkey AS order_id, l_partkey + 50 AS sku_id,
+            CASE WHEN k.id IS NULL THEN 'sku ' || l_partkey ELSE k.sku_name END AS sku_name, k.tm_name
+        FROM lineitem LEFT JOIN dim_sku k ON k.id = CAST(l_partkey + 50 AS VARCHAR)""",
     "dim_camel": """
         SELECT id, sku_name AS "skuName", CAST(price AS DECIMAL(16,2)) AS "skuPrice",
             CAST(spu_id AS BIGINT) AS "spuId", CAST(tm_id AS BIGINT) AS "tmId",
@@ -95,7 +99,8 @@ _FINAL = {
     "product_stats": "SELECT * FROM product_stats",
     "product_stats_wide": "SELECT * FROM product_stats_wide",
     "province_stats": "SELECT * FROM province_stats",
-    "keyword_tokens": "SELECT doc_id, word, count(*) AS ct FROM words GROUP BY ALL",
+    "keyword_tokens": "SELECT doc_id, word, count(*) AS ct FROM words WHERE word <> '' GROUP BY ALL",
+    "keyword_cjk": "SELECT doc_id, word, count(*) AS ct FROM cjkwords WHERE word <> '' GROUP BY ALL",
     "keyword_stats": "SELECT * FROM keyword_stats",
     "distinct_per_window": f"""
         SELECT {stt('ts', 3600)}, {edt('ts', 3600)}, page_id, count(DISTINCT mid) AS mid_ct, count(*) AS view_ct

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tradewind.functions.names import camel_columns
 from tradewind.functions.times import text_ms, time_text
-from tradewind.functions.words import latin_words, split_words
+from tradewind.functions.words import spaced_words, split_words
 from tradewind.operators import routing, upsert, visits
 from tradewind.operators.enrichment import enrich, product_dim
 from tradewind.operators.intervals import interval_join
@@ -31,6 +31,9 @@ from tradewind.sources.sample_tables import SampleTables
 DAY = "20240115"
 AS_OF = "2024-01-31"
 JUMP_MS = 3_600_000
+# Stand-ins for text without word breaks: one ideograph per small letter.
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+IDEOGRAPHS = "".join(chr(0x4E00 + i) for i in range(26))
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -287,6 +290,14 @@ def dim_enrich(t: SampleTables) -> DataFrame:
     )
 
 
+@query
+def order_wide_orphans(t: SampleTables) -> DataFrame:
+    """Order lines with a shifted sku id: those without a sku keep the name they came with."""
+    shifted = t.order_detail().withColumn("sku_id", F.col("sku_id") + 50)
+    wide = order_wide.with_product(shifted, products(t))
+    return wide.select("id", "order_id", "sku_id", "sku_name", "tm_name")
+
+
 @query
 def dim_camel(t: SampleTables) -> DataFrame:
     return camel_columns(products(t))
@@ -341,12 +352,24 @@ def province_stats_rows(t: SampleTables) -> DataFrame:
 @query
 def keyword_tokens(t: SampleTables) -> DataFrame:
     """Words per document; CJK runs are looked up in a dictionary made of the part names."""
-    dictionary = t.table("part").select(F.explode(latin_words(F.col("p_name"))).alias("word")).distinct()
+    dictionary = t.table("part").select(F.explode(spaced_words(F.col("p_name"))).alias("word")).distinct()
     docs = t.table("documents").select("doc_id", "text")
     words = split_words(docs, "text", dictionary)
     return words.groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("ct"))
 
 
+@query
+def keyword_cjk(t: SampleTables) -> DataFrame:
+    """Words of the documents written in ideographs, by words of one to seven characters of the part names."""
+    dictionary = t.table("part").select(
+        F.expr("substring(p_name, 1, CAST(1 + p_partkey % 7 AS INT))").alias("word")
+    ).filter("word NOT LIKE '% %'")
+    ideographs = F.translate("text", LETTERS, IDEOGRAPHS)
+    docs = t.table("documents").select("doc_id", ideographs.alias("text"))
+    words = split_words(docs, "text", dictionary.select(F.translate("word", LETTERS, IDEOGRAPHS).alias("word")))
+    return words.groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("ct"))
+
+
 @query
 def keyword_stats_rows(t: SampleTables) -> DataFrame:
     return keywords(t)

@@ -21,14 +21,8 @@ def _new_dir(spark: SparkSession, name: str) -> str:
 
 
 def _run(spark: SparkSession, df: DataFrame, path: str, write: sinks.BatchWriter) -> None:
-    """Run a stream over everything there is. State is kept in about one partition per core."""
-    conf, key = spark.conf, "spark.sql.shuffle.partitions"
-    before = conf.get(key)
-    conf.set(key, str(min(int(before), spark.sparkContext.defaultParallelism)))
-    try:
-        sinks.start(df, f"{path}/checkpoint", write, once=True).awaitTermination()
-    finally:
-        conf.set(key, before)
+    """Run a stream over everything there is."""
+    sinks.start(df, f"{path}/checkpoint", write, once=True).awaitTermination()
 
 
 def _replay(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:

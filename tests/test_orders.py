@@ -59,9 +59,9 @@ def test_order_wide_and_payment_wide(spark):
     assert (full.sku_name, full.spu_name, full.tm_name, full.category3_name) == ("phone", "phones", "brand", "devices")
     assert (full.user_age, full.user_gender, full.province_name) == (34, "F", "North")
     assert (full.create_date, full.create_hour) == ("2024-01-01", "10")
-    # A sku without spu and brand rows keeps what it has; an unknown sku keeps the row.
+    # A sku without spu and brand rows keeps what it has; an unknown sku keeps the row and its own name.
     assert (got[12].sku_name, got[12].spu_id, got[12].spu_name, got[12].tm_id) == ("cable", 70, None, None)
-    assert (got[13].sku_name, got[13].category3_name) == (None, None)
+    assert (got[13].sku_name, got[13].category3_name) == ("old name", None)
 
     payments = spark.createDataFrame(
         [(100, 1, 6, D("9.99"), "s", "1101", "2024-01-01 10:00:05", None),
@@ -95,9 +95,9 @@ def test_camel():
     assert [camel(n) for n in ("sku_name", "iso_3166_2", "ID", "tm_id")] == ["skuName", "iso31662", "id", "tmId"]
 
 
-def test_only_counted_tables_are_broadcast(spark):
-    from tradewind.operators.enrichment import broadcast_if_few
-
-    few = spark.range(3).withColumnRenamed("id", "k")
-    hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
-    assert hinted(broadcast_if_few(few, 3)) and not hinted(broadcast_if_few(few, 2))
+def test_nothing_is_forced_to_broadcast_and_no_job_runs_while_planning(spark):
+    _, _, sku, spu, tm, cat = dims(spark)
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    plan = product_dim(sku, spu, tm, cat)._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" not in plan
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before

@@ -77,7 +77,20 @@ def test_words(spark, rows):
         [(1, "大数据"), (1, "数据"), (1, "abc"), (2, "iphone13"), (2, "pro"), (2, "max"), (4, "数据"), (4, "数据")],
         key=repr,
     )
-    assert rows(split_words(texts, "text").filter("n = 1")) == [(1, "abc")]
+    # Without a dictionary a run without word breaks comes out whole.
+    assert rows(split_words(texts, "text").filter("n = 1")) == [(1, "abc"), (1, "大数据")]
+
+
+def test_words_of_any_script_and_length_are_whole(spark, rows):
+    texts = spark.createDataFrame(
+        [(1, "größe été O\u0301k"), (2, "人工智能大数据平台"), (3, "カタカナーとひらがな한국어"), (4, "我们的北京大学物理系学生会")], "n INT, text STRING"
+    )
+    dictionary = spark.createDataFrame([("人工智能大",), ("大数据",), ("北京大学物理系",), ("と",)], "word STRING")
+    assert rows(split_words(texts, "text", dictionary)) == sorted(
+        [(1, "größe"), (1, "été"), (1, "o\u0301k"), (2, "人工智能大"), (2, "大数据"), (2, "平台"),
+         (3, "カタカナー"), (3, "と"), (3, "ひらがな한국어"), (4, "我们的"), (4, "北京大学物理系"), (4, "学生会")],
+        key=repr,
+    )
 
 
 def test_words_are_found_anywhere_in_a_long_text(spark):

@@ -1,49 +1,70 @@
-"""Keyword splitting with built-in expressions only."""
+"""Keyword splitting with built-in expressions only.
+
+Words of alphabetic scripts are runs of letters, marks and digits. Chinese, Japanese and Korean text
+has no word breaks, so its runs are looked up in a dictionary; what the dictionary does not know
+comes out as it stands, so no text is lost.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-LONGEST_WORD = 4
-_LATIN_RUN = "[A-Za-z0-9]+"
-_CJK_RUN = "[\\u4e00-\\u9fff]+"
+_CJK = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsHangul}ー"
+_CJK_RUN = f"[{_CJK}]+"
+_WORD_RUN = rf"[\p{{L}}\p{{M}}\p{{N}}&&[^{_CJK}]]+"
+
+
+def spaced_words(text: Column) -> Column:
+    """Lower-cased runs of letters, marks and digits, in order, repeats kept; no CJK text."""
+    return F.transform(F.regexp_extract_all(text, F.lit(_WORD_RUN), 0), F.lower)
 
 
-def latin_words(text: Column) -> Column:
-    """Lower-cased runs of ASCII letters and digits, in order, repeats kept."""
-    return F.transform(F.regexp_extract_all(text, F.lit(_LATIN_RUN), 0), F.lower)
+def cjk_runs(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(_CJK_RUN), 0)
 
 
-def cjk_candidates(text: Column, longest: int = LONGEST_WORD) -> Column:
-    """Every substring of up to ``longest`` characters of each CJK run of the text."""
+def _unknown(run: Column, spans: Column) -> Column:
+    """The stretches of a run that no span (at, word) covers."""
 
-    def starts_of(run: Column) -> Column:
-        def lengths_at(start: Column) -> Column:
-            room = F.least(F.lit(longest), F.length(run) - start + 1)
-            return F.transform(F.sequence(F.lit(1), room), lambda n: F.substring(run, start, n))
+    def left_over(at: Column) -> Column:
+        covered = F.exists(spans, lambda s: (s["at"] <= at) & (at < s["at"] + F.length(s["word"])))
+        return F.when(covered, F.lit(" ")).otherwise(F.substring(run, at, 1))
 
-        return F.flatten(F.transform(F.sequence(F.lit(1), F.length(run)), lengths_at))
+    rest = F.array_join(F.transform(F.sequence(F.lit(1), F.length(run)), left_over), "")
+    return F.filter(F.split(rest, " +"), lambda piece: piece != "")
 
-    return F.flatten(F.transform(F.regexp_extract_all(text, F.lit(_CJK_RUN), 0), starts_of))
+
+def words_of_runs(runs: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """``run, words`` of distinct runs: every known word at every place, then what none of them covers.
+
+    Each place of a run is looked up by its first one and two characters, which is where a word of the
+    dictionary starts, and compared over the word's own length, so words of any length are found.
+    """
+    heads = F.array_distinct(F.array(F.expr("substring(run, at, 1)"), F.expr("substring(run, at, 2)")))
+    places = runs.select("run", F.explode(F.sequence(F.lit(1), F.length("run"))).alias("at"))
+    places = places.select("run", "at", F.explode(heads).alias("head"))
+    known = dictionary.select("word").distinct().select("word", F.substring("word", 1, 2).alias("head"))
+    found = places.join(known, "head").filter("word <> '' AND substring(run, at, length(word)) = word")
+    spans = found.groupBy("run").agg(F.collect_list(F.struct("at", "word")).alias("spans"))
+    none = F.array().cast("array<struct<at:int,word:string>>")
+    whole = runs.join(spans, "run", "left").select("run", F.coalesce("spans", none).alias("spans"))
+    named = F.transform("spans", lambda s: s["word"])
+    return whole.select("run", F.concat(named, _unknown(F.col("run"), F.col("spans"))).alias("words"))
 
 
-def split_words(
-    df: DataFrame, text: str, dictionary: DataFrame | None = None, longest: int = LONGEST_WORD
-) -> DataFrame:
+def split_words(df: DataFrame, text: str, dictionary: DataFrame | None = None) -> DataFrame:
     """One row per word of ``text``: the other columns of ``df`` plus ``word``.
 
-    Latin and digit runs are words as they stand. CJK text has no word breaks: its substrings are
-    kept where ``dictionary`` (column ``word``) knows them, so overlapping words all come out
-    (fine-grained splitting). Spark broadcasts the dictionary if its size allows it; otherwise the
-    semi join shuffles, and adaptive execution splits a hot word.
+    With a ``dictionary`` (column ``word``) all its words in a CJK run come out, overlapping ones
+    too, and the stretches it does not know; without one the whole run does. Each distinct run is
+    looked up once. A stream has no distinct runs to look up: there, split each batch.
     """
     rest = [name for name in df.columns if name != text]
-    latin = df.select(*rest, F.explode(latin_words(F.col(text))).alias("word"))
+    spaced = df.select(*rest, F.explode(spaced_words(F.col(text))).alias("word"))
+    # Rows without CJK text (the common case) leave before anything else is built.
+    runs = df.filter(F.col(text).rlike(_CJK_RUN)).select(*rest, F.explode(cjk_runs(F.col(text))).alias("run"))
     if dictionary is None:
-        return latin
-    # Latin-only rows (the common case) leave before any substring is built.
-    cjk = df.filter(F.col(text).rlike(_CJK_RUN)).select(
-        *rest, F.explode(cjk_candidates(F.col(text), longest)).alias("word")
-    )
-    return latin.unionByName(cjk.join(dictionary.select("word"), "word", "left_semi"))
+        return spaced.unionByName(runs.withColumnRenamed("run", "word"))
+    looked_up = words_of_runs(runs.select("run").distinct(), dictionary)
+    return spaced.unionByName(runs.join(looked_up, "run").select(*rest, F.explode("words").alias("word")))

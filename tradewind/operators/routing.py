@@ -6,8 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradewind.operators.enrichment import broadcast_if_few
-
 STREAM_SINK = "kafka"
 DEFAULT_KEY = "id"
 
@@ -33,12 +31,12 @@ def route(changes: DataFrame, rules: DataFrame) -> DataFrame:
 
     Adds ``sink_type``, ``sink_table``, ``sink_pk`` and cuts ``after`` to the listed columns. A
     change without a rule keeps nulls there (see ``rejected``). Changes have few distinct tables and
-    operations, so shuffling them on those would pile them up: the rules are counted and broadcast,
-    and only a rule table too long for that leaves the join to the adaptive skew handling.
+    operations; where the rules are not small enough for Spark to broadcast, adaptive execution splits
+    the partitions these pile up in.
     """
     live = changes.filter(~F.col("operation").eqNullSafe("delete"))
     matched = live.join(
-        broadcast_if_few(latest_rules(rules)),
+        latest_rules(rules),
         (live["table"] == F.col("source_table")) & (live["operation"] == F.col("operate_type")),
         "left",
     )

@@ -44,9 +44,15 @@ def build(app_name: str, master: str | None = None, **conf: str) -> SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach: ``spark.checkpoint.dir``; a temporary one only if unset."""
+    """The folder every executor can reach: ``spark.checkpoint.dir``.
+
+    A session of one machine may leave it unset and gets a temporary one; on a cluster that would be a
+    folder of the driver's alone, so it is refused.
+    """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="tradewind-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")

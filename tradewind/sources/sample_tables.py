@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tradewind.codes import APPRAISE, ORDER_STATUS, PAYMENT_TYPE
-from tradewind.operators.enrichment import plan_bytes
 from tradewind.schemas import AMOUNT, ROUTING_RULE
 
 EPOCH = 1704067200  # 2024-01-01 00:00:00, where the events start
@@ -40,18 +39,6 @@ def _birthday(key: str) -> str:
     return f"date_format(date_add(DATE '1950-01-01', CAST({key} % 20000 AS INT)), 'yyyy-MM-dd')"
 
 
-def spread(df: DataFrame, least_bytes: int = 1 << 20) -> DataFrame:
-    """Give an input with fewer splits than there are cores one split per core, by its first column.
-
-    A large input has more splits than cores already and is left as it is, so nothing big is moved;
-    a tiny one is not worth it.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if plan_bytes(df) < least_bytes or df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, df.columns[0])
-
-
 class SampleTables:
     """Warehouse inputs from one table directory, as tables or (``stream=True``) as streams."""
 
@@ -69,9 +56,7 @@ class SampleTables:
 
     def _open(self, name: str) -> DataFrame:
         df = self.spark.read.parquet(f"{self.path}/{name}.parquet")
-        if not self.stream:
-            df = spread(df)
-        else:
+        if self.stream:
             reader = self.spark.readStream.schema(df.schema).options(**self.options)
             df = reader.option("pathGlobFilter", f"{name}.parquet").parquet(self.path)
         times = {c for c, kind in df.dtypes if kind.startswith("timestamp")}
