@@ -95,7 +95,7 @@ def stream_province_stats(t: SampleTables) -> DataFrame:
 def stream_dim_upsert(t: SampleTables) -> DataFrame:
     """Changes routed by the rules, dimension rows merged into a keyed store."""
     path = _new_dir(t.spark, "routed")
-    store = sinks.SnapshotStore(t.spark, f"{path}/dims", ["sink_table", "id"])
+    store = sinks.SnapshotStore(t.spark, f"{path}/dims", ["sink_table", "id"], part="sink_table")
     changes = cdc.normalise(_streams(t).cdc_records())
     _run(t.spark, changes, path, sinks.route_writer(t.routing_rules, path, store))
     after = F.col("after")

@@ -166,11 +166,11 @@ def test_rules_are_read_again_for_every_batch(spark, tmp_path):
 
     feed.add(row(1, id="1", name="a", city="x"))
     feed.add(row(2, id="2", name="b", city="y"), row(3, id="1", name=None, city="z"))
-    store = sinks.SnapshotStore(spark, str(tmp_path / "dims"), ["sink_table", "id"])
+    store = sinks.SnapshotStore(spark, str(tmp_path / "dims"), ["sink_table", "id"], part="sink_table")
     run(feed.stream(), tmp_path, sinks.route_writer(rules, str(tmp_path / "out"), store))
     got = sinks.dimension(store, "dim_user", ["id", "name", "city"])
     assert sorted(tuple(r) for r in got.collect()) == [("1", "", "z"), ("2", "b", "y")]
-    assert spark.read.parquet(f"{tmp_path}/dims/v=0").first().after == {"id": "1", "name": "a"}
+    assert store.versions() == [0, 1]
     assert sinks.dimension(sinks.SnapshotStore(spark, str(tmp_path / "no"), ["id"]), "x", ["id"]).count() == 0
 
 
@@ -187,10 +187,34 @@ def test_stats_table_is_pruned_by_day(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(dt" in plan
 
 
-def test_text_topic_records(spark):
-    records = spark.createDataFrame([(b"x", 0, 5), (b"y", 1, 0)], "value BINARY, partition INT, offset BIGINT")
-    got = tables.topic_lines(records).collect()
-    assert [r.value for r in got] == ["x", "y"] and got[0].seq == 5 and got[1].seq == 1 << 48
+def test_store_goes_on_after_a_new_checkpoint_and_a_replay(spark, rows, tmp_path):
+    store = sinks.SnapshotStore(spark, str(tmp_path / "dims"), ["id"], buckets=8, keep=2)
+    change = lambda *r: spark.createDataFrame(r, "id STRING, name STRING, seq BIGINT")
+    store.merge(change(("a", "1", 1), ("b", "1", 2)), 0)
+    store.merge(change(("a", "2", 3)), 1)
+    store.merge(change(("c", "1", 4), ("b", "0", 1)), 0, "another checkpoint")  # batch ids start again
+    want = [("a", "2", 3), ("b", "1", 2), ("c", "1", 4)]
+    assert rows(store.read(), "id", "name", "seq") == want
+    store.merge(change(("c", "1", 4), ("b", "0", 1)), 0, "another checkpoint")  # replayed
+    store.merge(change(), 1)
+    assert rows(store.read(), "id", "name", "seq") == want
+    assert store.versions() == [0, 1, 2, 3]
+
+
+def test_a_merge_rewrites_touched_buckets_only(spark, tmp_path):
+    store = sinks.SnapshotStore(spark, str(tmp_path / "dims"), ["id"], buckets=16)
+    store.merge(spark.range(200).selectExpr("CAST(id AS STRING) AS id", "id AS seq"), 0)
+    store.merge(spark.createDataFrame([("7", 900)], "id STRING, seq BIGINT"), 1)
+    assert len(list((tmp_path / "dims/data/v=1").glob("bucket=*"))) == 1
+    assert store.read().count() == 200 and store.read().filter("id = '7'").first().seq == 900
+
+
+def test_topic_records_are_ordered_by_time_over_partitions(spark):
+    records = spark.createDataFrame(
+        [(b"old", 3, 5, 1_000), (b"new", 0, 1, 2_000), (b"newer", 0, 2, 2_000)],
+        "value BINARY, partition INT, offset BIGINT, ms BIGINT",
+    ).selectExpr("value", "partition", "offset", "timestamp_millis(ms) AS timestamp")
+    assert [r.value for r in tables.topic_lines(records).orderBy("seq").collect()] == ["old", "new", "newer"]
 
 
 @pytest.mark.parametrize("kind", ["text", "csv"])

@@ -20,13 +20,7 @@ def blank_nulls(changes: DataFrame, row: str = "after") -> DataFrame:
 def upsert(snapshot: DataFrame | None, changes: DataFrame, keys: list[str], seq: str = "seq") -> DataFrame:
     """Merge changes into a keyed snapshot.
 
-    Untouched rows pass an anti join against the changed keys, which Spark broadcasts when they are
-    few, so a large dimension is not shuffled for a small batch. An older change never replaces a
-    newer stored row.
+    Both are reduced to one row per key in one pass, each task before the shuffle; the store hands in
+    only the buckets that the changes touch. An older change never replaces a newer stored row.
     """
-    newest = latest(changes, keys, seq)
-    if snapshot is None:
-        return newest
-    touched = snapshot.join(newest.select(*keys), keys, "left_semi")
-    untouched = snapshot.join(newest.select(*keys), keys, "left_anti")
-    return untouched.unionByName(latest(newest.unionByName(touched), keys, seq))
+    return latest(changes if snapshot is None else snapshot.unionByName(changes), keys, seq)

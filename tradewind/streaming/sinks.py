@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -87,45 +88,79 @@ def fan_out(outputs: Mapping[str, Callable[[DataFrame], DataFrame]], path: str)
 
 
 class SnapshotStore:
-    """Keyed rows kept as whole versions, one folder per batch; readers take the newest finished one.
-
-    A replayed batch starts from the version before it and writes its own again, so results do not
-    depend on how often it ran.
+    """Keyed rows in buckets of their keys' hash; a merge rewrites the touched buckets only.
+
+    ``data/v=<n>/bucket=<b>`` holds a bucket as version n left it. The manifest of a version, a few
+    numbers in one file that is written last, says which version each bucket is at; readers follow the
+    newest one, so a merge counts whole or not at all. Versions count up by themselves, whatever the
+    batch ids of a checkpoint are: a new checkpoint goes on from what is stored. A replayed batch is
+    merged again, which changes nothing, as a change never replaces a row of the same or a higher
+    ``seq``. ``part`` names a column that also splits the folders, for reads of one of its values.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keys: list[str], seq: str = "seq"):
-        self.spark = spark
-        self.path = path.rstrip("/")
-        self.keys = keys
-        self.seq = seq
+    def __init__(
+        self, spark: SparkSession, path: str, keys: list[str], seq: str = "seq", buckets: int = 16,
+        part: str | None = None, keep: int = 3,
+    ):
+        self.spark, self.path = spark, path.rstrip("/")
+        self.keys, self.seq, self.buckets, self.part, self.keep = keys, seq, buckets, part, keep
 
-    def _fs(self):
-        jvm = self.spark._jvm
-        base = jvm.org.apache.hadoop.fs.Path(self.path)
-        return base, base.getFileSystem(self.spark._jsc.hadoopConfiguration())
+    def _manifests(self) -> list[tuple[int, dict[int, int]]]:
+        """(version, version of each bucket), oldest first."""
+        try:
+            stored = self.spark.read.parquet(f"{self.path}/manifest")
+            rows = stored.select("version", "bucket", "at").collect()
+        except AnalysisException:  # nothing is stored yet
+            return []
+        found: dict[int, dict[int, int]] = {}
+        for row in rows:
+            found.setdefault(row["version"], {})[row["bucket"]] = row["at"]
+        return sorted(found.items())
 
     def versions(self) -> list[int]:
-        base, fs = self._fs()
-        if not fs.exists(base):
-            return []
-        names = [s.getPath() for s in fs.listStatus(base) if s.getPath().getName().startswith("v=")]
-        path = self.spark._jvm.org.apache.hadoop.fs.Path
-        return sorted(int(p.getName()[2:]) for p in names if fs.exists(path(p, "_SUCCESS")))
-
-    def read(self, before: int | None = None) -> DataFrame | None:
-        """The newest version (older than ``before``); re-read it per batch to stay fresh."""
-        usable = [v for v in self.versions() if before is None or v < before]
-        return self.spark.read.parquet(f"{self.path}/v={usable[-1]}") if usable else None
-
-    def merge(self, changes: DataFrame, batch_id: int) -> None:
-        merged = upsert.upsert(self.read(before=batch_id), changes, self.keys, self.seq)
-        merged.write.mode("overwrite").parquet(f"{self.path}/v={batch_id}")
-
-    def prune(self, keep: int = 3) -> None:
-        """Drop all but the newest ``keep`` versions."""
-        base, fs = self._fs()
-        for version in self.versions()[:-keep]:
-            fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(base, f"v={version}"), True)
+        return [version for version, _ in self._manifests()]
+
+    def _buckets(self, state: dict[int, int]) -> DataFrame:
+        folders = [f"{self.path}/data/v={version}/bucket={bucket}" for bucket, version in sorted(state.items())]
+        rows = self.spark.read.option("basePath", f"{self.path}/data").parquet(*folders)
+        return rows.withColumn(self.part, F.col(self.part).cast("string")) if self.part else rows
+
+    def read(self) -> DataFrame | None:
+        """The newest version; read it again for every batch to stay fresh."""
+        found = self._manifests()
+        return self._buckets(found[-1][1]).drop("v", "bucket") if found else None
+
+    def merge(self, changes: DataFrame, batch_id: int, run: str = "") -> None:
+        """Take over changes; ``run`` and ``batch_id`` are noted beside the version they made."""
+        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+        newest = upsert.latest(changes, self.keys, self.seq).withColumn("bucket", bucket).persist()
+        try:
+            touched = sorted(row["bucket"] for row in newest.select("bucket").distinct().collect())
+            if not touched:
+                return
+            found = self._manifests()
+            version, state = (found[-1][0] + 1, found[-1][1]) if found else (0, {})
+            there = {b: state[b] for b in touched if b in state}
+            old = self._buckets(there).drop("v").select(*newest.columns) if there else None
+            merged = upsert.upsert(old, newest, self.keys, self.seq)
+            split = ["bucket", self.part] if self.part else ["bucket"]
+            merged.write.mode("overwrite").partitionBy(*split).parquet(f"{self.path}/data/v={version}")
+            state = state | dict.fromkeys(touched, version)
+            rows = [(version, b, at, batch_id, run) for b, at in sorted(state.items())]
+            noted = self.spark.createDataFrame(rows, "version INT, bucket INT, at INT, batch_id BIGINT, run STRING")
+            noted.coalesce(1).write.mode("append").parquet(f"{self.path}/manifest")
+        finally:
+            newest.unpersist()
+        self.prune()
+
+    def prune(self) -> None:
+        """Drop the data that none of the newest ``keep`` versions uses; older versions cannot be read after it."""
+        found = self._manifests()
+        used = {(b, at) for _, state in found[-self.keep :] for b, at in state.items()}
+        jvm = self.spark._jvm  # Spark itself has no call to delete a folder
+        for b, at in {(b, at) for _, state in found[: -self.keep] for b, at in state.items()} - used:
+            folder = jvm.org.apache.hadoop.fs.Path(f"{self.path}/data/v={at}/bucket={b}")
+            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def route_writer(
