@@ -13,6 +13,11 @@ _FINAL = {
     "csv_load": "SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer",
     "log_dirty": "SELECT value FROM log_lines WHERE seq % 97 = 0",
     "log_is_new_fix": "SELECT seq, mid, is_new, ts FROM repaired",
+    "log_is_new_two_days": "SELECT seq, mid, is_new, ts FROM repaired",
+    "log_page_json": """
+        SELECT seq, mid, is_new, vc, CASE WHEN NOT is_start THEN page_id END AS page_id,
+            CASE WHEN is_start THEN 'icon' END AS entry, CAST(seq AS VARCHAR) AS extra_n, 'true' AS extra_on,
+            CAST(ts AS VARCHAR) AS ts FROM repaired""",
     "log_start": """
         SELECT seq, mid, is_new, '{"entry":"icon","loading_time":' || k || '}' AS start, ts
         FROM repaired WHERE is_start""",

@@ -31,6 +31,7 @@ from tradewind.sources.sample_tables import SampleTables
 DAY = "20240115"
 AS_OF = "2024-01-31"
 JUMP_MS = 3_600_000
+MIDDLE_MS = 1_705_363_200_000  # 2024-01-16
 # Stand-ins for text without word breaks: one ideograph per small letter.
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 IDEOGRAPHS = "".join(chr(0x4E00 + i) for i in range(26))
@@ -152,6 +153,27 @@ def log_is_new_fix(t: SampleTables) -> DataFrame:
     return visits.repair_new_flag(log_split.clean(t.log_lines())).select("seq", "mid", "is_new", "ts")
 
 
+@query
+def log_is_new_two_days(t: SampleTables) -> DataFrame:
+    """Two runs, the second with the visitors of the first, give what one run over both gives."""
+    events = log_split.heads(t.log_lines()).select("seq", "mid", "is_new", "ts")
+    early, late = events.filter(f"ts < {MIDDLE_MS}"), events.filter(f"ts >= {MIDDLE_MS}")
+    seen = visits.seen_visitors(early)
+    return visits.repair_new_flag(early).unionByName(visits.repair_new_flag(late, seen=seen))
+
+
+@query
+def log_page_json(t: SampleTables) -> DataFrame:
+    """Lines with a field nobody listed, forwarded as JSON text and read again."""
+    extra = F.regexp_replace("value", r"\}$", F.concat(F.lit(',"extra":{"n":'), F.col("seq"), F.lit(',"on":true}}')))
+    text = log_split.forwarded(t.log_lines().withColumn("value", extra))
+    paths = {
+        "mid": "common.mid", "is_new": "common.is_new", "vc": "common.vc", "page_id": "page.page_id",
+        "entry": "start.entry", "extra_n": "extra.n", "extra_on": "extra.on", "ts": "ts",
+    }
+    return text.select("seq", *[F.get_json_object("value", f"$.{path}").alias(name) for name, path in paths.items()])
+
+
 @query
 def log_start(t: SampleTables) -> DataFrame:
     return log_split.starts(log_split.repaired(t.log_lines())).select(

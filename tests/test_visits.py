@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from tradewind.operators.visits import bounces, daily_unique, repair_new_flag
+from tradewind.operators.visits import bounces, daily_unique, repair_new_flag, seen_visitors
 
 PAGES = "seq BIGINT, mid STRING, ts BIGINT, last_page_id STRING"
 DAY = 86_400_000
@@ -78,3 +78,25 @@ def test_repair_equals_the_rule_applied_naively(spark, rows):
             seen.add(mid)
     df = spark.createDataFrame(data, "mid STRING, is_new STRING, ts BIGINT, seq BIGINT")
     assert rows(repair_new_flag(df), "seq", "is_new") == sorted(want, key=repr)
+
+
+def test_repair_goes_on_from_the_visitors_seen_before(spark, rows):
+    layout = "mid STRING, is_new STRING, ts BIGINT, seq BIGINT"
+    day1 = spark.createDataFrame([("a", "1", 5, 1), ("b", "0", 6, 2), (None, "1", 7, 3), ("a", "1", 8, 4)], layout)
+    day2 = spark.createDataFrame([("a", "1", 15, 5), ("b", "1", 16, 6), (None, "1", 17, 7), ("c", None, 18, 8)], layout)
+    seen = seen_visitors(day1)
+    assert rows(seen) == [("a",), (None,)]
+    assert rows(repair_new_flag(day2, seen=seen), "seq", "is_new") == [(5, "0"), (6, "1"), (7, "0"), (8, None)]
+    assert rows(seen_visitors(day2, seen=seen)) == [("a",), ("b",), (None,)]
+    plan = repair_new_flag(day2)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+
+
+def test_repair_orders_nulls_negatives_and_large_numbers(spark, rows):
+    layout = "mid STRING, is_new STRING, ts BIGINT, seq BIGINT"
+    big = (1 << 63) - 1
+    df = spark.createDataFrame(
+        [("a", "1", -3, big), ("a", "1", -2, 0), ("b", "1", None, 5), ("b", "1", -big, 1), ("c", "1", big, big), ("c", "1", big, -big)],
+        layout,
+    )
+    assert rows(repair_new_flag(df).filter("is_new = '1'"), "mid", "seq") == [("a", big), ("b", 5), ("c", -big)]

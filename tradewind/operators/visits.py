@@ -20,27 +20,39 @@ def is_entry() -> Column:
     return is_blank("last_page_id")
 
 
+def _position(order: tuple[str, str]) -> Column:
+    """Two whole numbers as one decimal that sorts like them, nulls first; a plain minimum can be hashed."""
+    least = -(1 << 63)
+    time, tie = (f"CAST(coalesce({c}, {least}) AS DECIMAL(19,0))" for c in order)
+    return F.expr(f"CAST({time} * {10**19}BD AS DECIMAL(38,0)) + {tie}")
+
+
 def repair_new_flag(
-    df: DataFrame, visitor: str = "mid", flag: str = "is_new", order: tuple[str, ...] = ("ts", "seq")
+    df: DataFrame, visitor: str = "mid", flag: str = "is_new", order: tuple[str, str] = ("ts", "seq"),
+    seen: DataFrame | None = None,
 ) -> DataFrame:
     """Keep ``'1'`` on a visitor's first ``'1'`` row and set it to ``'0'`` on the later ones.
 
-    ``order`` must identify a row within its visitor. The earliest position per visitor is a
-    partially aggregated minimum; it is joined back on visitor *and* position, so the rows of a hot
-    visitor spread over all partitions.
+    ``order`` (whole numbers) must identify a row within its visitor; ``seen`` holds the visitors of
+    earlier runs, of whom no row is the first (see ``seen_visitors``). Rows with another flag are not
+    moved. The earliest position per visitor is a partially aggregated minimum; it is joined back on
+    visitor *and* position, so the rows of a hot visitor spread over all partitions.
     """
-    first = (
-        df.filter(F.col(flag) == "1")
-        .groupBy(F.col(visitor).alias("__visitor"))
-        .agg(F.min(F.struct(*order)).alias("__first"))
-        .select("__visitor", *[F.col("__first")[c].alias(f"__{c}") for c in order], F.lit(True).alias("__found"))
-    )
-    same = df[visitor].eqNullSafe(first["__visitor"])
-    for c in order:
-        same = same & df[c].eqNullSafe(first[f"__{c}"])
-    later = (F.col(flag) == "1") & F.col("__found").isNull()
-    repaired = F.when(later, F.lit("0")).otherwise(F.col(flag))
-    return df.join(first, same, "left").withColumn(flag, repaired).select(*df.columns)
+    is_one = F.coalesce(F.col(flag) == "1", F.lit(False))
+    ones = df.filter(is_one).withColumn("__at", _position(order))
+    first = ones.groupBy(F.col(visitor).alias("__visitor")).agg(F.min("__at").alias("__first"))
+    if seen is not None:
+        known = seen.select(F.col(visitor).alias("__seen"))
+        first = first.join(known, F.col("__visitor").eqNullSafe(F.col("__seen")), "left_anti")
+    same = ones[visitor].eqNullSafe(first["__visitor"]) & (ones["__at"] == first["__first"])
+    marked = ones.join(first, same, "left").withColumn(flag, F.when(F.col("__first").isNull(), "0").otherwise("1"))
+    return df.filter(~is_one).unionByName(marked.select(*df.columns))
+
+
+def seen_visitors(df: DataFrame, visitor: str = "mid", flag: str = "is_new", seen: DataFrame | None = None) -> DataFrame:
+    """The visitors to hand to the next run: those of ``seen`` and all that came as new."""
+    own = df.filter(F.col(flag) == "1").select(visitor)
+    return (own if seen is None else own.unionByName(seen.select(visitor))).distinct()
 
 
 def daily_unique(

@@ -49,9 +49,20 @@ def clean(lines: DataFrame) -> DataFrame:
     return open_parts(heads(lines))
 
 
-def repaired(lines: DataFrame) -> DataFrame:
-    """Clean lines with the new-visitor flag repaired."""
-    return put_flag(repair_new_flag(clean(lines)))
+def repaired(lines: DataFrame, seen: DataFrame | None = None) -> DataFrame:
+    """Clean lines with the new-visitor flag repaired; ``seen``: the visitors of earlier runs."""
+    return put_flag(repair_new_flag(clean(lines), seen=seen))
+
+
+def forwarded(lines: DataFrame, seen: DataFrame | None = None) -> DataFrame:
+    """Clean lines as JSON text with the flag repaired: every field of a line, with its own type."""
+    fixed = repair_new_flag(heads(lines), seen=seen)
+    rest = "map_filter(try_variant_get(line, '$', 'map<string,variant>'), (k, v) -> k <> 'common')"
+    own = "map_filter(try_variant_get(line, '$.common', 'map<string,variant>'), (k, v) -> k <> 'is_new')"
+    flag = "map('is_new', parse_json(concat('\"', is_new, '\"')))"
+    whole = f"to_json(map_concat({rest}, map('common', parse_json(to_json(map_concat({own}, {flag}))))))"
+    text = F.when(F.col("is_new").isin("0", "1"), F.expr(whole)).otherwise(F.to_json("line"))
+    return fixed.select("seq", "mid", "is_new", "ts", text.alias("value"))
 
 
 def put_flag(events: DataFrame) -> DataFrame:
