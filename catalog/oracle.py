@@ -29,6 +29,11 @@ _FINAL = {
         SELECT 'shop' AS database, tab AS "table", op AS operation, seq,
             CASE WHEN op IN ('update', 'delete') AND tab = 'user_info' THEN id END AS before_id,
             CASE WHEN op <> 'delete' THEN id END AS after_id,
+            CASE WHEN op <> 'delete' AND tab IN ('user_info', 'base_nation') THEN name END AS after_name,
+            CASE WHEN op <> 'delete' AND tab = 'user_info' THEN gender END AS after_gender,
+            CASE WHEN op <> 'delete' AND tab = 'user_info' THEN birthday END AS after_birthday,
+            CASE WHEN op <> 'delete' AND tab = 'sku_info' THEN name END AS after_sku_name,
+            CASE WHEN op <> 'delete' AND tab = 'sku_info' THEN price END AS after_price,
             CAST(CASE WHEN op = 'delete' THEN 0 WHEN tab = 'user_info' THEN 5 WHEN tab = 'base_nation' THEN 2
                 ELSE 4 END AS INTEGER) AS after_fields
         FROM changes""",
@@ -193,6 +198,12 @@ _STREAMS = {
     "stream_dim_upsert": _FINAL["dim_upsert"],
 }
 
+# The same reports, read from stored tables.
+_STORED = {
+    f"{name}_stored": _FINAL[name]
+    for name in ("rpt_gmv", "rpt_spu_topn", "rpt_province", "rpt_hourly", "rpt_keywords")
+}
+
 
 def statements() -> dict[str, str]:
-    return {name: sql(final) for name, final in {**_FINAL, **_STREAMS}.items()}
+    return {name: sql(final) for name, final in {**_FINAL, **_STORED, **_STREAMS}.items()}

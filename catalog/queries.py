@@ -27,6 +27,7 @@ from tradewind.plans import (
 from tradewind.session import prepare, shared_dir
 from tradewind.sources import cdc, tables
 from tradewind.sources.sample_tables import SampleTables
+from tradewind.streaming import sinks
 
 DAY = "20240115"
 AS_OF = "2024-01-31"
@@ -202,6 +203,7 @@ def cdc_normalize(t: SampleTables) -> DataFrame:
     return changes.select(
         "database", "table", "operation", "seq", F.col("before")["id"].alias("before_id"),
         F.col("after")["id"].alias("after_id"), F.size("after").alias("after_fields"),
+        *[F.col("after")[c].alias(f"after_{c}") for c in ("name", "gender", "birthday", "sku_name", "price")],
     )
 
 
@@ -489,3 +491,37 @@ def rpt_row_counts(t: SampleTables) -> DataFrame:
 def rpt_keywords(t: SampleTables) -> DataFrame:
     """The documents fall into the first minutes and hours of the period."""
     return reports.keywords(keywords(t, "20240101"), "20240101")
+
+
+# -- reports on stored statistics: all days are written by dt, a report reads the folder of its day ------
+
+
+def stored_stats(t: SampleTables, stats: DataFrame) -> DataFrame:
+    path = f"{shared_dir(t.spark)}/stats-{uuid4().hex}"
+    sinks.stats_writer(path, stats.columns)(stats, 0)
+    return tables.read_stats(t.spark, path)
+
+
+@query
+def rpt_gmv_stored(t: SampleTables) -> DataFrame:
+    return reports.gmv(stored_stats(t, products_by_window(t)), DAY)
+
+
+@query
+def rpt_spu_topn_stored(t: SampleTables) -> DataFrame:
+    return reports.spu_top(stored_stats(t, products_named(t)), DAY)
+
+
+@query
+def rpt_province_stored(t: SampleTables) -> DataFrame:
+    return reports.province_map(stored_stats(t, provinces(t)), DAY)
+
+
+@query
+def rpt_hourly_stored(t: SampleTables) -> DataFrame:
+    return reports.hourly(stored_stats(t, visitors(t)), DAY)
+
+
+@query
+def rpt_keywords_stored(t: SampleTables) -> DataFrame:
+    return reports.keywords(stored_stats(t, keywords(t)), "20240101")
