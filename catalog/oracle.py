@@ -186,6 +186,11 @@ _STREAMS = {
     "stream_order_wide": """
         SELECT order_id, detail_id, sku_id, split_total_amount, create_time, name AS province_name
         FROM order_facts LEFT JOIN dim_province p ON p.id = CAST(province_id AS VARCHAR)""",
+    "stream_payment_wide": """
+        SELECT payment_id, order_id, detail_id, sku_id, split_total_amount, payment_create_time FROM payment_wide""",
+    "stream_keyword_stats": """
+        SELECT * FROM keyword_stats
+        WHERE (ts // 10000 + 1) * 10000 <= (SELECT max(s) * 1000 - 1000 FROM words WHERE word <> '')""",
     "stream_visitor_stats": """
         SELECT * FROM visitor_stats
         WHERE (ts // 10000 + 1) * 10000 <= (SELECT max(ts) - 11000 FROM visitor_rows)""",

@@ -41,9 +41,17 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
+def sized(spark: SparkSession) -> SparkSession:
+    """A local session left at Spark's 200 shuffle partitions gets one per core, once and for good."""
+    key = "spark.sql.shuffle.partitions"
+    if spark.sparkContext.master.startswith("local[") and spark.conf.get(key) == "200":
+        spark.conf.set(key, str(spark.sparkContext.defaultParallelism))
+    return spark
+
+
 def query(fn: Callable[[SampleTables], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(SampleTables(prepare(spark), sf_dir))
+        return fn(SampleTables(sized(prepare(spark)), sf_dir))
 
     # Functions that would hide an imported module carry a suffix.
     QUERIES[fn.__name__.removesuffix("_rows")] = run

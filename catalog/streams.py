@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from catalog import queries as q
 from tradewind.operators import visits
-from tradewind.plans import order_wide, product_stats, province_stats, visitor_stats
+from tradewind.plans import keyword_stats, order_wide, product_stats, province_stats, visitor_stats
 from tradewind.session import shared_dir
-from tradewind.sources import cdc
+from tradewind.sources import cdc, tables
 from tradewind.sources.sample_tables import SampleTables
 from tradewind.streaming import jobs, sinks, stateful
 
@@ -38,6 +38,22 @@ def _stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.readStream.schema(df.schema).parquet(path)
 
 
+def _in_slices(t: SampleTables, inputs: dict[str, tuple[DataFrame, str]], path: str, run, slices: int = 3) -> None:
+    """Feed tables in slices of their times, calling ``run`` with them as streams after each slice.
+
+    Every call is a job started anew on its checkpoint, as after a stop, so the state of the slices
+    before carries over.
+    """
+    bounds = [df.selectExpr(f"min({second})", f"max({second})").first() for df, second in inputs.values()]
+    first, last = min(low for low, _ in bounds), max(high for _, high in bounds)
+    for k in range(slices):
+        for name, (df, second) in inputs.items():
+            low, high = (first + (last + 1 - first) * i // slices for i in (k, k + 1))
+            low, high = (-(1 << 62) if k == 0 else low), (1 << 62 if k == slices - 1 else high)
+            df.filter(f"{second} >= {low} AND {second} < {high}").write.mode("append").parquet(f"{path}/{name}")
+        run({name: t.spark.readStream.schema(df.schema).parquet(f"{path}/{name}") for name, (df, _) in inputs.items()})
+
+
 def _streams(t: SampleTables) -> SampleTables:
     return SampleTables(t.spark, t.path, stream=True)
 
@@ -71,6 +87,39 @@ def stream_order_wide(t: SampleTables) -> DataFrame:
     return _replay(t.spark, wide.select(*columns), "order_wide")
 
 
+@q.query
+def stream_payment_wide(t: SampleTables) -> DataFrame:
+    """Two jobs with JSON text between them: orders with details, then payments with those; three runs."""
+    path, second = _new_dir(t.spark, "payment_wide"), "unix_timestamp(create_time)"
+    inputs = {"orders": t.order_info(), "details": t.order_detail(), "payments": t.payment_info()}
+    columns = ["payment_id", "order_id", "detail_id", "sku_id", "split_total_amount", "payment_create_time"]
+
+    def run(s: dict[str, DataFrame]) -> None:
+        facts = order_wide.order_facts(s["orders"], s["details"])
+        _run(t.spark, facts, f"{path}/facts_job", sinks.json_writer(f"{path}/facts"))
+        stored = tables.json_stream(t.spark, f"{path}/facts", facts.schema.simpleString().removeprefix("struct<")[:-1].replace(":", " "))
+        # A fact can be as old as the bounds of its join when it is written.
+        paid = order_wide.payment_wide(s["payments"], stored, delay="10 seconds").select(*columns)
+        _run(t.spark, paid, f"{path}/paid_job", sinks.table_writer(f"{path}/paid", columns))
+
+    _in_slices(t, {name: (df, second) for name, df in inputs.items()}, path, run)
+    return t.spark.read.parquet(f"{path}/paid/batch=*")
+
+
+@q.query
+def stream_keyword_stats(t: SampleTables) -> DataFrame:
+    """Searched words per window over three runs of the job."""
+    path = _new_dir(t.spark, "keywords")
+    pages = t.search_pages()
+
+    def run(s: dict[str, DataFrame]) -> None:
+        stats = keyword_stats.keyword_stats(s["pages"], source=F.col("source"))
+        _run(t.spark, stats, f"{path}/job", sinks.table_writer(f"{path}/rows", stats.columns))
+
+    _in_slices(t, {"pages": (pages, "ts div 1000")}, path, run)
+    return t.spark.read.parquet(f"{path}/rows/batch=*")
+
+
 @q.query
 def stream_visitor_stats(t: SampleTables) -> DataFrame:
     uv = _stored(t.spark, visits.daily_unique(t.page_log()), "uv_rows")

@@ -51,6 +51,15 @@ def table_writer(path: str, columns: list[str] | None = None) -> BatchWriter:
     return write
 
 
+def json_writer(path: str) -> BatchWriter:
+    """Rows as JSON text, one folder per batch: what a topic between two jobs would carry."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        as_json(batch).write.mode("overwrite").text(f"{path}/batch={batch_id}")
+
+    return write
+
+
 def stats_writer(path: str, columns: list[str]) -> BatchWriter:
     """Statistics rows to parquet below ``dt`` folders, so a report on a day reads that day only."""
 
