@@ -80,6 +80,9 @@ _FINAL = {
         SELECT order_id, detail_id, sku_id, sku_num, sku_name, split_total_amount, create_time FROM order_facts""",
     "order_wide": "SELECT * EXCLUDE (s) FROM order_wide",
     "payment_wide": "SELECT * FROM payment_wide",
+    "time_rejects": """
+        SELECT o_orderkey AS id, 'order' AS kind FROM orders WHERE o_orderkey % 11 = 0 OR o_orderkey % 13 = 0
+        UNION ALL SELECT seq, kind FROM page_log, (VALUES ('page'), ('window')) k(kind) WHERE seq % 17 = 0""",
     "wide_coalesce": """
         SELECT id AS order_id, CASE WHEN id % 3 <> 0 THEN order_status ELSE '1005' END AS order_status,
             CASE WHEN id % 5 <> 0 THEN total_amount ELSE original_total_amount END AS total_amount,

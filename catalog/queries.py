@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tradewind.functions.names import camel_columns
 from tradewind.functions.times import text_ms, time_text
 from tradewind.functions.words import spaced_words, split_words
-from tradewind.operators import routing, upsert, visits
+from tradewind.operators import routing, upsert, visits, windows
 from tradewind.operators.enrichment import enrich, product_dim
 from tradewind.operators.intervals import interval_join
 from tradewind.operators.windows import in_day, tumble_distinct
@@ -264,6 +264,23 @@ def order_enrich_time(t: SampleTables) -> DataFrame:
     )
 
 
+@query
+def time_rejects(t: SampleTables) -> DataFrame:
+    """Orders and page views whose time was spoilt, with the rows the joins and windows leave out."""
+    orders = t.order_info().withColumn(
+        "create_time", F.when(F.col("id") % 11 == 0, "soon").when(F.col("id") % 13 != 0, F.col("create_time"))
+    )
+    pages = t.page_log().withColumn("ts", F.when(F.col("seq") % 17 != 0, F.col("ts")))
+    timed = pages.withColumn("event_time", F.timestamp_millis("ts"))
+    parts = {
+        "order": order_wide.without_time(orders).select("id"),
+        "page": visits.without_time(pages).select(F.col("seq").alias("id")),
+        "window": windows.without_time(timed, "event_time").select(F.col("seq").alias("id")),
+    }
+    named = [rows.withColumn("kind", F.lit(kind)) for kind, rows in parts.items()]
+    return named[0].unionByName(named[1]).unionByName(named[2])
+
+
 @query
 def interval_join_rows(t: SampleTables) -> DataFrame:
     """Order lines shipped at most 30 days before or after their order date."""

@@ -11,18 +11,6 @@ ORDER_STATUS = {
 }
 PAYMENT_TYPE = {"alipay": "1101", "wechat": "1102", "union": "1103"}
 APPRAISE = {"good": "1201", "medium": "1202", "bad": "1203", "auto": "1204"}
-REFUND_REASON = {
-    "bad goods": "1301",
-    "wrong description": "1302",
-    "sold out": "1303",
-    "wrong size": "1304",
-    "ordered by mistake": "1305",
-    "no longer wanted": "1306",
-    "other": "1307",
-}
-COUPON_STATUS = {"unused": "1401", "in use": "1402", "used": "1403"}
-REFUND_TYPE = {"money only": "1501", "with goods": "1502"}
-SOURCE_TYPE = {"query": "2401", "promotion": "2402", "recommendation": "2403", "activity": "2404"}
 
 # Weight of one keyword hit by where it was seen; any other source weighs 0.
 KEYWORD_WEIGHT = {"SEARCH": 10, "ORDER": 3, "CART": 2, "CLICK": 1}

@@ -94,6 +94,11 @@ def time_slices(
     return df.select("*", F.explode(slices).alias("slice"))
 
 
+def without_time(df: DataFrame, ts: str = "ts") -> DataFrame:
+    """Events that have no place in a visitor's sequence, for a reject output; no bounce comes of them."""
+    return df.filter(F.col(ts).isNull())
+
+
 def bounces(
     pages: DataFrame,
     within_ms: int = 10_000,

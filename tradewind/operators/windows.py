@@ -40,6 +40,11 @@ def tumble(
     return bounds_as_text(out, size)
 
 
+def without_time(df: DataFrame, time: str) -> DataFrame:
+    """The rows that belong to no window, for a reject output."""
+    return df.filter(F.col(time).isNull())
+
+
 def tumble_distinct(
     df: DataFrame,
     time: str,

@@ -9,7 +9,7 @@ from tradewind.functions.times import age_years, text_ms, text_time
 from tradewind.operators.enrichment import enrich, product_dim
 from tradewind.operators.intervals import interval_join
 from tradewind.operators.windows import with_watermark
-from tradewind.schemas import AMOUNT, ORDER_WIDE_COLUMNS
+from tradewind.schemas import AMOUNT, ORDER_WIDE_COLUMNS, ORDER_WIDE_FILLED
 
 ORDER_TIME = "order_time"
 PAYMENT_TIME = "payment_time"
@@ -109,28 +109,26 @@ def order_wide(
     return wide.select(*ORDER_WIDE_COLUMNS, ORDER_TIME)
 
 
-def first_non_null(one: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
-    """Merge two wide rows of the same key: the first's values, gaps filled from the second.
-
-    The three split amounts are never taken from the second.
-    """
-    only_first = {"split_activity_amount", "split_coupon_amount", "split_total_amount"}
-    filled = [
-        "order_status", "create_time", "create_date", "coupon_reduce_amount",
-        "activity_reduce_amount", "original_total_amount", "feight_fee", "total_amount",
-        "user_id", "sku_id", "sku_name", "order_price", "sku_num",
-    ]
+def first_non_null(
+    one: DataFrame, other: DataFrame, keys: list[str], filled: list[str] = ORDER_WIDE_FILLED
+) -> DataFrame:
+    """Merge two wide rows of the same key: the first's values, gaps in ``filled`` from the second."""
     a, b = one.alias("a"), other.alias("b")
     joined = a.join(b, [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys], "inner")
 
     def pick(name: str) -> Column:
-        if name in filled and name not in keys and name not in only_first:
+        if name in filled and name not in keys:
             return F.coalesce(F.col(f"a.{name}"), F.col(f"b.{name}")).alias(name)
         return F.col(f"a.{name}").alias(name)
 
     return joined.select(*[pick(c) for c in one.columns])
 
 
+def without_time(rows: DataFrame) -> DataFrame:
+    """Orders, details or payments whose ``create_time`` cannot be read: no join finds them."""
+    return rows.filter(text_time("create_time").isNull())
+
+
 def payment_wide(
     payments: DataFrame,
     wide: DataFrame,

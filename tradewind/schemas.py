@@ -6,7 +6,7 @@ AMOUNT = "decimal(16,2)"
 TOTAL = "decimal(38,2)"
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
-# ODS: one raw click-log line; ``seq`` is the arrival order (e.g. built from topic partition and offset).
+# ODS: one raw click-log line; ``seq`` is the arrival order (e.g. built from topic time and offset).
 LOG_LINE = "value STRING, seq BIGINT"
 
 # DWD page log, one row per page view.
@@ -45,20 +45,6 @@ PAYMENT_INFO = f"""
     payment_type STRING, create_time STRING, callback_time STRING
 """
 
-FAVOR_INFO = """
-    id BIGINT, user_id BIGINT, sku_id BIGINT, spu_id BIGINT, is_cancel STRING, create_time STRING,
-    cancel_time STRING
-"""
-CART_INFO = f"""
-    id BIGINT, user_id BIGINT, sku_id BIGINT, cart_price {AMOUNT}, sku_num BIGINT, img_url STRING,
-    sku_name STRING, is_checked STRING, create_time STRING, operate_time STRING, is_ordered STRING,
-    order_time STRING, source_type STRING, source_id BIGINT
-"""
-REFUND_INFO = f"""
-    id BIGINT, user_id BIGINT, order_id BIGINT, sku_id BIGINT, refund_type STRING, refund_num BIGINT,
-    refund_amount {AMOUNT}, refund_reason_type STRING, refund_reason_txt STRING, refund_status STRING,
-    create_time STRING
-"""
 COMMENT_INFO = """
     id BIGINT, user_id BIGINT, nick_name STRING, head_img STRING, sku_id BIGINT, spu_id BIGINT,
     order_id BIGINT, appraise STRING, comment_txt STRING, create_time STRING, operate_time STRING
@@ -72,7 +58,7 @@ DIM_SPU = "id STRING, spu_name STRING"
 DIM_TRADEMARK = "id STRING, tm_name STRING"
 DIM_CATEGORY3 = "id STRING, name STRING"
 
-# Column order of the stored tables (the serving table is filled by position).
+# Column order of the stored tables (the serving table is filled by position).
 ORDER_WIDE_COLUMNS = [
     "detail_id", "order_id", "sku_id", "order_price", "sku_num", "sku_name", "province_id",
     "order_status", "user_id", "total_amount", "activity_reduce_amount", "coupon_reduce_amount",
@@ -96,3 +82,9 @@ PROVINCE_STATS_COLUMNS = [
     "province_3166_2_code", "order_amount", "order_count", "ts",
 ]
 KEYWORD_STATS_COLUMNS = ["keyword", "ct", "source", "stt", "edt", "ts"]
+
+# What a gap in one wide row may take from another version of the row; never the split amounts.
+ORDER_WIDE_FILLED = [
+    "order_status", "create_time", "create_date", "coupon_reduce_amount", "activity_reduce_amount",
+    "original_total_amount", "feight_fee", "total_amount", "user_id", "sku_id", "sku_name", "order_price", "sku_num",
+]
