@@ -186,9 +186,7 @@ _STREAMS = {
     "stream_jump_detail": """
         SELECT mid, seq, ts, page_id, kind FROM jumps
         WHERE (ts // 21600000 + 1) * 21600000 + 3600000 <= (SELECT max(ts) - 1000 FROM page_log)""",
-    "stream_order_wide": """
-        SELECT order_id, detail_id, sku_id, split_total_amount, create_time, name AS province_name
-        FROM order_facts LEFT JOIN dim_province p ON p.id = CAST(province_id AS VARCHAR)""",
+    "stream_order_wide": _FINAL["order_wide"],
     "stream_payment_wide": """
         SELECT payment_id, order_id, detail_id, sku_id, split_total_amount, payment_create_time FROM payment_wide""",
     "stream_keyword_stats": """

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from catalog import queries as q
 from tradewind.operators import visits
-from tradewind.plans import keyword_stats, order_wide, product_stats, province_stats, visitor_stats
+from tradewind.plans import order_wide, product_stats, province_stats, visitor_stats
+from tradewind.schemas import KEYWORD_STATS_COLUMNS
 from tradewind.session import shared_dir
 from tradewind.sources import cdc, tables
 from tradewind.sources.sample_tables import SampleTables
@@ -79,12 +80,13 @@ def stream_jump_detail(t: SampleTables) -> DataFrame:
 
 @q.query
 def stream_order_wide(t: SampleTables) -> DataFrame:
-    """Stream-stream interval join with stream-static province lookup."""
-    s = _streams(t)
-    facts = order_wide.order_facts(s.order_info(), s.order_detail())
-    wide = order_wide.with_province(facts, t.dim_province())
-    columns = ["order_id", "detail_id", "sku_id", "split_total_amount", "create_time", "province_name"]
-    return _replay(t.spark, wide.select(*columns), "order_wide")
+    """Stream-stream interval join with lookups in all six dimensions."""
+    s, path = _streams(t), _new_dir(t.spark, "order_wide")
+    dims = [t.dim_user(), t.dim_province(), t.dim_sku(), t.dim_spu(), t.dim_trademark(), t.dim_category3()]
+    jobs.wide_orders(s.order_info(), s.order_detail(), *dims, as_of=q.AS_OF, path=path, once=True).awaitTermination()
+    stored = q.wide_orders(t).drop(order_wide.ORDER_TIME).schema
+    text = t.spark.read.text(f"{path}/rows/batch=*")
+    return text.select(F.from_json("value", stored).alias("row")).select("row.*")
 
 
 @q.query
@@ -93,31 +95,30 @@ def stream_payment_wide(t: SampleTables) -> DataFrame:
     path, second = _new_dir(t.spark, "payment_wide"), "unix_timestamp(create_time)"
     inputs = {"orders": t.order_info(), "details": t.order_detail(), "payments": t.payment_info()}
     columns = ["payment_id", "order_id", "detail_id", "sku_id", "split_total_amount", "payment_create_time"]
+    facts = q.order_facts(t).schema
 
     def run(s: dict[str, DataFrame]) -> None:
-        facts = order_wide.order_facts(s["orders"], s["details"])
-        _run(t.spark, facts, f"{path}/facts_job", sinks.json_writer(f"{path}/facts"))
-        stored = tables.json_stream(t.spark, f"{path}/facts", facts.schema.simpleString().removeprefix("struct<")[:-1].replace(":", " "))
-        # A fact can be as old as the bounds of its join when it is written.
-        paid = order_wide.payment_wide(s["payments"], stored, delay="10 seconds").select(*columns)
-        _run(t.spark, paid, f"{path}/paid_job", sinks.table_writer(f"{path}/paid", columns))
+        rows = order_wide.order_facts(s["orders"], s["details"])
+        _run(t.spark, rows, f"{path}/facts", sinks.json_writer(f"{path}/facts/rows"))
+        stored = tables.json_stream(t.spark, f"{path}/facts/rows", facts)
+        jobs.wide_payments(s["payments"], stored, f"{path}/paid", once=True).awaitTermination()
 
     _in_slices(t, {name: (df, second) for name, df in inputs.items()}, path, run)
-    return t.spark.read.parquet(f"{path}/paid/batch=*")
+    paid = order_wide.payment_wide(t.payment_info(), q.order_facts(t)).drop(order_wide.PAYMENT_TIME).schema
+    text = t.spark.read.text(f"{path}/paid/rows/batch=*")
+    return text.select(F.from_json("value", paid).alias("row")).select(*[F.col(f"row.{c}").alias(c) for c in columns])
 
 
 @q.query
 def stream_keyword_stats(t: SampleTables) -> DataFrame:
-    """Searched words per window over three runs of the job."""
+    """Searched words per window over three runs of the job, which goes on from its checkpoint."""
     path = _new_dir(t.spark, "keywords")
-    pages = t.search_pages()
 
     def run(s: dict[str, DataFrame]) -> None:
-        stats = keyword_stats.keyword_stats(s["pages"], source=F.col("source"))
-        _run(t.spark, stats, f"{path}/job", sinks.table_writer(f"{path}/rows", stats.columns))
+        jobs.keywords(s["pages"], path, F.col("source"), once=True).awaitTermination()
 
-    _in_slices(t, {"pages": (pages, "ts div 1000")}, path, run)
-    return t.spark.read.parquet(f"{path}/rows/batch=*")
+    _in_slices(t, {"pages": (t.search_pages(), "ts div 1000")}, f"{path}/in", run)
+    return tables.read_stats(t.spark, f"{path}/rows").select(*KEYWORD_STATS_COLUMNS)
 
 
 @q.query

@@ -154,6 +154,17 @@ def test_fan_out_writes_each_output_once(spark, rows, tmp_path):
     assert counts == {"start": 1, "page": 1, "display": 2}
 
 
+def test_log_job_writes_four_outputs(spark, tmp_path):
+    feed = Feed(spark, tmp_path / "in", LOG_LINE)
+    page = {"common": {"mid": "a"}, "page": {"page_id": "p"}, "displays": [{"item": "1"}], "ts": 1}
+    feed.add({"seq": 1, "value": json.dumps(page)}, {"seq": 2, "value": "no json {"},
+             {"seq": 3, "value": json.dumps({"common": {"mid": "a"}, "start": {"x": 1}, "ts": 2})})
+    for query in jobs.base_log(feed.stream(), str(tmp_path / "out"), once=True):
+        query.awaitTermination()
+    counts = {n: spark.read.parquet(f"{tmp_path}/out/rows/{n}").count() for n in ("start", "page", "display", "dirty")}
+    assert counts == {"start": 1, "page": 1, "display": 1, "dirty": 1}
+
+
 def test_rules_are_read_again_for_every_batch(spark, tmp_path):
     feed = Feed(spark, tmp_path / "in", CDC_CHANGE)
     row = lambda seq, **after: {"database": "d", "table": "user", "after": after, "operation": "insert", "seq": seq}

@@ -1,17 +1,30 @@
 """The streaming jobs: the batch plans over streams, with the stateful operators swapped in.
 
-Jobs are materialised between layers (topic or table), as each has its own event-time clock.
+Jobs are materialised between layers (topic or table), as each has its own event-time clock: a job takes
+its inputs as streams, for instance another job's rows by ``tables.json_stream``, and a folder for its
+checkpoint (``job``) and its rows (``rows``).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
+from pyspark.sql.streaming import StreamingQuery
 
 from tradewind.functions.json_text import with_parsed
 from tradewind.functions.times import at_ms, day_text
 from tradewind.operators.visits import is_entry
-from tradewind.plans import log_split
-from tradewind.streaming.stateful import repair_new_flag_stream
+from tradewind.plans import (
+    keyword_stats,
+    log_split,
+    order_wide,
+    product_stats,
+    province_stats,
+    visitor_stats,
+)
+from tradewind.streaming import sinks
+from tradewind.streaming.stateful import bounces_stream, repair_new_flag_stream
 
 
 def log_events(lines: DataFrame, ttl_ms: int | None = None) -> DataFrame:
@@ -36,3 +49,54 @@ def daily_unique(pages: DataFrame, keep: str = "24 hours") -> DataFrame:
         .dropDuplicatesWithinWatermark(["mid", "dt"])
         .drop("event_time")
     )
+
+
+def _job(rows: DataFrame, path: str, writer: Callable[[str], sinks.BatchWriter], once: bool) -> StreamingQuery:
+    return sinks.start(rows, f"{path}/job", writer(f"{path}/rows"), once)
+
+
+def base_log(lines: DataFrame, path: str, once: bool = False) -> list[StreamingQuery]:
+    """Raw lines to start, page and display logs, and the dirty lines as they came."""
+    split = sinks.start(log_events(lines), f"{path}/job", sinks.fan_out(log_outputs(), f"{path}/rows"), once)
+    dirty = sinks.start(log_split.dirty(lines), f"{path}/dirty_job", sinks.table_writer(f"{path}/rows/dirty"), once)
+    return [split, dirty]
+
+
+def unique_visits(pages: DataFrame, path: str, once: bool = False) -> StreamingQuery:
+    return _job(daily_unique(pages), path, sinks.json_writer, once)
+
+
+def jumps(pages: DataFrame, path: str, within_ms: int = 10_000, once: bool = False) -> StreamingQuery:
+    return _job(bounces_stream(pages, within_ms=within_ms), path, sinks.json_writer, once)
+
+
+def wide_orders(orders: DataFrame, details: DataFrame, *dims: DataFrame, as_of: str, path: str, once: bool = False) -> StreamingQuery:
+    """Orders with details and the six dimensions (user, province, sku, spu, trademark, category)."""
+    wide = order_wide.order_wide(orders, details, *dims, as_of).drop(order_wide.ORDER_TIME)
+    return _job(wide, path, sinks.json_writer, once)
+
+
+def wide_payments(payments: DataFrame, wide: DataFrame, path: str, delay: str = "10 seconds", once: bool = False) -> StreamingQuery:
+    """Payments with stored order rows; ``delay`` covers how late an order row can be written."""
+    paid = order_wide.payment_wide(payments, wide, delay=delay).drop(order_wide.PAYMENT_TIME)
+    return _job(paid, path, sinks.json_writer, once)
+
+
+def _stats(rows: DataFrame, path: str, once: bool) -> StreamingQuery:
+    return _job(rows, path, lambda out: sinks.stats_writer(out, rows.columns), once)
+
+
+def visitors(pages: DataFrame, uv: DataFrame, uj: DataFrame, path: str, once: bool = False) -> StreamingQuery:
+    return _stats(visitor_stats.visitor_stats(pages, uv, uj), path, once)
+
+
+def products(activity: DataFrame, path: str, once: bool = False) -> StreamingQuery:
+    return _stats(product_stats.product_stats(activity), path, once)
+
+
+def provinces(wide: DataFrame, path: str, once: bool = False) -> StreamingQuery:
+    return _stats(province_stats.province_stats(wide), path, once)
+
+
+def keywords(pages: DataFrame, path: str, source=keyword_stats.SEARCH, once: bool = False) -> StreamingQuery:
+    return _stats(keyword_stats.keyword_stats(pages, source=source), path, once)
