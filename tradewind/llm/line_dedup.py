@@ -152,7 +152,7 @@ def _suspected_lines(least_chars: int):
         for batch in slices(batches):
             ids = batch.column("doc_id").to_pylist()
             docs, keys, key_hashes = [], [], []
-            for doc, text, hashes in zip(ids, utf8(batch), batch.column("hashes").to_pylist(), strict=True):
+            for doc, text, hashes in zip(ids, utf8(batch), batch.column("__hashes").to_pylist(), strict=True):
                 wanted = set(hashes)
                 found = {
                     k: h
@@ -187,12 +187,12 @@ def losses(docs: DataFrame, least_chars: int = 20, least_docs: int = 3) -> DataF
         sent.withColumn("part", F.pmod(spread, F.lit(parts)))
         .groupBy("part")
         .applyInArrow(_suspects, "doc_id long, hash long")
-        .groupBy(F.col("doc_id").alias("suspect_doc"))
-        .agg(F.collect_list("hash").alias("hashes"))
+        .groupBy(F.col("doc_id").alias("__suspect_doc"))
+        .agg(F.collect_list("hash").alias("__hashes"))
     )
+    # All columns stay, so that this is the exchange of the documents that the caller joins with, too.
     lines = (
-        docs.join(suspects, _same(docs["doc_id"], suspects["suspect_doc"]))
-        .select("doc_id", "text", "hashes")
+        docs.join(suspects, _same(docs["doc_id"], suspects["__suspect_doc"]))
         .mapInArrow(_suspected_lines(least_chars), "doc_id long, key string, hash long, high long, low long")
     )
     repeated = (
@@ -283,7 +283,7 @@ def rewrite(docs: DataFrame, least_chars: int = 20, least_docs: int = 3) -> Data
         columns[names.index("text")] = pa.array(text, pa.binary()).cast(pa.string())
         return pa.RecordBatch.from_arrays(columns, names=names)
 
-    lost = losses(plain.select("doc_id", "text"), least_chars, least_docs)
+    lost = losses(plain, least_chars, least_docs)
     # The names of the steps must not meet those of the documents.
     lost = lost.select(F.col("lost_doc").alias("__lost_doc"), F.col("lost").alias("__lost"))
     whole = plain.join(lost, _same(plain["doc_id"], lost["__lost_doc"]), "left").select(

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.links import components
+from tradewind.llm.links import components, joined_by
 from tradewind.llm.storage import stored
 from tradewind.llm.texts import Numbers, joined, mixed, ranges, slices, utf8
 
@@ -318,14 +318,18 @@ class NearDuplicates:
         pairs = active.filter("hub IS NOT NULL").join(hubs, F.col("hub") == F.col("a"))
         return pairs.filter(test("a_signature", "signature", "a_own", "own")).select("a", F.col("id").alias("b"))
 
-    def _visits(self, cells: DataFrame, largest: bool) -> DataFrame:
+    def _apart(self, known: DataFrame) -> DataFrame:
+        """The members of bands that hold several components, with their component and its size."""
+        cells = self.shared.select("id", "n", "band").join(known, "id")
+        bands = cells.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+        return stored(cells.join(bands.filter("lo <> hi").select("band"), "band"), "apart")
+
+    def _visits(self, apart: DataFrame, largest: bool) -> DataFrame:
         """(component, size, id) of members to compare with components they share a band with.
 
-        ``cells``: the members of bands with their component and its size. The smaller component's
-        members visit the larger one; with ``largest``, only the largest that they share a band with.
+        The smaller component's members visit the larger one; with ``largest``, only the largest that
+        they share a band with.
         """
-        bands = cells.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        apart = stored(cells.join(bands.filter("lo <> hi").select("band"), "band"), "apart")
         there = apart.groupBy(F.col("band").alias("of_band"), F.col("component").alias("visited")).agg(
             F.max("size").alias("visited_size"), F.min("n").alias("least_n"), F.max("n").alias("most_n")
         )
@@ -349,16 +353,15 @@ class NearDuplicates:
         visited = visited.groupBy("component", "block").agg(side.alias("members"))
         return visitors.join(visited, ["component", "block"])
 
-    def _visited(self, active: DataFrame, joined_so_far: DataFrame, largest: bool) -> DataFrame:
-        """Links found by visits between the components so far."""
-        known = stored(
-            active.select("id").join(joined_so_far, "id", "left").select("id", F.coalesce("component", "id").alias("component")),
-            "known",
-        )
+    def _visited(self, active: DataFrame, known: DataFrame, largest: bool) -> DataFrame | None:
+        """Links found by visits between the components so far; None if no band holds several."""
         sizes = known.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
         known = stored(known.join(sizes, "component"), "sized")
+        apart = self._apart(known)
+        if apart.isEmpty():
+            return None
         blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-        visits = self._visits(self.shared.select("id", "n", "band").join(known, "id"), largest)
+        visits = self._visits(apart, largest)
         visits = stored(visits.select("component", "id", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block")), "visits")
         block = F.pmod(F.xxhash64("id"), blocks).alias("block")
         members = active.join(known.select("id", "component", block), "id")
@@ -368,16 +371,21 @@ class NearDuplicates:
             ),
             "alive",
         )
-        return self._met(alive, members, "own").mapInArrow(_verified_visits(self.percent), "a long, b long")
+        if alive.isEmpty():
+            return None
+        return stored(self._met(alive, members, "own").mapInArrow(_verified_visits(self.percent), "a long, b long"), "visit_links")
 
     def linked(self) -> DataFrame:
-        """``id, component`` of the members that any link joins."""
+        """``id, component`` of the members that share a band with any other."""
         active = self._active()
-        links = stored(self._with_hub(active), "hub_links")
+        hubs = components(self._with_hub(active))
+        known = active.select("id").distinct().join(hubs, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
+        known = stored(known, "known")
         for largest in (True, False):
-            found = self._visited(active, components(links), largest)
-            links = links.unionByName(stored(found, "visit_links"))
-        return components(links)
+            found = self._visited(active, known, largest)
+            if found is not None and not found.isEmpty():
+                known = stored(joined_by(known, found), "known")
+        return known
 
     def labelled(self) -> DataFrame:
         """``doc_id, n_shingles, component_id, kept`` of every document."""
