@@ -129,11 +129,10 @@ def _searched(least: float):
         for batch in batches:
             for pair in batch.to_pylist():
                 dim = pair["dim"]
-                sides = [
-                    [np.frombuffer(pair[side + name], kind) for name, kind in (("ids", np.int64), ("sizes", np.int64), ("vectors", np.float32))]
-                    for side in ("a_", "b_")
-                ]
-                (a_ids, a_sizes, a), (b_ids, b_sizes, b) = sides
+                a_ids, a_sizes, b_ids, b_sizes = (
+                    np.frombuffer(pair[name], np.int64) for name in ("a_ids", "a_sizes", "b_ids", "b_sizes")
+                )
+                a, b = (np.frombuffer(pair[name], np.float32) for name in ("a_vectors", "b_vectors"))
                 a, b, same = a.reshape(-1, dim), b.reshape(-1, dim), pair["a_shard"] == pair["b_shard"]
                 name = xxhash.xxh3_128_digest(pair["b_vectors"])
                 if kept is None or kept[0] != name:
@@ -159,7 +158,9 @@ def near_duplicates(
 ) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` of every row of ``vec_id, embedding, label``."""
     vector = F.col("embedding").cast("array<float>")
-    rows = table.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), vector.alias("vector"))
+    rows = table.select(
+        F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), vector.alias("vector")
+    )
     finite = F.forall(
         "vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf")).cast("float"))
     ) & F.exists("vector", lambda x: x != 0)
@@ -198,7 +199,10 @@ def near_duplicates(
             F.coalesce("component", "id").alias("component_id"),
         )
     )
-    whole = rows.select("vec_id", "label", "key").join(own, (F.col("label") == F.col("of_label")) & (F.col("key") == F.col("of_key")), "left")
+    same_class = (F.col("label") == F.col("of_label")) & (F.col("key") == F.col("of_key"))
+    whole = rows.select("vec_id", "label", "key").join(own, same_class, "left")
     return whole.select(
-        "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id")
+        "vec_id",
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        F.coalesce("component_id", "vec_id").alias("component_id"),
     ).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))

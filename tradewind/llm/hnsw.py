@@ -26,7 +26,6 @@ def search_layer(
 ) -> tuple[np.ndarray, np.ndarray]:
     """The best ``beam`` nodes found for each query (-1 where fewer), best first, and their similarity."""
     seen = np.zeros((len(queries), len(vectors)), bool)
-    rows = np.arange(len(queries))[:, None]
     valid = entries >= 0
     np.put_along_axis(seen, np.where(valid, entries, entries[:, :1]), True, axis=1)
     ids, sims = _top(entries, _sims(vectors, entries, queries, valid), beam)
@@ -58,12 +57,14 @@ def search_layer(
         all_sims = np.hstack([sims[active], found])
         all_done = np.hstack([done[active], ~fresh])
         ids[active], sims[active], done[active] = _top(all_ids, all_sims, beam, all_done)
-    del rows
     return ids, sims
 
 
-def _diverse(vectors: np.ndarray, centres: np.ndarray, ids: np.ndarray, sims: np.ndarray, most: int) -> np.ndarray:
-    """Up to ``most`` of the candidates of each centre: those nearer to it than to any chosen before, then the nearest."""
+def _diverse(vectors: np.ndarray, ids: np.ndarray, sims: np.ndarray, most: int) -> np.ndarray:
+    """Up to ``most`` of the candidates of each row, given their similarity to its node.
+
+    First those nearer to the node than to any candidate chosen before, then the nearest of the rest.
+    """
     ids, sims = _top(ids, sims, ids.shape[1])
     there = np.isfinite(sims)
     chosen = np.zeros(ids.shape, bool)
@@ -98,7 +99,7 @@ class Layer:
             found, near = search_layer(self.vectors[:first], self.links[:first], queries, entries, beam)
             ids, sims = np.hstack([found, ids]), np.hstack([near, sims])
         ids, sims = _top(ids, sims, beam)
-        self.links[first:last, : self.degree // 2] = _diverse(self.vectors, new, ids, sims, self.degree // 2)
+        self.links[first:last, : self.degree // 2] = _diverse(self.vectors, ids, sims, self.degree // 2)
         # Links back; full lists are chosen anew.
         source, place = np.nonzero(self.links[first:last, : self.degree // 2] >= 0)
         target = self.links[first + source, place]
@@ -121,7 +122,7 @@ class Layer:
             ids = np.sort(ids, axis=1)
             ids[:, 1:][ids[:, 1:] == ids[:, :-1]] = -1
             sims = _sims(self.vectors, ids, self.vectors[nodes[part]], ids >= 0)
-            self.links[nodes[part]] = _diverse(self.vectors, nodes[part], ids, sims, self.degree)
+            self.links[nodes[part]] = _diverse(self.vectors, ids, sims, self.degree)
 
 
 class Graph:

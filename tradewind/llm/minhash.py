@@ -22,7 +22,8 @@ Steps:
 
 Empty and null texts have the empty set and are linked with nothing. A null ``doc_id`` is never
 linked, its component is null and it is not kept. Repeated rows come out repeated; of rows that share
-a ``doc_id`` but not the text each has the component of its own text. An empty table gives no rows. ``deduplicated`` returns all columns of the documents it keeps.
+a ``doc_id`` but not the text each has the component of its own text. An empty table gives no rows.
+``deduplicated`` returns all columns of the documents it keeps.
 """
 
 from __future__ import annotations
@@ -362,7 +363,8 @@ class NearDuplicates:
             return None
         blocks = F.ceil(F.col("size") / BLOCK).cast("int")
         visits = self._visits(apart, largest)
-        visits = stored(visits.select("component", "id", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block")), "visits")
+        every_block = F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block")
+        visits = stored(visits.select("component", "id", every_block), "visits")
         block = F.pmod(F.xxhash64("id"), blocks).alias("block")
         members = active.join(known.select("id", "component", block), "id")
         alive = stored(
@@ -373,14 +375,15 @@ class NearDuplicates:
         )
         if alive.isEmpty():
             return None
-        return stored(self._met(alive, members, "own").mapInArrow(_verified_visits(self.percent), "a long, b long"), "visit_links")
+        met = self._met(alive, members, "own")
+        return stored(met.mapInArrow(_verified_visits(self.percent), "a long, b long"), "visit_links")
 
     def linked(self) -> DataFrame:
         """``id, component`` of the members that share a band with any other."""
         active = self._active()
         hubs = components(self._with_hub(active))
-        known = active.select("id").distinct().join(hubs, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
-        known = stored(known, "known")
+        known = active.select("id").distinct().join(hubs, "id", "left")
+        known = stored(known.select("id", F.coalesce("component", "id").alias("component")), "known")
         for largest in (True, False):
             found = self._visited(active, known, largest)
             if found is not None and not found.isEmpty():

@@ -42,7 +42,10 @@ _UNIT = re.compile(f"{_WORD}| ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 SLICE_BYTES = 24 << 20
 WORDS_A_CALL = 500
 
-_PACKED = "bucket int, slice long, units binary, lengths binary, n_docs binary, rows binary, counts binary, doc_ids array<long>, n_bytes array<long>"
+_PACKED = (
+    "bucket int, slice long, units binary, lengths binary, n_docs binary, rows binary, counts binary, "
+    "doc_ids array<long>, n_bytes array<long>"
+)
 _PARTIAL = "slice long, rows binary, counts binary, doc_ids array<long>, n_bytes array<long>"
 _COUNTED = "doc_id long, n_bytes long, n_tokens long"
 
@@ -102,14 +105,11 @@ def encoded(path: str, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def _record(schema: str, **columns) -> pa.RecordBatch:
     """A batch of the named columns, null where a column of the schema is not given."""
-    names = [part.split()[0] for part in schema.split(", ")]
     types = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())}
     fields = pa.schema([(part.split()[0], types[part.split()[1]]) for part in schema.split(", ")])
     n = len(next(iter(columns.values())))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(columns[name], type=fields.field(name).type) if name in columns else pa.nulls(n, fields.field(name).type) for name in names],
-        schema=fields,
-    )
+    arrays = [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in fields]
+    return pa.RecordBatch.from_arrays(arrays, schema=fields)
 
 
 def _frequencies(path: str, buckets: int):
@@ -161,9 +161,8 @@ def _counted_once(path: str):
     """A bucket: pieces of each distinct pre-token, joined to the frequencies of all slices."""
 
     def run(bucket: pa.Table) -> pa.Table:
-        out = [
-            _record(_PARTIAL, **{k: bucket.column(k).filter(bucket.column("units").is_null()).to_pylist() for k in ("slice", "doc_ids", "n_bytes")})
-        ]
+        heads = bucket.filter(bucket.column("units").is_null())
+        out = [_record(_PARTIAL, **{k: heads.column(k).to_pylist() for k in ("slice", "doc_ids", "n_bytes")})]
         bucket = bucket.filter(bucket.column("units").is_valid())
         if bucket.num_rows:
             lengths, starts = _numbers(bucket.column("lengths"))
