@@ -15,8 +15,8 @@ Steps:
 4. survivors are verified on their full sets;
 5. candidates come in three rounds, so that no round lists the pairs of a large group. First every
    member meets one other, the smallest member of most of its bands. Then each member visits the
-   largest component that shares a band with it, then all that still do, always from the smaller
-   component to the larger one. A visit compares the member with the whole component, block by block,
+   largest component that shares a band with it, until that joins nobody, then all that still do,
+   always from the smaller component to the larger one. A visit compares the member with the whole component, block by block,
    and ends in one link at most;
 6. components of the links, spread over the classes.
 
@@ -46,6 +46,7 @@ BANDS, ROWS = 40, 5
 BATCH = 32
 CACHED = 1 << 15
 BLOCK = 128
+FIRST_MINIMA = 64
 PAIRS_AT_ONCE = 1 << 16
 MEMBERS_AT_ONCE = 1 << 13
 MISS = 1e-9
@@ -219,7 +220,7 @@ def _pruned_and_verified(percent: int, miss: float):
     return test
 
 
-def _surviving_visits(percent: int, miss: float):
+def _surviving_visits(column: str, percent: int, miss: float):
     """Visits of which a pair survives: (component, block, visitor)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,7 +228,7 @@ def _surviving_visits(percent: int, miss: float):
             visitors, members = batch.column("visitors"), batch.column("members")
             v_count, m_count = visitors.value_lengths().to_numpy(), members.value_lengths().to_numpy()
             v_sign, m_sign = (
-                np.frombuffer(b"".join(x.flatten().field("signature").to_pylist()), np.uint32) for x in (visitors, members)
+                np.frombuffer(b"".join(x.flatten().field(column).to_pylist()), np.uint32) for x in (visitors, members)
             )
             ids = visitors.flatten().field("id").to_numpy()
             v_sign, m_sign = v_sign.reshape(len(ids), -1), m_sign.reshape(int(m_count.sum()), -1)
@@ -367,15 +368,15 @@ class NearDuplicates:
         visits = stored(visits.select("component", "id", every_block), "visits")
         block = F.pmod(F.xxhash64("id"), blocks).alias("block")
         members = active.join(known.select("id", "component", block), "id")
-        alive = stored(
-            self._met(visits, members, "signature").mapInArrow(
-                _surviving_visits(self.percent, self.miss), "component long, block int, id long"
-            ),
-            "alive",
-        )
-        if alive.isEmpty():
-            return None
-        met = self._met(alive, members, "own")
+        members = members.withColumn("first", F.substring("signature", 1, 4 * FIRST_MINIMA))
+        # Most visits end at the first minima, so those travel first.
+        for column in ("first", "signature"):
+            met = self._met(visits, members, column)
+            test = _surviving_visits(column, self.percent, self.miss)
+            visits = stored(met.mapInArrow(test, "component long, block int, id long"), "alive")
+            if visits.isEmpty():
+                return visits.select(F.col("component").alias("a"), F.col("id").alias("b"))
+        met = self._met(visits, members, "own")
         return stored(met.mapInArrow(_verified_visits(self.percent), "a long, b long"), "visit_links")
 
     def linked(self) -> DataFrame:
@@ -384,10 +385,15 @@ class NearDuplicates:
         hubs = components(self._with_hub(active))
         known = active.select("id").distinct().join(hubs, "id", "left")
         known = stored(known.select("id", F.coalesce("component", "id").alias("component")), "known")
-        for largest in (True, False):
+        largest, done = True, False
+        while not done:
             found = self._visited(active, known, largest)
-            if found is not None and not found.isEmpty():
+            more = found is not None and not found.isEmpty()
+            if more:
                 known = stored(joined_by(known, found), "known")
+            # The largest components are visited until that joins nobody, then all.
+            done = found is None or not largest
+            largest = largest and more
         return known
 
     def labelled(self) -> DataFrame:
