@@ -15,8 +15,8 @@ Steps:
 4. survivors are verified on their full sets;
 5. candidates come in three rounds, so that no round lists the pairs of a large group. First every
    member meets one other, the smallest member of most of its bands. Then each member visits the
-   largest component that shares a band with it, until that joins nobody, then all that still do,
-   always from the smaller component to the larger one. A visit compares the member with the whole component, block by block,
+   largest component that shares a band with it, then all that still do, always from the smaller
+   component to the larger one. A visit compares the member with the whole component, block by block,
    and ends in one link at most;
 6. components of the links, spread over the classes.
 
@@ -385,15 +385,12 @@ class NearDuplicates:
         hubs = components(self._with_hub(active))
         known = active.select("id").distinct().join(hubs, "id", "left")
         known = stored(known.select("id", F.coalesce("component", "id").alias("component")), "known")
-        largest, done = True, False
-        while not done:
+        for largest in (True, False):
             found = self._visited(active, known, largest)
-            more = found is not None and not found.isEmpty()
-            if more:
+            if found is None:
+                break
+            if not found.isEmpty():
                 known = stored(joined_by(known, found), "known")
-            # The largest components are visited until that joins nobody, then all.
-            done = found is None or not largest
-            largest = largest and more
         return known
 
     def labelled(self) -> DataFrame:
