@@ -70,6 +70,48 @@ def test_sample_items_equal_plain_search(spark, block_words):
     assert exact <= found
 
 
+def edited_copies(item, draw):
+    """Copies with a word changed, put in or left out (or several put in) in every 4 to 6 words."""
+    for every in (4, 5, 6):
+        for kind in ("change", "insert", "leave out", "insert three", "any"):
+            for offset in (1, every - 1):
+                out = []
+                for i, word in enumerate(item):
+                    edit = kind if kind != "any" else draw.choice(["change", "insert", "leave out"])
+                    if i % every != offset:
+                        out.append(word)
+                    elif edit != "leave out":
+                        out += [f"new{draw.integers(10**9)}" for _ in range(3 if edit == "insert three" else 1)]
+                        out += [word] if edit != "change" else []
+                yield out
+
+
+@pytest.mark.parametrize("intact", [False, True])
+def test_densely_edited_copies_equal_plain_alignment(documents, spark, intact):
+    draw = np.random.default_rng(11)
+    items = {n: [f"item{n}word{i}" for i in range(n)] for n in (17, 25, 40)}
+    # Other documents that hold the items must not hide the edited copies.
+    texts = [item for item in items.values() for _ in range(2)] if intact else []
+    texts += [copy for item in items.values() for copy in edited_copies(item, draw)]
+    filler = [f"word{i}" for i in range(60)]
+    docs = documents([(i, " ".join([*filler[: i % 50], *text, *filler])) for i, text in enumerate(texts)])
+    table = spark.createDataFrame([(n, " ".join(item)) for n, item in items.items()], "item_id long, text string")
+    found = {(r.doc_id, r.item_id): r.score for r in decontaminate.contaminations(docs, table).collect()}
+    want = {}
+    for i, text in enumerate(texts):
+        for n, item in items.items():
+            score = slow_align(item, text)
+            if score >= 0.5 * 2 * n:
+                want[i, n] = score
+    assert found == want and len(want) > 60
+
+
+def test_common_phrases_bring_no_findings(documents, spark):
+    docs = documents([(i, " ".join([*WORDS[8:11], *[f"own{i}word{k}" for k in range(30)]] * 20)) for i in range(40)])
+    items = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    assert decontaminate.contaminations(docs, items).count() == 0
+
+
 def test_empty_tables(documents, spark):
     items = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
     assert decontaminate.contaminations(documents([]), items).count() == 0

@@ -1,18 +1,19 @@
-"""Documents that hold benchmark items, also edited ones: rare seeds, then Smith-Waterman alignment.
+"""Documents that hold benchmark items, also edited ones: n-gram seeds, then Smith-Waterman alignment.
 
 Texts are read as words: A-Z in lower case, ASCII marks as breaks.
-1. Seeds. An item's n-grams of ``seed_words`` words are looked up in all documents and the number of
-   documents that hold each is counted. In every run of ``window`` consecutive n-grams of an item the
-   rarest one is a seed, so each stretch of ``window + seed_words - 1`` unchanged words holds one
-   however common the item itself is, while phrases of the language are left out.
-2. Join. A document is matched with the items whose seeds it holds; hits on nearby diagonals are one
-   region of the document.
-3. Each region is aligned with its item by Smith-Waterman over words (match 2, mismatch -1, gap -1).
-   The document is contaminated if the score is at least ``least_share`` of a full match of the item,
-   or of ``long_words`` words of an item longer than that.
+1. Seeds. All n-grams of ``seed_words`` words of an item are looked up in all documents, so a copy is
+   met at every stretch of ``seed_words`` words that its edits left, however common the phrase and
+   whatever other documents hold. A copy without such a stretch is not met.
+2. Windows. Around a hit lies all the text that an alignment through it can reach with enough score. A
+   window that shares too few words with the item, counted as often as both have them, cannot reach it
+   in any order of them and is left out; chance hits of common phrases end here.
+3. Windows of a document that overlap are one region, which is aligned with the item by Smith-Waterman
+   over words (match 2, mismatch -1, gap -1). The document is contaminated if the score is at least
+   ``least_share`` of a full match of the item, or of ``long_words`` words of an item longer than that.
 
 The items are taken in blocks of at most ``block_words`` words, which is what a task holds of them
-besides its slice of documents; the documents are never shuffled, only counts and findings are.
+besides its slice of documents; the documents are never shuffled. Hits and windows are looked at in
+portions, so that a task's memory does not grow with how common a phrase is.
 
 Null and empty texts match nothing, nor do items of fewer than ``seed_words`` words. Repeated items
 and documents are found each by itself; null ids stay null. Empty tables give no rows.
@@ -28,12 +29,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.texts import Numbers, joined, mixed, slices, utf8
+from tradewind.llm.texts import Numbers, joined, mixed, ranges, slices, utf8
 
-SEED_WORDS, WINDOW = 3, 4
+SEED_WORDS = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
 FILTER_BITS = 22
 ALIGNED_AT_ONCE = 256
+HITS_AT_ONCE = 1 << 19
+WORDS_AT_ONCE = 1 << 20
 FOUND = "doc_id long, item_id long, score long, share double, first_word long, end_word long"
 
 _MARKS = bytes(c if chr(c).isalnum() or c >= 128 else 32 for c in range(256))
@@ -121,34 +124,18 @@ def align(item: np.ndarray, texts: list[np.ndarray]) -> tuple[np.ndarray, np.nda
 
 
 class Block:
-    """A block of items as it travels to the tasks: word hashes and seeds."""
+    """A block of items as it travels to the tasks: word hashes and the places of all n-grams."""
 
     def __init__(self, ids: list, words: list[np.ndarray], size: int):
         self.ids, self.words, self.size = ids, words, size
-        grams = [grams_of(w, size) for w in words]
-        flat, starts = joined(grams, np.uint64)
-        self.grams = Grams(flat)
-        self.place = np.searchsorted(self.grams.values, flat)
-        self.item = np.repeat(np.arange(len(words)), np.diff(starts))
-        self.position = np.arange(len(flat)) - starts[self.item] if len(flat) else np.empty(0, np.int64)
-        self.starts = starts
-
-    def chosen(self, documents: np.ndarray, window: int) -> None:
-        """Keep as seeds the rarest n-gram of every window; the later one among equals."""
-        seeds = np.zeros(len(self.item), bool)
-        rarity = documents[self.place] if len(self.place) else np.empty(0, np.int64)
-        for a, b in zip(self.starts[:-1].tolist(), self.starts[1:].tolist(), strict=True):
-            for first in range(a, max(a + 1, b - window + 1) if b > a else a):
-                part = rarity[first : min(first + window, b)]
-                seeds[first + len(part) - 1 - int(part[::-1].argmin())] = True
-        keep = np.flatnonzero(seeds)
-        order = keep[np.argsort(self.place[keep], kind="stable")]
-        values = self.grams.values[self.place[order]]
+        flat, starts = joined([grams_of(w, size) for w in words], np.uint64)
+        item = np.repeat(np.arange(len(words)), np.diff(starts))
+        order = np.argsort(flat, kind="stable")
+        values = flat[order]
         self.grams = Grams(values)
         self.first = np.searchsorted(values, self.grams.values)
         self.after = np.searchsorted(values, self.grams.values, side="right")
-        self.item, self.position = self.item[order], self.position[order]
-        del self.place, self.starts
+        self.item, self.position = item[order], (np.arange(len(flat)) - starts[item])[order]
 
 
 def _blocks(items: DataFrame, size: int, block_words: int) -> Iterator[Block]:
@@ -167,60 +154,85 @@ def _blocks(items: DataFrame, size: int, block_words: int) -> Iterator[Block]:
         yield Block(ids, words, size)
 
 
-def _document_counts(block: Block):
-    """In how many documents of the task each n-gram of the block is."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(block.grams.values), np.int64)
-        for batch in slices(batches):
-            h, starts = slice_words(utf8(batch))
-            at, place = block.grams.find(grams_of(h, block.size))
-            row, whole = inside(at, starts, block.size)
-            pairs = np.unique(row[whole] * len(total) + place[whole])
-            total += np.bincount(pairs % max(1, len(total)), minlength=len(total))
-        found = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], names=["place", "n"])
-
-    return run
-
-
-def _regions(row: np.ndarray, item: np.ndarray, diagonal: np.ndarray, slack: np.ndarray) -> list[np.ndarray]:
-    """Hits (any order) in groups of the same document and item whose diagonals are close."""
-    order = np.lexsort((diagonal, item, row))
-    r, i, d = row[order], item[order], diagonal[order]
-    new = (r[1:] != r[:-1]) | (i[1:] != i[:-1]) | (d[1:] - d[:-1] > slack[order][1:])
-    return np.split(order, np.flatnonzero(new) + 1) if len(order) else []
+def _portions(sizes: np.ndarray, most: int) -> Iterator[slice]:
+    """Runs of entries whose sizes add up to about ``most``, one entry at least."""
+    ends = np.cumsum(sizes)
+    first = 0
+    while first < len(sizes):
+        before = int(ends[first - 1]) if first else 0
+        stop = max(first + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield slice(first, stop)
+        first = stop
+
+
+def common_words(item: np.ndarray, h: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """How many words each window of ``h`` shares with the item, each as often as both have it."""
+    own, times = np.unique(item, return_counts=True)
+    out = np.zeros(len(lo), np.int64)
+    for part in _portions(np.maximum(hi - lo, len(own)), WORDS_AT_ONCE):
+        n = hi[part] - lo[part]
+        words = h[ranges(lo[part], n)]
+        place = np.minimum(np.searchsorted(own, words), len(own) - 1)
+        known = own[place] == words
+        cells = (np.repeat(np.arange(len(n)), n) * len(own) + place)[known]
+        held = np.bincount(cells, minlength=len(n) * len(own)).reshape(len(n), len(own))
+        out[part] = np.minimum(held, times).sum(axis=1)
+    return out
+
+
+def _regions(row: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> list[tuple[int, int, int]]:
+    """(document, from, to) of windows of one item, the overlapping ones of a document as one."""
+    out: list[tuple[int, int, int]] = []
+    for r, a, b in sorted(zip(row.tolist(), lo.tolist(), hi.tolist(), strict=True)):
+        if out and out[-1][0] == r and a <= out[-1][2]:
+            out[-1] = (r, out[-1][1], max(b, out[-1][2]))
+        else:
+            out.append((r, a, b))
+    return out
 
 
 def _findings(block: Block, least_share: float, long_words: int):
     lengths = np.array([len(w) for w in block.words], np.int64)
+    full = MATCH * np.minimum(lengths, long_words)
+    # No alignment with enough score has more words without a partner than this.
+    most_gaps = np.ceil(MATCH * lengths - least_share * full).astype(np.int64)
+
+    def regions(h: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, list[tuple[int, int, int]]]]:
+        """Items and the regions of the documents that can hold them."""
+        at, place = block.grams.find(grams_of(h, block.size))
+        row, whole = inside(at, starts, block.size)
+        at, place, row = at[whole], place[whole], row[whole]
+        # An n-gram can belong to several items, or to several places of one.
+        times = block.after[place] - block.first[place]
+        for part in _portions(times, HITS_AT_ONCE):
+            hit = ranges(block.first[place[part]], times[part])
+            r, item, position = np.repeat(row[part], times[part]), block.item[hit], block.position[hit]
+            diagonal = np.repeat(at[part], times[part]) - position
+            # What comes before the hit has to earn its own gaps, and what comes after it.
+            before = np.minimum(most_gaps[item], MATCH * position)
+            behind = np.minimum(most_gaps[item], MATCH * (lengths[item] - block.size - position))
+            lo = np.maximum(starts[r], diagonal - before)
+            hi = np.minimum(starts[r + 1], diagonal + lengths[item] + behind)
+            order = np.argsort(item, kind="stable")
+            for own in np.split(order, np.flatnonzero(np.diff(item[order])) + 1) if len(order) else []:
+                i = int(item[own[0]])
+                own = own[MATCH * common_words(block.words[i], h, lo[own], hi[own]) / full[i] >= least_share]
+                if len(own):
+                    yield i, _regions(r[own], lo[own], hi[own])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             h, starts = slice_words(utf8(batch))
-            at, place = block.grams.find(grams_of(h, block.size))
-            row, whole = inside(at, starts, block.size)
-            at, place, row = at[whole], place[whole], row[whole]
-            # A seed can belong to several items, or to several places of one.
-            times = block.after[place] - block.first[place]
-            seed = np.repeat(block.first[place], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-            row, item = np.repeat(row, times), block.item[seed]
-            diagonal = np.repeat(at, times) - block.position[seed]
-            regions: dict[int, list[tuple[int, int, int]]] = {}
-            for hits in _regions(row, item, diagonal, lengths[item] // 2 + 1):
-                r, i = int(row[hits[0]]), int(item[hits[0]])
-                m = int(lengths[i])
-                lo = max(int(starts[r]), int(diagonal[hits[0]]) - m // 2)
-                hi = min(int(starts[r + 1]), int(diagonal[hits[-1]]) + m + m // 2)
-                regions.setdefault(i, []).append((r, lo, hi))
             best: dict[tuple[int, int], tuple] = {}
-            for i, spans in regions.items():
-                for first in range(0, len(spans), ALIGNED_AT_ONCE):
-                    group = sorted(spans, key=lambda s: s[2] - s[1])[first : first + ALIGNED_AT_ONCE]
+            for i, spans in regions(h, starts):
+                spans.sort(key=lambda s: s[2] - s[1])
+                widths = np.array([hi - lo for _, lo, hi in spans])
+                for part in _portions(np.maximum(widths, WORDS_AT_ONCE // ALIGNED_AT_ONCE), WORDS_AT_ONCE):
+                    group = spans[part]
                     found = align(block.words[i], [h[lo:hi] for _, lo, hi in group])
                     for (r, lo, _), score, begin, end in zip(group, *(x.tolist() for x in found), strict=True):
-                        share = min(1.0, score / (MATCH * min(int(lengths[i]), long_words)))
-                        if share >= max(least_share, best.get((r, i), (0, 0.0))[1]):
+                        share = min(1.0, score / int(full[i]))
+                        if share >= least_share and score > best.get((r, i), (0,))[0]:
                             before = lo - int(starts[r])
                             best[r, i] = (score, share, before + begin, before + end)
             ids = batch.column("doc_id").to_pylist()
@@ -243,7 +255,6 @@ def contaminations(
     least_share: float = 0.5,
     long_words: int = 50,
     seed_words: int = SEED_WORDS,
-    window: int = WINDOW,
     block_words: int = 2_000_000,
 ) -> DataFrame:
     """One row per contaminated document and item: score, share of a full match, place in the document's words."""
@@ -251,11 +262,6 @@ def contaminations(
     items = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     found = docs.sparkSession.createDataFrame([], FOUND)
     for block in _blocks(items, seed_words, block_words):
-        counts = texts.mapInArrow(_document_counts(block), "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
-        documents = np.zeros(len(block.grams.values), np.int64)
-        for row in counts.toLocalIterator():
-            documents[row["place"]] = row["n"]
-        block.chosen(documents, window)
         found = found.unionByName(texts.mapInArrow(_findings(block, least_share, long_words), FOUND))
     return found
 
