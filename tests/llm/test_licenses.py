@@ -47,6 +47,27 @@ def test_sample_documents_equal_plain_search(spark):
     assert found == want and want
 
 
+def test_cut_texts_as_whole_documents(documents):
+    own = {f"of {n}": " ".join(f"t{n}w{i}" for i in range(n + 4)) for n in (1, 3, 4, 7, 8, 9, 15, 16, 17, 18, 31)}
+    templates = {**TEMPLATES, **own}
+    table = []
+    for name, text in templates.items():
+        cut = text.split()
+        for lost in range(min(8, len(cut))):
+            for short in (cut[: len(cut) - lost], cut[lost:], cut[lost // 2 : len(cut) - (lost + 1) // 2]):
+                table += [(len(table), " ".join(short)), (len(table) + 1, f"so {' '.join(short)} too")]
+    found = {(r.doc_id, r.license): r.share for r in licenses.scan(documents(table), templates).collect()}
+    want = {}
+    for i, text in table:
+        for name, template in templates.items():
+            share = contained(template, text)
+            if share >= 0.8:
+                want[i, name] = pytest.approx(share)
+    assert found == want
+    names = {name for i, name in want if len(words(dict(table)[i])) < len(words(templates[name]))}
+    assert {"BSD short", "GPL-2.0 short", "GPL-3.0 short", "of 8", "of 16", "of 17", "of 18"} <= names
+
+
 def test_repeats_nulls_and_own_templates(documents):
     text = TEMPLATES["MIT short"]
     docs = documents([(1, f"{text} {FILLER} {text}"), (None, text), (2, None), (3, ""), (4, "!!"), (1, f"{text} {FILLER} {text}")])

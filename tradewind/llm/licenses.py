@@ -6,7 +6,9 @@ it; all its windows are indexed by 16 bands of 2 minima. Documents are cut into
 the same sizes, ``size / 4`` shingles apart. A window with half the shingles of a template window is
 retrieved with probability 1 - (1 - 1/4)^16 = 0.99, one with four fifths all but certainly (1 - 9e-8),
 and a template of many shingles has many windows to be found by. Windows without any shingle of any
-template cannot collide and get no signature, which leaves out nearly all of a text.
+template cannot collide and get no signature, which leaves out nearly all of a text. A document that is
+shorter than the windows of a size can still hold most of a template of it (a notice without its last
+words); the templates of that size that it has any shingle of are all retrieved.
 
 Retrieved templates are verified exactly: the share of the template's distinct shingles that occur in
 the document's stretch of the template's length (and half of it again on each side, between the
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 from tradewind.llm.decontaminate import Grams, grams_of, inside, slice_words
 from tradewind.llm.license_texts import TEMPLATES
 from tradewind.llm.minhash import band_keys, signatures
-from tradewind.llm.texts import slices, utf8
+from tradewind.llm.texts import ranges, slices, utf8
 
 SHINGLE = 5
 BANDS, ROWS = 16, 2
@@ -63,6 +65,7 @@ class Index:
         words = 0
         keys: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
         self.shingle = []
+        sizes = []
         for number, text in enumerate(templates.values()):
             h, _ = slice_words([text.encode()])
             words += len(h)
@@ -70,9 +73,10 @@ class Index:
             grams = grams_of(h, width) if width else np.empty(0, np.uint64)
             self.grams.append(grams)
             self.shingle.append(width)
+            sizes.append(0)
             if width < SHINGLE:
                 continue
-            size = max(s for s in SIZES if s <= len(grams))
+            size = sizes[-1] = max(s for s in SIZES if s <= len(grams))
             begins = windows(len(grams), size, 1)
             found = window_keys(grams, begins, size).reshape(-1)
             keys.setdefault(size, []).append((found, np.full(len(found), number)))
@@ -84,12 +88,28 @@ class Index:
             key, owner = (np.concatenate(x) for x in zip(*parts, strict=True))
             order = np.argsort(key, kind="stable")
             self.keys[size] = key[order], owner[order]
-        self.members = Grams(np.concatenate([*self.grams, np.empty(0, np.uint64)]))
+        flat = np.concatenate([*self.grams, np.empty(0, np.uint64)])
+        self.members = Grams(flat)
+        #: Per shingle, in the order of ``members``: where its templates begin and end in ``owners``.
+        order = np.argsort(flat, kind="stable")
+        self.owners = np.repeat(np.arange(len(self.grams)), [len(g) for g in self.grams])[order]
+        self.first = np.searchsorted(flat[order], self.members.values)
+        self.after = np.searchsorted(flat[order], self.members.values, side="right")
+        #: Window size of each template, 0 for those that are one short shingle.
+        self.sizes = np.array(sizes, np.int64)
         self.short = [(i, g) for i, g in enumerate(self.grams) if 0 < self.shingle[i] < SHINGLE]
 
-    def retrieved(self, grams: np.ndarray, hits: np.ndarray) -> set[tuple[int, int]]:
-        """(template, position) of the windows that collide with one of a template."""
+    def retrieved(self, grams: np.ndarray, hits: np.ndarray, members: np.ndarray) -> set[tuple[int, int]]:
+        """(template, position) of the windows that collide with one of a template.
+
+        ``hits`` are the places of shingles of any template and ``members`` which ones they are.
+        """
         found: set[tuple[int, int]] = set()
+        if len(grams) < max(SIZES):
+            # Fewer shingles than a window: whatever template of that size has one of them.
+            held = np.unique(members)
+            near = np.unique(self.owners[ranges(self.first[held], self.after[held] - self.first[held])])
+            found.update((int(t), 0) for t in near[self.sizes[near] > len(grams)])
         for size, (keys, owner) in self.keys.items():
             if len(grams) < size:
                 continue
@@ -155,9 +175,9 @@ def _search(index: Index, least_share: float):
         """(licence, share, first word, word after the last) in a text's word hashes."""
         found = []
         grams = grams_of(h, SHINGLE)
-        hits, _ = index.members.find(grams)
+        hits, members = index.members.find(grams)
         if len(hits):
-            candidates = index.retrieved(grams, hits)
+            candidates = index.retrieved(grams, hits, members)
             for t, share, a, b in index.verified(grams, candidates, least_share):
                 found.append((index.names[t], share, a, b + SHINGLE - 1))
         for t, own in index.short:
