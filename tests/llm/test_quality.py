@@ -63,3 +63,21 @@ def test_edges(documents, spark):
     assert {r.score for r in quality.score_documents(docs, labels.limit(0)).collect()} == {0.5}
     one_kind = quality.score_documents(docs, labels.filter("quality = 1"))
     assert {r.score for r in one_kind.collect()} == {1.0}
+
+
+def test_long_documents_do_not_end_the_sample(documents, spark):
+    table = [(i, "A plain sentence with words.\n" * 300 if i % 2 else "### SPAM!! ###\n" * 5) for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    model = quality.learn(documents(table), labels, most_lines=250)
+    assert isinstance(model, quality.Chain)
+    good, bad = model.document_scores([table[1][1].encode(), table[0][1].encode()])
+    assert good > 0.7 > 0.3 > bad
+
+
+def test_share_of_lines():
+    draw = np.random.default_rng(5)
+    for most in (10, 100, 1000):
+        lengths = draw.integers(1, 60, 10)
+        share = quality.line_share(lengths, most)
+        assert np.minimum(lengths, share).sum() <= most
+        assert share >= lengths.max() or np.minimum(lengths, share + 1).sum() > most

@@ -25,6 +25,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -172,19 +173,42 @@ def train(own: np.ndarray, starts: np.ndarray, labels: np.ndarray, steps: int =
     return chain
 
 
-def _sample_features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches):
-        own, starts = line_features(utf8(batch))
-        parts = [own[a:b].tobytes() for a, b in zip(starts[:-1], starts[1:], strict=True)]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("quality"), pa.array(parts, pa.binary())], names=["quality", "features"]
-        )
+def line_share(lengths: np.ndarray, most_lines: int) -> int:
+    """The largest number of lines per text with which all texts together have at most ``most_lines``."""
+    lengths, left = np.sort(lengths), most_lines
+    for i, n in enumerate(lengths.tolist()):
+        if n * (len(lengths) - i) > left:
+            return max(1, left // (len(lengths) - i))
+        left -= n
+    return max(1, int(lengths[-1])) if len(lengths) else 1
+
+
+def _sample_features(share: int):
+    """Features of all lines, or of a run of ``share`` lines that begins where the hash of the text says."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            texts = utf8(batch)
+            own, starts = line_features(texts)
+            parts = []
+            for text, a, b in zip(texts, starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+                if b - a > share:
+                    a += xxhash.xxh64_intdigest(text) % (b - a - share + 1)
+                parts.append(own[a : min(b, a + share)].tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("quality"), pa.array(parts, pa.binary())], names=["quality", "features"]
+            )
+
+    return run
 
 
 def learn(
     docs: DataFrame, labels: DataFrame, most_documents: int = MOST_DOCUMENTS, most_lines: int = MOST_LINES
 ) -> Chain | Constant:
-    """A chain from the labelled documents (``doc_id, quality``) of a bounded sample."""
+    """A chain from the labelled documents (``doc_id, quality``) of a bounded sample.
+
+    If the sample has more than ``most_lines`` lines, its longest documents give a run of lines each.
+    """
     chosen = (
         labels.filter("doc_id IS NOT NULL AND quality IN (0, 1)")
         .groupBy(F.col("doc_id").cast("long").alias("labelled"))
@@ -195,15 +219,14 @@ def learn(
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # At most ``most_documents`` pairs of numbers.
     sample = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled")).select("doc_id", "text", "quality")
+    n_lines = (F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).alias("n")
+    counts = sample.select("doc_id", n_lines).groupBy("doc_id").agg(F.coalesce(F.max("n"), F.lit(1)).alias("n")).collect()
+    share = line_share(np.array([row["n"] for row in counts], np.int64), most_lines)
     sample = sample.dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"))
-    parts, given, lines = [], [], 0
-    rows = sample.select("text", "quality").mapInArrow(_sample_features, "quality int, features binary")
+    parts, given = [], []
+    rows = sample.select("text", "quality").mapInArrow(_sample_features(share), "quality int, features binary")
     for row in rows.toLocalIterator():
-        own = np.frombuffer(row["features"], np.float32).reshape(-1, FEATURES + 1)
-        lines += len(own)
-        if lines > most_lines and parts:
-            break
-        parts.append(own)
+        parts.append(np.frombuffer(row["features"], np.float32).reshape(-1, FEATURES + 1))
         given.append(row["quality"])
     if len(set(given)) < 2:
         return Constant(float(np.mean(given)) if given else 0.5)
