@@ -7,8 +7,23 @@ from collections.abc import Callable
 import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from tradewind.llm import decontaminate, embeddings, language_id, licenses, line_dedup, minhash, packing, quality, secrets, token_counts
+from pyspark.sql import functions as F
+
+from tradewind.llm import (
+    decontaminate,
+    embeddings,
+    hard_negatives,
+    language_id,
+    licenses,
+    line_dedup,
+    minhash,
+    packing,
+    quality,
+    secrets,
+    suffix_dedup,
+    token_counts,
+    vector_codes,
+)
 from tradewind.llm.storage import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +71,21 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.code_report(table(spark, sf_dir, "embeddings"))
+
+
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removal_report(table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh vector is labelled as if it were of the next class."""
+    vec_id, label = F.col("vec_id"), F.col("label")
+    moved = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), vec_id % 100 == 0, moved)
+
+
 QUERIES: dict[str, Query] = {
     **{name: f for name, f in list(globals().items()) if name.startswith("op")},
     "pipeline": corpus_pipeline.run,
@@ -64,6 +94,30 @@ QUERIES: dict[str, Query] = {
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
+_WHOLE = "list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT)"
+_USABLE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+
+def _assign(k: int) -> str:
+    """Every part with the closest entry of the k-th codebooks."""
+    return f"""
+dist{k} AS (SELECT vec_id, label, c.part, entry, x,
+    list_sum(list_transform(list_zip(x, e), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d
+    FROM cut c JOIN book{k} b ON b.part = c.part),
+near{k} AS (SELECT * FROM dist{k} QUALIFY row_number() OVER (PARTITION BY vec_id, part ORDER BY d, entry) = 1)"""
+
+
+def _round(k: int) -> str:
+    """An assignment and the entries after it: componentwise means rounded down, unused entries as they were."""
+    return f"""{_assign(k)},
+mean{k} AS (SELECT part, entry, list(m ORDER BY pos) AS e FROM
+    (SELECT part, entry, pos, floor(sum(c)::DOUBLE / count(*))::BIGINT AS m FROM
+        (SELECT part, entry, unnest(x) AS c, generate_subscripts(x, 1) AS pos FROM near{k}) GROUP BY part, entry, pos)
+    GROUP BY part, entry),
+book{k + 1} AS (SELECT b.part, b.entry, coalesce(m.e, b.e) AS e FROM book{k} b
+    LEFT JOIN mean{k} m ON m.part = b.part AND m.entry = b.entry)"""
+
+
 SQL: dict[str, str] = {
     "op7_embedding_near_dedup": """
 WITH RECURSIVE usable AS (
@@ -108,4 +162,46 @@ lowest AS (SELECT id, min(other) AS other FROM reach GROUP BY id)
 SELECT doc_id, len(s)::BIGINT AS n_shingles, least(doc_id, coalesce(other, doc_id)) AS component_id,
        least(doc_id, coalesce(other, doc_id)) = doc_id AS kept
 FROM sets LEFT JOIN lowest ON doc_id = id""",
+    "op13_hard_negatives": f"""
+WITH usable AS (SELECT vec_id, {_WHOLE} AS v,
+    CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label FROM embeddings
+    WHERE label IS NOT NULL AND {_USABLE}),
+scored AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+    list_sum(list_transform(list_zip(a.v, b.v), lambda x: x[1] * x[2]))::BIGINT AS score
+    FROM usable a JOIN usable b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, positive_id,
+    row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id)::INTEGER AS rank,
+    id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT same
+    AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5""",
+    "op11_vector_codes": f"""
+WITH kept AS (SELECT vec_id, label, {_WHOLE} AS v FROM embeddings WHERE {_USABLE}),
+cut AS (SELECT vec_id, label, part, v[part * len(v) // 16 + 1 : (part + 1) * len(v) // 16] AS x
+    FROM kept, (SELECT unnest(range(16)) AS part)),
+book0 AS (SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, x AS e FROM cut
+    QUALIFY entry < 64),
+{_round(0)}, {_round(1)}, {_assign(2)},
+wrong AS (SELECT vec_id, label, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error
+    FROM near2 GROUP BY vec_id, label)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+    (SELECT sha256(string_agg(list_aggregate(e, 'string_agg', ','), ',' ORDER BY part, entry)) FROM book2)
+        AS codebooks_sha256
+FROM wrong""",
+    "op12_suffix_dedup": """
+WITH bytes AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS t, strlen(coalesce(text, '')) AS n FROM documents),
+starts AS (SELECT doc_id, unnest(range(n - 49)) AS pos, t FROM bytes),
+strings AS (SELECT doc_id, pos, substr(t, 2 * pos + 1, 100) AS s FROM starts),
+lowest AS (SELECT s, min(doc_id) AS first FROM strings GROUP BY s),
+gone AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + 50)) AS pos FROM strings JOIN lowest USING (s) WHERE first < doc_id),
+runs AS (SELECT doc_id, count(*) AS n FROM gone g ANTI JOIN gone b ON b.doc_id = g.doc_id AND b.pos = g.pos - 1 GROUP BY ALL),
+each AS (SELECT doc_id, t, unnest(range(n)) AS pos FROM bytes),
+kept AS (SELECT e.doc_id, string_agg(substr(t, 2 * e.pos + 1, 2), '' ORDER BY e.pos) AS t FROM each e
+    ANTI JOIN gone g ON g.doc_id = e.doc_id AND g.pos = e.pos GROUP BY e.doc_id),
+lost AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT b.doc_id, b.n AS n_bytes, coalesce(lost.n, 0) AS n_removed, coalesce(runs.n, 0) AS n_spans,
+    sha256(unhex(coalesce(k.t, ''))) AS kept_sha256
+FROM bytes b LEFT JOIN kept k USING (doc_id) LEFT JOIN lost USING (doc_id) LEFT JOIN runs USING (doc_id)""",
 }
