@@ -28,7 +28,7 @@ its bytes.
 Rows whose text is null count as empty; texts under ``LENGTH`` bytes lose nothing. Rows with a null
 ``doc_id`` have no order: they lose nothing and take nothing away. Rows that share a ``doc_id`` are one
 document as far as order goes: they take nothing from each other. Very long texts are one slice, worked
-through in pieces of a megabyte. Other columns are not read. An empty table gives no rows.
+through in pieces of 256 KB. Other columns are not read. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -49,11 +49,11 @@ from tradewind.llm.texts import mixed, ranges, slices, utf8
 from tradewind.session import shared_dir
 
 LENGTH, SEED = 50, 16
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 CROWD, CROWDED = 8, 4096
 ALONE, HELD, SHARED, CROWDS = range(4)
 _PLACE = np.uint64(20)  # bits of a place in a piece; the other 44 are those of a seed
-_PIECE = (1 << 20) - 256
+_PIECE = (1 << 18) - 256
 _BYTES_A_PART, _BYTES_A_STRING_PART = 16 << 20, 8 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _UNBASE = np.uint64(pow(int(_BASE), -1, 1 << 64))
