@@ -117,7 +117,8 @@ def stretches(text: np.ndarray, lengths: np.ndarray, length: int = LENGTH, seed:
         stop = np.minimum(np.append(run[1:], strings), high[doc])
         count = (stop - run).astype(np.int64)
         digest = mixed((sums[stop + length - 1] - sums[run]) * unpowers[run] + count.astype(np.uint64))
-        found.append((least[run] >> _PLACE, digest, run + at, count, some[doc]))
+        # The smallest of many hashes are all small; mixed again, they spread over the seed space.
+        found.append((mixed(least[run] >> _PLACE) >> _PLACE, digest, run + at, count, some[doc]))
     if not found:
         none = np.empty(0, np.int64)
         return none.astype(np.uint64), none.astype(np.uint64), none, none, none
@@ -403,10 +404,10 @@ def removed(docs: DataFrame) -> DataFrame:
         total = table.agg(F.sum("bytes")).first()[0] or 0
         parts, string_parts = (1 + total // size for size in (_BYTES_A_PART, _BYTES_A_STRING_PART))
         lists = table.groupBy("slice").applyInArrow(_listed(parts), _LIST)
-        said = stored(lists.groupBy("part").applyInArrow(_answered, _ANSWER), "suffix_stretches")
+        said = stored(lists.repartition(parts, "part").groupBy("part").applyInArrow(_answered, _ANSWER), "suffix_stretches")
         asked = table.groupBy("slice").cogroup(said.groupBy("slice"))
         spelt = asked.applyInArrow(_spelt(string_parts), _STRINGS)
-        marks = stored(spelt.groupBy("part").applyInArrow(_marked, _ANSWER), "suffix_marks")
+        marks = stored(spelt.repartition(string_parts, "part").groupBy("part").applyInArrow(_marked, _ANSWER), "suffix_marks")
         answers = said.unionByName(marks).groupBy("slice")
         schema = "doc_id long, n_bytes long, kept binary, spans array<struct<start: long, end: long>>"
         left = stored(table.groupBy("slice").cogroup(answers).applyInArrow(_removed(string_parts), schema), "suffix_kept")
