@@ -9,12 +9,12 @@ equal meets under one seed. Steps:
 1. documents go into slices of some megabytes, compressed, in a table bucketed by slice: every later pass
    reads it in place, only what is said about a slice travels to it;
 2. a slice lists its stretches: the runs of strings with one seed, as (seed, digest of the whole stretch)
-   with the smallest document of the slice. These sorted lists go to parts of the seed space. There they
-   are the batches of a family of levels (``suffix_levels``): scanned against the levels, merged
+   with the smallest document of the slice. These lists go to parts of the seed space. There they
+   make the batches of a family of levels (``suffix_levels``): scanned against the levels, merged
    geometrically. An answer per stretch goes back: held whole by a smaller document, alone with its seed,
    or one of several with this seed;
 3. only the last kind is looked at byte by byte, once per distinct stretch: all its suffixes, cut to
-   ``LENGTH`` bytes, make the slice's suffix array, which goes through a family of levels again and comes
+   ``LENGTH`` bytes, go through a family of levels again, batch by batch a sorted suffix array, and come
    back with a mark per string that a smaller document has;
 4. the slice removes what its marks cover.
 
@@ -240,16 +240,20 @@ def _answered(table: pa.Table) -> pa.Table:
         seeds, docs = _undeltas(row["seeds"], len(digests)), _undocs(row["docs"], len(digests))
         pairs = np.column_stack([seeds, digests]).astype(">u8")
         keys = fixed(pairs.view(np.uint8).reshape(len(pairs), 16))
-        batches.append((row["slice"], seeds, keys, docs))
-        levels.add(keys, docs)
+        batches.append((row["slice"], seeds, docs))
+        levels.put(keys, docs)
     part, rows = table.column("part")[0].as_py(), []
-    known, lowest = levels.whole() if levels.levels else (np.empty(0, "S16"), np.empty(0, np.int64))
+    known, lowest = np.empty(0, "S16"), np.empty(0, np.int64)
+    if any(len(docs) for _, _, docs in batches):
+        known, lowest = levels.whole()[0], levels.lowest()
     names, stretches_of = np.unique(known.view(">u8").reshape(-1, 2)[:, 0].astype(np.uint64), return_counts=True)
     crowded = np.isin(names, np.concatenate(crowds)) | (stretches_of > CROWDED)
     said = np.where(crowded, CROWDS, np.where(stretches_of > 1, SHARED, ALONE)).astype(np.uint8)
-    for number, seeds, keys, docs in batches:
+    at = 0
+    for number, seeds, docs in batches:
         marks = said[np.searchsorted(names, seeds)] if len(seeds) else np.empty(0, np.uint8)
-        held = docs > lowest[np.searchsorted(known, keys)] if len(seeds) else np.empty(0, bool)
+        held = docs > lowest[at : at + len(docs)]
+        at += len(docs)
         marks = np.where(held & (marks != CROWDS), np.uint8(HELD), marks)
         rows.append({"slice": number, "kind": 0, "part": part, "marks": marks.tobytes()})
     return pa.Table.from_pylist(rows, _arrow(_ANSWER))
@@ -311,13 +315,13 @@ def _marked(table: pa.Table) -> pa.Table:
         windows = np.lib.stride_tricks.sliding_window_view(text, LENGTH)
         keys = fixed(windows[ranges(start, count)])
         docs = np.repeat(_undocs(row["docs"], len(lengths)), count)
-        suffixes, lowest, place = grouped(keys, docs)
-        levels.add(suffixes, lowest)
-        batches.append((row["slice"], row["crowded"], suffixes, place, docs))
+        levels.put(keys, docs)
+        batches.append((row["slice"], row["crowded"], docs))
     part, rows = table.column("part")[0].as_py(), []
-    known, lowest = levels.whole()
-    for number, crowded, suffixes, place, docs in batches:
-        marks = docs > lowest[np.searchsorted(known, suffixes)][place]
+    lowest, at = levels.lowest(), 0
+    for number, crowded, docs in batches:
+        marks = docs > lowest[at : at + len(docs)]
+        at += len(docs)
         rows.append({"slice": number, "kind": 2 if crowded else 1, "part": part, "marks": np.packbits(marks).tobytes()})
     return pa.Table.from_pylist(rows, _arrow(_ANSWER))
 

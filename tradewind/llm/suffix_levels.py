@@ -26,16 +26,34 @@ def grouped(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 class Levels:
     """A logarithmic family of suffix arrays.
 
-    A batch comes in sorted. It is scanned against every level: strings that a level has only lower the
+    What comes in is gathered to batches of ``batch`` strings and sorted. A batch is scanned against every level: strings that a level has only lower the
     document there, the others make a level of their own. While the last level is no smaller than half
     the one before, the two are merged, so there are logarithmically many and a string is moved
     logarithmically often. A string is in one level only.
     """
 
-    def __init__(self) -> None:
+    def __init__(self, batch: int = 1 << 16) -> None:
         self.levels: list[tuple[np.ndarray, np.ndarray]] = []
+        self.batch, self.waiting, self.held = batch, [], 0
+        self.batches: list[tuple[np.ndarray, np.ndarray]] = []  # distinct strings, and which of them each one put was
+
+    def put(self, keys: np.ndarray, docs: np.ndarray) -> None:
+        """Strings in any order, repeats too."""
+        self.waiting.append((keys, docs))
+        self.held += len(keys)
+        if self.held >= self.batch:
+            self._empty()
+
+    def _empty(self) -> None:
+        if self.waiting:
+            keys, docs = (np.concatenate(x) for x in zip(*self.waiting))
+            distinct, lowest, place = grouped(keys, docs)
+            self.add(distinct, lowest)
+            self.batches.append((distinct, place))
+        self.waiting, self.held = [], 0
 
     def add(self, keys: np.ndarray, docs: np.ndarray) -> None:
+        """One batch: sorted, distinct strings."""
         for known, lowest in self.levels:
             at = np.searchsorted(known, keys)
             at[at == len(known)] = 0
@@ -54,7 +72,13 @@ class Levels:
         self.levels.append((keys[order], docs[order]))
 
     def whole(self) -> tuple[np.ndarray, np.ndarray]:
-        """All strings and their smallest documents, once everything is in."""
+        """All strings and their smallest documents, once everything is in (one string at least)."""
+        self._empty()
         while len(self.levels) > 1:
             self._merge()
         return self.levels[0]
+
+    def lowest(self) -> np.ndarray:
+        """The smallest document of each string put, in the order of putting."""
+        known, docs = self.whole()
+        return np.concatenate([docs[np.searchsorted(known, keys)][place] for keys, place in self.batches])
