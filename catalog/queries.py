@@ -379,7 +379,9 @@ def visitor_stats_rows(t: SampleTables) -> DataFrame:
 
 @query
 def product_click_display(t: SampleTables) -> DataFrame:
-    rows = product_stats.activity(t.page_log())
+    """Pages that show nothing have no list at all."""
+    pages = t.page_log().withColumn("displays", F.when(F.size("displays") > 0, F.col("displays")))
+    rows = product_stats.activity(pages)
     return rows.select("sku_id", F.unix_millis("event_time").alias("ts"), "kind", "click_ct", "display_ct")
 
 

@@ -74,8 +74,16 @@ def stream_uv_daily(t: SampleTables) -> DataFrame:
 
 @q.query
 def stream_jump_detail(t: SampleTables) -> DataFrame:
-    found = stateful.bounces_stream(_streams(t).page_log(), within_ms=q.JUMP_MS)
-    return _replay(t.spark, found.select("mid", "seq", "ts", "page_id", "kind"), "jump_detail")
+    """Bounces over three runs of the job, each a day range of the pages, with state carried over."""
+    path, columns = _new_dir(t.spark, "jump_detail"), ["mid", "seq", "ts", "page_id", "kind"]
+
+    def run(s: dict[str, DataFrame]) -> None:
+        jobs.jumps(s["pages"], path, within_ms=q.JUMP_MS, once=True).awaitTermination()
+
+    _in_slices(t, {"pages": (t.page_log(), "ts div 1000")}, f"{path}/in", run)
+    text = t.spark.read.text(f"{path}/rows/batch=*")
+    schema = "mid STRING, seq BIGINT, ts BIGINT, page_id STRING, kind STRING"
+    return text.select(F.from_json("value", schema).alias("row")).select(*[f"row.{c}" for c in columns])
 
 
 @q.query

@@ -7,12 +7,14 @@ comes out as it stands, so no text is lost.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _CJK = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsHangul}ー"
-_CJK_RUN = f"[{_CJK}]+"
 _WORD_RUN = rf"[\p{{L}}\p{{M}}\p{{N}}&&[^{_CJK}]]+"
+_EITHER_RUN = rf"{_WORD_RUN}|[{_CJK}]+"
+_ASCII_BREAK = r"[\x00-/:-@\[-`{-\x7F]+"
+PIECE = 256
 
 
 def spaced_words(text: Column) -> Column:
@@ -20,37 +22,93 @@ def spaced_words(text: Column) -> Column:
     return F.transform(F.regexp_extract_all(text, F.lit(_WORD_RUN), 0), F.lower)
 
 
-def cjk_runs(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(_CJK_RUN), 0)
+def _ascii_only(text: Column) -> Column:
+    return F.octet_length(text) == F.length(text)
 
 
-def _unknown(run: Column, spans: Column) -> Column:
-    """The stretches of a run that no span (at, word) covers."""
+def _is_run(token: Column) -> Column:
+    return ~_ascii_only(token) & token.rlike(f"^[{_CJK}]")
 
-    def left_over(at: Column) -> Column:
-        covered = F.exists(spans, lambda s: (s["at"] <= at) & (at < s["at"] + F.length(s["word"])))
-        return F.when(covered, F.lit(" ")).otherwise(F.substring(run, at, 1))
 
-    rest = F.array_join(F.transform(F.sequence(F.lit(1), F.length(run)), left_over), "")
-    return F.filter(F.split(rest, " +"), lambda piece: piece != "")
+def _tokens(df: DataFrame, text: str) -> DataFrame:
+    """The other columns of ``df`` and ``word``: word runs and CJK runs, in their own case.
+
+    Texts are cut at ASCII characters that belong to no word, which is cheap; only pieces with other
+    characters are searched by script.
+    """
+    rest = [name for name in df.columns if name != text]
+    pieces = df.select(*rest, F.explode(F.split(F.col(text), _ASCII_BREAK)).alias("__piece")).filter("__piece <> ''")
+    piece = F.col("__piece")
+    found = F.when(_ascii_only(piece), F.array(piece)).otherwise(F.regexp_extract_all(piece, F.lit(_EITHER_RUN), 0))
+    return pieces.select(*rest, F.explode(found).alias("word"))
+
+
+def _key(run: str = "run") -> Column:
+    return F.md5(run)
+
+
+def _places(runs: DataFrame, longest: int) -> DataFrame:
+    """``key, at, rest``: every place of a run with what follows it, as far as a word can reach.
+
+    Runs are cut into pieces of equal length first, each with the beginning of the next one, so that
+    looking at a place costs the same wherever in a run it is.
+    """
+    size = max(PIECE, longest)
+    pieces = runs.select(_key().alias("key"), F.regexp_extract_all("run", F.lit(f"(?s).{{1,{size}}}"), 0).alias("pieces"))
+    reaching = F.transform(
+        "pieces",
+        lambda own, i: F.struct(
+            F.length(own).alias("own"),
+            F.concat(own, F.substring(F.coalesce(F.get("pieces", i + 1), F.lit("")), 1, longest)).alias("text"),
+        ),
+    )
+    each = pieces.select("key", F.posexplode(reaching).alias("number", "piece"))
+    places = each.select("key", "number", "piece.text", F.explode(F.sequence(F.lit(1), F.col("piece.own"))).alias("place"))
+    at = F.col("number").cast("long") * size + F.col("place")
+    return places.select("key", at.alias("at"), F.expr(f"substring(text, place, {longest})").alias("rest"))
+
+
+def _left_over(runs: DataFrame, spans: DataFrame, size: int = PIECE) -> DataFrame:
+    """``key, word``: the stretches of a run that no span (key, at, word) covers.
+
+    Spans are read in the order of their places with the furthest end so far; where the next one starts
+    beyond it there is a gap. The text of a gap is put together from the pieces it lies in.
+    """
+    ends = spans.select("key", "at", (F.col("at") + F.length("word")).alias("until"))
+    last = runs.select(_key().alias("key"), (F.length("run") + 1).cast("long").alias("at"))
+    ends = ends.unionByName(last.withColumn("until", F.col("at")))
+    before = Window.partitionBy("key").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    gaps = ends.withColumn("start", F.coalesce(F.max("until").over(before), F.lit(1).cast("long")))
+    gaps = gaps.filter("start < at").select("key", "start", F.col("at").alias("stop"))
+    number = lambda c: F.expr(f"({c} - 1) div {size}")
+    parts = gaps.select("*", F.explode(F.sequence(number("start"), number("stop - 1"))).alias("number"))
+    pieces = runs.select(
+        _key().alias("key"), F.posexplode(F.regexp_extract_all("run", F.lit(f"(?s).{{1,{size}}}"), 0)).alias("number", "text")
+    ).withColumn("number", F.col("number").cast("long"))
+    first = F.greatest(F.col("start") - F.col("number") * size, F.lit(1))
+    length = F.least(F.col("stop") - F.col("number") * size, F.lit(size + 1)) - first
+    cut = parts.join(pieces, ["key", "number"]).select(
+        "key", "start", "number", F.substring("text", first.cast("int"), length.cast("int")).alias("part")
+    )
+    whole = cut.groupBy("key", "start").agg(F.sort_array(F.collect_list(F.struct("number", "part"))).alias("parts"))
+    return whole.select("key", F.array_join("parts.part", "").alias("word"))
 
 
 def words_of_runs(runs: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """``run, words`` of distinct runs: every known word at every place, then what none of them covers.
+    """``key, word`` of distinct runs (``run``; the key is its digest): every known word at every place,
+    then what none of them covers.
 
-    Each place of a run is looked up by its first one and two characters, which is where a word of the
-    dictionary starts, and compared over the word's own length, so words of any length are found.
+    A place is looked up by its first one and two characters, which is where a word of the dictionary
+    starts, and compared over the word's own length, so words of any length are found. Work is linear in
+    the length of a run. The length of the longest word is read from the dictionary at once.
     """
-    heads = F.array_distinct(F.array(F.expr("substring(run, at, 1)"), F.expr("substring(run, at, 2)")))
-    places = runs.select("run", F.explode(F.sequence(F.lit(1), F.length("run"))).alias("at"))
-    places = places.select("run", "at", F.explode(heads).alias("head"))
-    known = dictionary.select("word").distinct().select("word", F.substring("word", 1, 2).alias("head"))
-    found = places.join(known, "head").filter("word <> '' AND substring(run, at, length(word)) = word")
-    spans = found.groupBy("run").agg(F.collect_list(F.struct("at", "word")).alias("spans"))
-    none = F.array().cast("array<struct<at:int,word:string>>")
-    whole = runs.join(spans, "run", "left").select("run", F.coalesce("spans", none).alias("spans"))
-    named = F.transform("spans", lambda s: s["word"])
-    return whole.select("run", F.concat(named, _unknown(F.col("run"), F.col("spans"))).alias("words"))
+    known = dictionary.select("word").filter("word <> ''").distinct()
+    longest = known.agg(F.max(F.length("word"))).first()[0] or 1
+    known = known.select("word", F.substring("word", 1, 2).alias("head"))
+    heads = F.array_distinct(F.array(F.substring("rest", 1, 1), F.substring("rest", 1, 2)))
+    places = _places(runs, longest).select("key", "at", "rest", F.explode(heads).alias("head"))
+    spans = places.join(known, "head").filter(F.startswith("rest", "word")).select("key", "at", "word")
+    return spans.select("key", "word").unionByName(_left_over(runs, spans))
 
 
 def split_words(df: DataFrame, text: str, dictionary: DataFrame | None = None) -> DataFrame:
@@ -58,13 +116,18 @@ def split_words(df: DataFrame, text: str, dictionary: DataFrame | None = None) -
 
     With a ``dictionary`` (column ``word``) all its words in a CJK run come out, overlapping ones
     too, and the stretches it does not know; without one the whole run does. Each distinct run is
-    looked up once. A stream has no distinct runs to look up: there, split each batch.
+    looked up once. A stream has no distinct runs to look up: there, split each batch
+    (``jobs.keyword_words``).
     """
-    rest = [name for name in df.columns if name != text]
-    spaced = df.select(*rest, F.explode(spaced_words(F.col(text))).alias("word"))
-    # Rows without CJK text (the common case) leave before anything else is built.
-    runs = df.filter(F.col(text).rlike(_CJK_RUN)).select(*rest, F.explode(cjk_runs(F.col(text))).alias("run"))
     if dictionary is None:
-        return spaced.unionByName(runs.withColumnRenamed("run", "word"))
+        return _tokens(df, text).withColumn("word", F.lower("word"))
+    rest = [name for name in df.columns if name != text]
+    spaced = _tokens(df, text).filter(~_is_run(F.col("word"))).withColumn("word", F.lower("word"))
+    # Texts of ASCII alone (the common case) leave before anything else is built.
+    runs = _tokens(df.filter(~_ascii_only(F.col(text))), text).filter(_is_run(F.col("word")))
+    runs = runs.withColumnRenamed("word", "run")
     looked_up = words_of_runs(runs.select("run").distinct(), dictionary)
-    return spaced.unionByName(runs.join(looked_up, "run").select(*rest, F.explode("words").alias("word")))
+    named = runs.select(*rest, _key().alias("__key")).join(
+        looked_up.withColumnRenamed("key", "__key"), "__key"
+    )
+    return spaced.unionByName(named.select(*rest, "word"))

@@ -1,8 +1,8 @@
 """First-event and next-event logic per visitor, batch form.
 
 None of these may hand a whole visitor to one task: a robot or an empty device id can own a third
-of the log. First events are reduced before the shuffle; next events are looked up inside
-(visitor, time slice) groups.
+of the log. First events are reduced before the shuffle; next events are looked up inside short
+(visitor, time cell) groups, which know only the first event of the cell after them.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tradewind.functions.times import day_text, is_blank
 
-SLICES_PER_WINDOW = 6
+CELLS = 16
 
 
 def is_entry() -> Column:
@@ -77,26 +77,45 @@ def slice_of(ts: str, slice_ms: int) -> Column:
     return F.call_function("div", start, F.lit(slice_ms))
 
 
-def time_slices(
-    df: DataFrame, within_ms: int, slice_ms: int | None = None, ts: str = "ts"
+def without_time(df: DataFrame, ts: str = "ts") -> DataFrame:
+    """Events that have no place in a visitor's sequence, for a reject output; no bounce comes of them."""
+    return df.filter(F.col(ts).isNull())
+
+
+def cells(
+    pages: DataFrame, cell_ms: int, visitor: str = "mid", ts: str = "ts", tie: str = "seq", entry: Column | None = None
 ) -> DataFrame:
-    """Add ``slice``: the slice that owns the row, plus a copy for the slice just before it.
+    """The rows as events of (visitor, cell) groups; only entry pages keep their content.
 
-    Rows less than ``within_ms`` past the start of a slice are also what the previous slice has to
-    see to decide about its last rows, so (key, slice) groups become independent of each other.
+    A missing visitor is a key like any other, so the key is text that is never null.
     """
-    slice_ms = slice_ms or SLICES_PER_WINDOW * within_ms
-    if slice_ms < within_ms:
-        raise ValueError("a slice must be at least as long as the window it decides about")
-    own = slice_of(ts, slice_ms)
-    head = F.pmod(F.col(ts), F.lit(slice_ms)) < within_ms
-    slices = F.when(head, F.array(own, own - 1)).otherwise(F.array(own))
-    return df.select("*", F.explode(slices).alias("slice"))
+    events = pages.filter(F.col(ts).isNotNull()).withColumn("__entry", is_entry() if entry is None else entry)
+    return events.select(
+        F.coalesce(F.concat(F.lit("="), F.col(visitor).cast("string")), F.lit("")).alias("__visitor"),
+        slice_of(ts, cell_ms).alias("__cell"),
+        F.col(ts).alias("__ts"),
+        F.col(tie).alias("__tie"),
+        "__entry",
+        *[F.when(F.col("__entry"), F.col(c)).alias(c) for c in pages.columns],
+    )
 
 
-def without_time(df: DataFrame, ts: str = "ts") -> DataFrame:
-    """Events that have no place in a visitor's sequence, for a reject output; no bounce comes of them."""
-    return df.filter(F.col(ts).isNull())
+def following_events(events: DataFrame, per_block: int = CELLS) -> DataFrame:
+    """``__visitor, __cell, __after``: the first event (ts, entry) of the visitor's next cell that has any.
+
+    A cell is summed up by its first event. A block of ``per_block`` cells sees its own firsts and those
+    of the block after it, of which there are twice ``per_block`` at most, however many events the cells
+    hold. If the following block is empty too, there is no event near enough.
+    """
+    at = F.struct("__ts", "__tie")
+    firsts = events.groupBy("__visitor", "__cell").agg(
+        F.min("__ts").alias("ts"), F.min_by("__entry", at).alias("entry")
+    )
+    block = slice_of("__cell", per_block)
+    seen = firsts.select("*", F.explode(F.array(block, block - 1)).alias("block"))
+    w = Window.partitionBy("__visitor", "block").orderBy("__cell")
+    near = seen.withColumn("__after", F.lead(F.struct("ts", "entry")).over(w))
+    return near.filter(block == F.col("block")).select("__visitor", "__cell", "__after")
 
 
 def bounces(
@@ -112,17 +131,18 @@ def bounces(
 
     An entry is dropped only if the visitor's very next event is a non-entry less than ``within_ms``
     later. ``match``: the next event is another entry within that time. ``timeout``: nothing came
-    within it.
+    within it. ``slice_ms`` (``within_ms`` unless given) is the length of a block of cells.
     """
-    slice_ms = slice_ms or SLICES_PER_WINDOW * within_ms
-    marked = pages.withColumn("__entry", is_entry() if entry is None else entry)
-    sliced = time_slices(marked, within_ms, slice_ms, ts)
-    w = Window.partitionBy(visitor, "slice").orderBy(ts, tie)
-    soon = F.coalesce(F.lead(ts).over(w) - F.col(ts) < within_ms, F.lit(False))
-    decided = sliced.select(
-        "*", soon.alias("__soon"), F.lead("__entry").over(w).alias("__next_entry")
-    )
-    owned = F.col("slice") == slice_of(ts, slice_ms)
-    kept = decided.filter(owned & F.col("__entry") & ~(F.col("__soon") & ~F.col("__next_entry")))
-    kind = F.when(F.col("__soon"), "match").otherwise("timeout")
-    return kept.select(*pages.columns, kind.alias("kind"))
+    slice_ms = slice_ms or within_ms
+    if slice_ms < within_ms:
+        raise ValueError("a slice must be at least as long as the window it decides about")
+    cell_ms = max(1, -(-slice_ms // CELLS))
+    events = cells(pages, cell_ms, visitor, ts, tie, entry)
+    ahead = following_events(events.select("__visitor", "__cell", "__ts", "__tie", "__entry"))
+    joined = events.join(ahead, ["__visitor", "__cell"], "left")
+    w = Window.partitionBy("__visitor", "__cell").orderBy("__ts", "__tie")
+    here = F.lead(F.struct(F.col("__ts").alias("ts"), F.col("__entry").alias("entry"))).over(w)
+    decided = joined.withColumn("__next", F.coalesce(here, "__after")).filter("__entry")
+    soon = F.coalesce(F.col("__next.ts") - F.col("__ts") < within_ms, F.lit(False))
+    kept = decided.filter(~(soon & ~F.coalesce("__next.entry", F.lit(True))))
+    return kept.select(*pages.columns, F.when(soon, "match").otherwise("timeout").alias("kind"))

@@ -59,7 +59,8 @@ def page_activity(pages: DataFrame) -> DataFrame:
         "ts",
         "explode(concat("
         "if(page_id = 'good_detail' AND item_type = 'sku_id', array(struct('click' AS kind, item AS sku)), array()), "
-        "transform(filter(displays, d -> d.item_type = 'sku_id'), d -> struct('display' AS kind, d.item AS sku)))) AS act",
+        "coalesce(transform(filter(displays, d -> d.item_type = 'sku_id'), d -> struct('display' AS kind, d.item AS sku)), "
+        "array()))) AS act",
     )
     return _rows(
         seen, "act.kind", "timestamp_millis(ts)", "try_cast(act.sku AS BIGINT)",

@@ -1,6 +1,6 @@
-"""Keyed state for the two operators that built-in streaming operators cannot express.
+"""Streaming forms of the visitor operators: keyed state for the new-visitor repair, windows for bounces.
 
-Both need the RocksDB state store. Times travel as epoch milliseconds: pandas timestamps would be
+Keyed state needs the RocksDB state store. Times travel as epoch milliseconds: pandas timestamps would be
 shifted by the session time zone.
 """
 
@@ -8,15 +8,15 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tradewind.functions.times import at_ms
-from tradewind.operators.visits import SLICES_PER_WINDOW, is_entry, time_slices
+from tradewind.operators.visits import is_entry
 
+SLICES_PER_WINDOW = 6
 _HEAD = "mid STRING, seq BIGINT, ts BIGINT, is_new STRING, value STRING"
 _HEAD_COLUMNS = ["mid", "seq", "ts", "is_new", "value"]
 
@@ -65,49 +65,6 @@ def repair_new_flag_stream(heads: DataFrame, ttl_ms: int | None = None) -> DataF
     return others.unionByName(repaired)
 
 
-class BounceDetector(StatefulProcessor):
-    """Collects one (visitor, time slice) group and decides it once no earlier event can come."""
-
-    def __init__(self, within_ms: int, slice_ms: int):
-        self.within_ms = within_ms
-        self.slice_ms = slice_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.events = handle.getListState("events", "ts BIGINT, seq BIGINT, entry BOOLEAN, payload STRING")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        due = (int(key[1]) + 1) * self.slice_ms + self.within_ms
-        if due > timerValues.getCurrentWatermarkInMs():
-            for chunk in rows:
-                self.events.appendList(
-                    [
-                        (int(ts), int(seq), bool(entry), payload)
-                        for ts, seq, entry, payload in zip(
-                            chunk["ts"], chunk["seq"], chunk["entry"], chunk["payload"]
-                        )
-                    ]
-                )
-            self.handle.registerTimer(due)
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        group = pd.DataFrame(self.events.get(), columns=["ts", "seq", "entry", "payload"])
-        self.events.clear()
-        group = group.sort_values(["ts", "seq"], kind="stable")
-        ts, entry = group["ts"].to_numpy("int64"), group["entry"].to_numpy(bool)
-        soon = np.append(np.diff(ts) < self.within_ms, False)
-        next_entry = np.append(entry[1:], False)
-        own = ts // self.slice_ms == int(key[1])
-        keep = own & entry & ~(soon & ~next_entry)
-        if keep.any():
-            kind = np.where(soon[keep], "match", "timeout")
-            yield pd.DataFrame({"payload": group["payload"][keep].to_numpy(), "kind": kind})
-
-    def close(self) -> None:
-        pass
-
-
 def bounces_stream(
     pages: DataFrame,
     within_ms: int = 10_000,
@@ -116,29 +73,27 @@ def bounces_stream(
 ) -> DataFrame:
     """Streaming bounce detection, same rule and columns as the batch form.
 
-    Rows may come in any order within the watermark delay. A group is one time slice of a visitor
-    (plus the look-ahead past its end), so neither the state nor the work of a hot visitor piles up
-    under one key; only entry pages carry their content into the state.
+    Rows may come in any order within the watermark delay. A visitor's events are gathered per time
+    slice, as a sliding window that reaches ``within_ms`` into the next slice, and decided all at once
+    when the watermark has passed its end: an ordinary windowed aggregate, without a Python process.
+    A slice holds (ts, seq, entry) of its events; only entry pages bring their content along.
     """
     slice_ms = slice_ms or SLICES_PER_WINDOW * within_ms
-    timed = pages.withColumn("event_time", at_ms("ts")).withWatermark("event_time", delay)
-    rows = timed.select(
-        "event_time",
-        "mid",
-        "seq",
-        "ts",
-        is_entry().alias("entry"),
-        F.when(is_entry(), F.to_json(F.struct(*pages.columns))).alias("payload"),
-    )
-    decided = (
-        time_slices(rows, within_ms, slice_ms)
-        .groupBy("mid", "slice")
-        .transformWithStateInPandas(
-            BounceDetector(within_ms, slice_ms),
-            outputStructType="payload STRING, kind STRING",
-            outputMode="Append",
-            timeMode="EventTime",
-        )
-    )
-    page = F.from_json("payload", pages.schema).alias("page")
-    return decided.select(page, "kind").select("page.*", "kind")
+    timed = pages.filter("ts IS NOT NULL").withColumn("event_time", at_ms("ts")).withWatermark("event_time", delay)
+    entry = is_entry()
+    content = F.when(entry, F.to_json(F.struct(*pages.columns)))
+    event = F.struct("ts", "seq", entry.alias("entry"), content.alias("content"))
+    slices = F.window("event_time", f"{slice_ms + within_ms} milliseconds", f"{slice_ms} milliseconds")
+    groups = timed.groupBy("mid", slices.alias("slice")).agg(F.sort_array(F.collect_list(event)).alias("events"))
+
+    def with_next(e: Column, i: Column) -> Column:
+        following = F.get("events", i + 1)
+        soon = F.coalesce(following["ts"] - e["ts"] < within_ms, F.lit(False))
+        left = soon & ~F.coalesce(following["entry"], F.lit(True))
+        own = e["ts"] < F.unix_millis("slice.start") + slice_ms
+        kind = F.when(soon, "match").otherwise("timeout")
+        return F.struct(e["content"].alias("content"), kind.alias("kind"), (own & e["entry"] & ~left).alias("kept"))
+
+    found = groups.select(F.explode(F.filter(F.transform("events", with_next), lambda d: d["kept"])).alias("found"))
+    page = F.from_json("found.content", pages.schema).alias("page")
+    return found.select(page, "found.kind").select("page.*", "kind")
