@@ -192,6 +192,17 @@ _STREAMS = {
     "stream_keyword_stats": """
         SELECT * FROM keyword_stats
         WHERE (ts // 10000 + 1) * 10000 <= (SELECT max(s) * 1000 - 1000 FROM words WHERE word <> '')""",
+    "stream_keyword_cjk": f"""
+        SELECT word AS keyword, count(*) AS ct, source, {stt('s * 1000')}, {edt('s * 1000')}, min(s) * 1000 AS ts
+        FROM (SELECT word, CASE lang WHEN 'en' THEN 'SEARCH' WHEN 'fr' THEN 'ORDER' WHEN 'de' THEN 'CART'
+                WHEN 'es' THEN 'CLICK' END AS source, 1704067200 + doc_id % 2592000 AS s
+              FROM cjkwords JOIN documents USING (doc_id) WHERE word <> '')
+        WHERE (s // 10 + 1) * 10000 <= (SELECT max(1704067200 + doc_id % 2592000) * 1000 - 1000 FROM documents
+            WHERE text <> '')
+        GROUP BY ALL""",
+    "stream_late_rows": """
+        SELECT seq, mid, page_id, ts,
+            coalesce(ts < (SELECT max(d.ts) - 1000 FROM arrived d WHERE d.run < a.run), false) AS late FROM arrived a""",
     "stream_visitor_stats": """
         SELECT * FROM visitor_stats
         WHERE (ts // 10000 + 1) * 10000 <= (SELECT max(ts) - 11000 FROM visitor_rows)""",

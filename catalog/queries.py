@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.functions.names import camel_columns
@@ -118,6 +118,15 @@ def keywords(t: SampleTables, day: str | None = None) -> DataFrame:
     return keyword_stats.keyword_stats(t.search_pages(), source=F.col("source"), day=day)
 
 
+def ideographs(text: str) -> Column:
+    return F.translate(text, LETTERS, IDEOGRAPHS)
+
+
+def cjk_dictionary(t: SampleTables) -> DataFrame:
+    cut = t.table("part").select(F.expr("substring(p_name, 1, CAST(1 + p_partkey % 7 AS INT))").alias("word"))
+    return cut.filter("word NOT LIKE '% %'").select(ideographs("word").alias("word"))
+
+
 def routed(t: SampleTables) -> DataFrame:
     return routing.route(cdc.normalise(t.cdc_records()), t.routing_rules())
 
@@ -412,12 +421,8 @@ def keyword_tokens(t: SampleTables) -> DataFrame:
 @query
 def keyword_cjk(t: SampleTables) -> DataFrame:
     """Words of the documents written in ideographs, by words of one to seven characters of the part names."""
-    dictionary = t.table("part").select(
-        F.expr("substring(p_name, 1, CAST(1 + p_partkey % 7 AS INT))").alias("word")
-    ).filter("word NOT LIKE '% %'")
-    ideographs = F.translate("text", LETTERS, IDEOGRAPHS)
-    docs = t.table("documents").select("doc_id", ideographs.alias("text"))
-    words = split_words(docs, "text", dictionary.select(F.translate("word", LETTERS, IDEOGRAPHS).alias("word")))
+    docs = t.table("documents").select("doc_id", ideographs("text").alias("text"))
+    words = split_words(docs, "text", cjk_dictionary(t))
     return words.groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("ct"))
 
 

@@ -13,7 +13,7 @@ from tradewind.plans import order_wide, product_stats, province_stats, visitor_s
 from tradewind.schemas import KEYWORD_STATS_COLUMNS
 from tradewind.session import shared_dir
 from tradewind.sources import cdc, tables
-from tradewind.sources.sample_tables import SampleTables
+from tradewind.sources.sample_tables import EPOCH, PERIOD, SampleTables
 from tradewind.streaming import jobs, sinks, stateful
 
 
@@ -129,6 +129,38 @@ def stream_keyword_stats(t: SampleTables) -> DataFrame:
     return tables.read_stats(t.spark, f"{path}/rows").select(*KEYWORD_STATS_COLUMNS)
 
 
+@q.query
+def stream_keyword_cjk(t: SampleTables) -> DataFrame:
+    """Words of searches written in ideographs, by a dictionary of part names: two jobs, three runs."""
+    path, schema = _new_dir(t.spark, "keyword_cjk"), "source STRING, ts BIGINT, word STRING"
+
+    def run(s: dict[str, DataFrame]) -> None:
+        named = lambda: q.cjk_dictionary(t)
+        jobs.keyword_words(s["pages"], named, f"{path}/words", F.col("source"), once=True).awaitTermination()
+        words = tables.json_stream(t.spark, f"{path}/words/rows", schema)
+        jobs.word_counts(words, f"{path}/counts", once=True).awaitTermination()
+
+    pages = t.search_pages().withColumn("item", q.ideographs("item"))
+    _in_slices(t, {"pages": (pages, "ts div 1000")}, f"{path}/in", run)
+    return tables.read_stats(t.spark, f"{path}/counts/rows").select(*KEYWORD_STATS_COLUMNS)
+
+
+@q.query
+def stream_late_rows_rows(t: SampleTables) -> DataFrame:
+    """Every fiftieth page view arrives in the last of three runs; those behind the watermark are told apart."""
+    path = _new_dir(t.spark, "late_rows")
+    pages = t.page_log().select("seq", "mid", "page_id", "ts")
+
+    def run(s: dict[str, DataFrame]) -> None:
+        jobs.without_late(s["pages"], path, once=True).awaitTermination()
+
+    arrives = f"if(seq % 50 = 0, {EPOCH + PERIOD - 1}, ts div 1000)"
+    _in_slices(t, {"pages": (pages, arrives)}, f"{path}/in", run)
+    rows = lambda kind: t.spark.read.schema(pages.schema).parquet(f"{path}/rows/{kind}/batch=*")
+    on_time, late = (rows(kind).withColumn("late", F.lit(kind == "late")) for kind in ("on_time", "late"))
+    return on_time.unionByName(late)
+
+
 @q.query
 def stream_visitor_stats(t: SampleTables) -> DataFrame:
     uv = _stored(t.spark, visits.daily_unique(t.page_log()), "uv_rows")
@@ -153,9 +185,9 @@ def stream_province_stats(t: SampleTables) -> DataFrame:
 def stream_dim_upsert(t: SampleTables) -> DataFrame:
     """Changes routed by the rules, dimension rows merged into a keyed store."""
     path = _new_dir(t.spark, "routed")
-    store = sinks.SnapshotStore(t.spark, f"{path}/dims", ["sink_table", "id"], part="sink_table")
+    store = sinks.KeyedTable(t.spark, f"{path}/dims", ["sink_table", "id"], part="sink_table")
     changes = cdc.normalise(_streams(t).cdc_records())
-    _run(t.spark, changes, path, sinks.route_writer(t.routing_rules, path, store))
+    jobs.route_changes(changes, t.routing_rules, path, store, once=True).awaitTermination()
     after = F.col("after")
     columns = ["name", "gender", "birthday", "sku_name", "price"]
     return store.read().select("sink_table", "id", "seq", *[after[c].alias(c) for c in columns])

@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from tradewind.operators import routing, upsert
 from tradewind.schemas import CDC_CHANGE, CDC_RECORD, ROUTING_RULE
 from tradewind.sources import cdc
@@ -86,19 +88,62 @@ def test_upsert_and_blank_nulls(spark, rows):
     ]
 
 
-def test_snapshot_store_replays(spark, rows, tmp_path):
-    layout = "id STRING, v STRING, seq BIGINT"
-    store = sinks.SnapshotStore(spark, str(tmp_path / "dim"), ["id"])
-    assert store.read() is None
-    store.merge(spark.createDataFrame([("1", "a", 1), ("2", "b", 2)], layout), 0)
-    second = spark.createDataFrame([("1", "c", 3)], layout)
-    store.merge(second, 1)
-    store.merge(second, 1)
-    assert rows(store.read(), "id", "v") == [("1", "c"), ("2", "b")]
-    store.merge(spark.createDataFrame([("3", "d", 4)], layout), 2)
-    store.prune(keep=2)
-    assert store.versions() == [1, 2]
-    assert rows(store.read(), "id", "v") == [("1", "c"), ("2", "b"), ("3", "d")]
+def test_keyed_table_replays(spark, rows, tmp_path):
+    layout = "id STRING, v STRING, bucket STRING, seq BIGINT"
+    table = sinks.KeyedTable(spark, str(tmp_path / "dim"), ["id"])
+    assert table.read() is None
+    table.merge(spark.createDataFrame([("1", "a", "x", 1), ("2", "b", "y", 2)], layout))
+    second = spark.createDataFrame([("1", "c", "z", 3)], layout)
+    table.merge(second)
+    table.merge(second)
+    assert rows(table.read(), "id", "v", "bucket") == [("1", "c", "z"), ("2", "b", "y")]
+    table.merge(spark.createDataFrame([("3", "d", None, 4), ("2", "old", None, 1)], layout))
+    assert rows(table.read(), "id", "v", "bucket") == [("1", "c", "z"), ("2", "b", "y"), ("3", "d", None)]
+
+
+def test_a_merge_that_was_interrupted_is_finished_by_the_next(spark, rows, tmp_path, monkeypatch):
+    layout = "kind STRING, id STRING, name STRING, seq BIGINT"
+    table = sinks.KeyedTable(spark, str(tmp_path / "dim"), ["kind", "id"], part="kind")
+    table.merge(spark.createDataFrame([("007", "1", "a", 1), (None, "2", "b", 2)], layout))
+    stopped = sinks.KeyedTable(spark, table.path, ["kind", "id"], part="kind")
+    finish, calls = stopped._finish, iter([True, False])
+    monkeypatch.setattr(stopped, "_finish", lambda: finish() if next(calls) else None)
+    stopped.merge(spark.createDataFrame([("007", "1", "c", 3)], layout))
+    assert rows(table.read(), "kind", "id", "name") == [("007", "1", "a"), (None, "2", "b")]
+    table.merge(spark.createDataFrame([("8", "3", "d", 4)], layout))
+    assert rows(table.read(), "kind", "id", "name") == [("007", "1", "c"), ("8", "3", "d"), (None, "2", "b")]
+
+
+def test_an_unreadable_table_is_no_missing_table(spark, tmp_path):
+    (tmp_path / "dim" / "rows").mkdir(parents=True)
+    (tmp_path / "dim" / "rows" / "part-0.parquet").write_text("no parquet")
+    with pytest.raises(Exception):
+        sinks.KeyedTable(spark, str(tmp_path / "dim"), ["id"]).read()
+
+
+def test_a_rule_has_its_table_made_before_its_first_row(spark, tmp_path):
+    versions = [[("user", "insert", "hbase", "made_user", "code,name", "code", "SALT_BUCKETS=4, note=it's, IMMUTABLE_ROWS", 1)],
+                [("brand", "insert", "hbase", "made_brand", "id,name", None, None, 1)]]
+    made = []
+    create = sinks.catalog_table(spark, str(tmp_path / "tables"))
+
+    def noted(rule):
+        create(rule)
+        made.append(rule.sink_table)
+
+    dims = sinks.KeyedTable(spark, str(tmp_path / "dims"), ["sink_table", "id"], part="sink_table")
+    load = lambda: spark.createDataFrame(versions[0] + (versions[1] if made else []), ROUTING_RULE)
+    write = sinks.route_writer(load, str(tmp_path / "out"), dims, noted)
+    write(changes(spark), 0)  # no row yet
+    assert made == ["made_user"] and spark.table("made_user").count() == 0
+    write(changes(spark, change("brand", "insert", 1, id="1", name="n")), 1)
+    write(changes(spark, change("brand", "insert", 2, id="2", name="m")), 2)
+    assert made == ["made_user", "made_brand"]
+    said = {r.key: r.value for r in spark.sql("SHOW TBLPROPERTIES made_user").collect()}
+    assert (said["SALT_BUCKETS"], said["note"], said["IMMUTABLE_ROWS"]) == ("4", "it's", "true")
+    assert [f.name for f in spark.table("made_user").schema] == ["code", "name"]
+    spark.sql("DROP TABLE made_user")
+    spark.sql("DROP TABLE made_brand")
 
 
 def test_create_table_leaves_an_existing_one_alone(spark, tmp_path):

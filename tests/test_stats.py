@@ -1,3 +1,4 @@
+import random
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -114,3 +115,57 @@ def test_keyword_stats(spark, rows):
     ]
     by_source = keyword_stats.keyword_stats(pages, source=F.upper("last_page_id"))
     assert {r.source for r in by_source.collect()} == {"SEARCH"}
+
+
+def test_clicks_of_pages_that_list_nothing(spark, rows):
+    """Both forms agree whether the list of displays is missing, empty or filled."""
+    pages = spark.createDataFrame(
+        [page(1, "a", 1, "good_detail", item="7", kind="sku_id"), page(2, "a", 2, "good_detail", item="7", kind="sku_id", displays=[]),
+         page(3, "a", 3, None, item="8", kind="sku_id"), page(4, "a", 4, displays=[("9", "sku_id"), ("9", None)])], PAGE_LOG
+    )
+    apart = product_stats.clicks(pages).unionByName(product_stats.displays(pages))
+    assert rows(product_stats.page_activity(pages), "sku_id", "kind") == rows(apart, "sku_id", "kind")
+    assert apart.count() == 3
+
+
+def cjk(n, rnd):
+    return "".join(chr(0x4E00 + rnd.randrange(40)) for _ in range(n))
+
+
+def test_words_of_runs_against_a_plain_search(spark, rows):
+    rnd = random.Random(1)
+    known = sorted({cjk(rnd.choice([1, 2, 3, 5, 300]), rnd) for _ in range(60)})
+    runs = [cjk(n, rnd) for n in (1, 5, 255, 256, 257, 512, 700, 1500)] + [known[-1] + cjk(3, rnd) + max(known, key=len), "𠀀𠀁" + cjk(600, rnd)]
+    want = []
+    for run in runs:
+        covered = [False] * len(run)
+        for at in range(len(run)):
+            for word in known:
+                if run.startswith(word, at):
+                    want.append((run, word))
+                    covered[at : at + len(word)] = [True] * len(word)
+        rest = "".join(" " if c else x for c, x in zip(covered, run)).split()
+        want += [(run, word) for word in rest]
+    docs = spark.createDataFrame([(i, f"one {run}, Two") for i, run in enumerate(runs)], "id BIGINT, text STRING")
+    words = split_words(docs, "text", spark.createDataFrame([(w,) for w in known], "word STRING"))
+    got = rows(words.filter("word NOT IN ('one', 'two')"), "id", "word")
+    assert got == sorted(((runs.index(run), word) for run, word in want), key=repr)
+
+
+def test_a_very_long_run(spark):
+    """Time is linear in the run: this one took minutes when every place looked at the whole run."""
+    rnd = random.Random(2)
+    run = cjk(200_000, rnd)
+    known = spark.createDataFrame([(cjk(2, rnd),) for _ in range(200)], "word STRING").distinct()
+    docs = spark.createDataFrame([(1, run)], "id BIGINT, text STRING")
+    total = split_words(docs, "text", known).agg(F.sum(F.length("word"))).first()[0]
+    words = [r.word for r in known.collect()]
+    covered = bytearray(len(run))
+    found = 0
+    for word in words:
+        at = run.find(word)
+        while at >= 0:
+            found += len(word)
+            covered[at : at + len(word)] = b"\1" * len(word)
+            at = run.find(word, at + 1)
+    assert total == found + covered.count(0)

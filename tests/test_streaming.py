@@ -148,8 +148,7 @@ def test_fan_out_writes_each_output_once(spark, rows, tmp_path):
              {"seq": 2, "value": json.dumps({"common": {"mid": "a"}, "start": {"x": 1}, "ts": 2})})
     write = sinks.fan_out(jobs.log_outputs(), str(tmp_path / "out"))
     events = log_split.clean(feed.stream())
-    run(events, tmp_path, write)
-    write(log_split.clean(feed.batch()), 0)  # a replayed batch replaces itself
+    run(events, tmp_path, lambda batch, number: (write(batch, number), write(batch, number)))  # a replay replaces itself
     counts = {n: spark.read.parquet(f"{tmp_path}/out/{n}").count() for n in ("start", "page", "display")}
     assert counts == {"start": 1, "page": 1, "display": 2}
 
@@ -177,12 +176,11 @@ def test_rules_are_read_again_for_every_batch(spark, tmp_path):
 
     feed.add(row(1, id="1", name="a", city="x"))
     feed.add(row(2, id="2", name="b", city="y"), row(3, id="1", name=None, city="z"))
-    store = sinks.SnapshotStore(spark, str(tmp_path / "dims"), ["sink_table", "id"], part="sink_table")
+    store = sinks.KeyedTable(spark, str(tmp_path / "dims"), ["sink_table", "id"], part="sink_table")
     run(feed.stream(), tmp_path, sinks.route_writer(rules, str(tmp_path / "out"), store))
     got = sinks.dimension(store, "dim_user", ["id", "name", "city"])
     assert sorted(tuple(r) for r in got.collect()) == [("1", "", "z"), ("2", "b", "y")]
-    assert store.versions() == [0, 1]
-    assert sinks.dimension(sinks.SnapshotStore(spark, str(tmp_path / "no"), ["id"]), "x", ["id"]).count() == 0
+    assert sinks.dimension(sinks.KeyedTable(spark, str(tmp_path / "no"), ["id"]), "x", ["id"]).count() == 0
 
 
 def test_stats_table_is_pruned_by_day(spark, tmp_path):
@@ -198,26 +196,41 @@ def test_stats_table_is_pruned_by_day(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(dt" in plan
 
 
-def test_store_goes_on_after_a_new_checkpoint_and_a_replay(spark, rows, tmp_path):
-    store = sinks.SnapshotStore(spark, str(tmp_path / "dims"), ["id"], buckets=8, keep=2)
-    change = lambda *r: spark.createDataFrame(r, "id STRING, name STRING, seq BIGINT")
-    store.merge(change(("a", "1", 1), ("b", "1", 2)), 0)
-    store.merge(change(("a", "2", 3)), 1)
-    store.merge(change(("c", "1", 4), ("b", "0", 1)), 0, "another checkpoint")  # batch ids start again
-    want = [("a", "2", 3), ("b", "1", 2), ("c", "1", 4)]
-    assert rows(store.read(), "id", "name", "seq") == want
-    store.merge(change(("c", "1", 4), ("b", "0", 1)), 0, "another checkpoint")  # replayed
-    store.merge(change(), 1)
-    assert rows(store.read(), "id", "name", "seq") == want
-    assert store.versions() == [0, 1, 2, 3]
-
-
 def test_a_merge_rewrites_touched_buckets_only(spark, tmp_path):
-    store = sinks.SnapshotStore(spark, str(tmp_path / "dims"), ["id"], buckets=16)
-    store.merge(spark.range(200).selectExpr("CAST(id AS STRING) AS id", "id AS seq"), 0)
-    store.merge(spark.createDataFrame([("7", 900)], "id STRING, seq BIGINT"), 1)
-    assert len(list((tmp_path / "dims/data/v=1").glob("bucket=*"))) == 1
-    assert store.read().count() == 200 and store.read().filter("id = '7'").first().seq == 900
+    table = sinks.KeyedTable(spark, str(tmp_path / "dims"), ["id"], buckets=16)
+    table.merge(spark.range(200).selectExpr("CAST(id AS STRING) AS id", "id AS seq"))
+    before = {f.name for f in (tmp_path / "dims/rows").glob("*/*.parquet")}
+    table.merge(spark.createDataFrame([("7", 900)], "id STRING, seq BIGINT"))
+    after = {f.parent.name for f in (tmp_path / "dims/rows").glob("*/*.parquet") if f.name not in before}
+    assert len(after) == 1
+    assert table.read().count() == 200 and table.read().filter("id = '7'").first().seq == 900
+
+
+@pytest.mark.parametrize("kind", ["table", "json", "stats", "fan_out"])
+def test_a_new_checkpoint_leaves_the_rows_of_the_old_one(spark, tmp_path, kind):
+    out = str(tmp_path / "rows")
+    writer = {
+        "table": lambda: sinks.table_writer(out), "json": lambda: sinks.json_writer(out),
+        "stats": lambda: sinks.stats_writer(out, ["stt", "n"]), "fan_out": lambda: sinks.fan_out({"all": lambda b: b}, out),
+    }[kind]
+    for run_number in range(2):
+        feed = Feed(spark, tmp_path / f"in{run_number}", "stt STRING, n BIGINT")
+        feed.add({"stt": "2024-01-01 00:00:00", "n": run_number})
+        sinks.start(feed.stream(), str(tmp_path / f"checkpoint{run_number}"), writer(), once=True).awaitTermination()
+    read = spark.read.text(f"{out}/batch=*") if kind == "json" else spark.read.parquet(f"{out}/all" if kind == "fan_out" else out)
+    assert read.count() == 2
+
+
+def test_late_rows_come_out_on_their_own(spark, rows, tmp_path):
+    feed = Feed(spark, tmp_path / "in", "ts BIGINT, name STRING")
+    feed.add({"ts": 1_000, "name": "a"}, {"ts": 9_000, "name": "b"})
+    feed.add({"ts": 5_000, "name": "late"}, {"ts": 8_000, "name": "edge"}, {"ts": 20_000, "name": "c"}, {"name": "no time"})
+    feed.add({"ts": 18_999, "name": "late too"}, {"ts": 19_000, "name": "edge too"})
+    jobs.without_late(feed.stream(), str(tmp_path / "job"), once=True).awaitTermination()
+    got = {k: rows(spark.read.parquet(f"{tmp_path}/job/rows/{k}"), "name") for k in ("on_time", "late")}
+    assert got == {
+        "on_time": [("a",), ("b",), ("c",), ("edge too",), ("edge",)], "late": [("late too",), ("late",), ("no time",)]
+    }
 
 
 def test_topic_records_are_ordered_by_time_over_partitions(spark):

@@ -1,8 +1,9 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from tradewind.operators.visits import bounces, daily_unique, repair_new_flag, seen_visitors
+from tradewind.operators.visits import CELLS, bounces, cells, daily_unique, following_events, repair_new_flag, seen_visitors
 
 PAGES = "seq BIGINT, mid STRING, ts BIGINT, last_page_id STRING"
 DAY = 86_400_000
@@ -62,6 +63,27 @@ def test_bounces_equal_the_rule_applied_naively(spark, rows, slice_ms):
     assert rows(found, "seq", "kind") == naive_bounces(data, 10_000)
 
 
+def test_no_group_holds_a_blank_visitor(spark, rows):
+    """A blank and a missing visitor own most rows of one slice; no group and no task gets many of them."""
+    rnd = random.Random(8)
+    data = [(rnd.choice(["", None, "", f"m{rnd.randrange(9)}"]), rnd.randrange(60_000), rnd.choice([None, "home"])) for _ in range(8000)]
+    df = pages(spark, data)
+    assert rows(bounces(df, slice_ms=60_000), "seq", "kind") == naive_bounces(data, 10_000)
+    assert rows(bounces(df), "seq", "kind") == naive_bounces(data, 10_000)
+    events = cells(df, 10_000 // CELLS)
+    largest = events.groupBy("__visitor", "__cell").count().selectExpr("max(count)").first()[0]
+    assert largest < len(data) / 50
+    tasks = events.repartition(4, "__visitor", "__cell").groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) == 4 and max(r["count"] for r in tasks) < len(data) / 2
+    # What is known about a cell is one event, whatever it holds.
+    assert following_events(events.drop("__page")).count() == events.select("__visitor", "__cell").distinct().count()
+
+
+def test_bounces_of_extra_columns_and_rows_without_time(spark, rows):
+    df = pages(spark, [("a", None, None), ("a", -5, None), (None, -3, "x"), (None, -3, None)]).withColumn("next", F.lit(1))
+    assert rows(bounces(df), "seq", "mid", "kind", "next") == [(1, "a", "timeout", 1), (3, None, "timeout", 1)]
+
+
 def test_slice_must_cover_the_window(spark):
     with pytest.raises(ValueError):
         bounces(pages(spark, [("a", 1, None)]), within_ms=10_000, slice_ms=5_000)

@@ -75,6 +75,13 @@ def table_schema(sink_columns: str, sink_pk: str | None = None) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), c != key) for c in sink_columns.split(",")])
 
 
+def table_rules(rules: DataFrame) -> DataFrame:
+    """The rules in force that ask for a keyed table: name, columns, key, properties."""
+    keyed = latest_rules(rules).filter(~F.col("sink_type").eqNullSafe(STREAM_SINK))
+    keyed = keyed.filter("sink_table IS NOT NULL AND sink_columns IS NOT NULL")
+    return keyed.select("sink_table", "sink_columns", "sink_pk", "sink_extend").distinct()
+
+
 def rule_columns(rules: DataFrame) -> DataFrame:
     """Columns of every keyed table the rules ask for: name, position, type, key flag."""
     keyed = latest_rules(rules).filter(~F.col("sink_type").eqNullSafe(STREAM_SINK))

@@ -19,6 +19,24 @@ def searches(pages: DataFrame) -> DataFrame:
     return pages.filter((F.col("last_page_id") == "search") & F.col("item").isNotNull())
 
 
+def search_words(
+    pages: DataFrame, dictionary: DataFrame | None = None, source: Column | str = SEARCH, day: str | None = None
+) -> DataFrame:
+    """``source, ts, word``: one row per searched word; ``source`` says where it was seen."""
+    source = F.lit(source) if isinstance(source, str) else source
+    rows = searches(in_day(pages.withColumn("__time", at_second("ts")), "__time", day))
+    return split_words(rows.select("item", source.alias("source"), "ts"), "item", dictionary)
+
+
+def count_words(words: DataFrame, size: str = SIZE, delay: str = DELAY) -> DataFrame:
+    """Hits per word, source and window of ``search_words`` rows."""
+    timed = with_watermark(words.withColumn("event_time", at_second("ts")), "event_time", delay)
+    counted = tumble(
+        timed, "event_time", ["word", "source"], {"ct": F.count(F.lit(1)), "ts": F.min("ts")}, size
+    )
+    return counted.withColumnRenamed("word", "keyword").select(*KEYWORD_STATS_COLUMNS)
+
+
 def keyword_stats(
     pages: DataFrame,
     dictionary: DataFrame | None = None,
@@ -27,13 +45,4 @@ def keyword_stats(
     delay: str = DELAY,
     day: str | None = None,
 ) -> DataFrame:
-    """Hits per word and window; ``source`` says where the words were seen."""
-    source = F.lit(source) if isinstance(source, str) else source
-    rows = searches(pages).select(
-        "item", source.alias("source"), "ts", at_second("ts").alias("event_time")
-    )
-    words = split_words(with_watermark(in_day(rows, "event_time", day), "event_time", delay), "item", dictionary)
-    counted = tumble(
-        words, "event_time", ["word", "source"], {"ct": F.count(F.lit(1)), "ts": F.min("ts")}, size
-    )
-    return counted.withColumnRenamed("word", "keyword").select(*KEYWORD_STATS_COLUMNS)
+    return count_words(search_words(pages, dictionary, source, day), size, delay)

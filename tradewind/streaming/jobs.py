@@ -24,7 +24,7 @@ from tradewind.plans import (
     visitor_stats,
 )
 from tradewind.streaming import sinks
-from tradewind.streaming.stateful import bounces_stream, repair_new_flag_stream
+from tradewind.streaming.stateful import bounces_stream, mark_late, repair_new_flag_stream
 
 
 def log_events(lines: DataFrame, ttl_ms: int | None = None) -> DataFrame:
@@ -82,6 +82,22 @@ def wide_payments(payments: DataFrame, wide: DataFrame, path: str, delay: str =
     return _job(paid, path, sinks.json_writer, once)
 
 
+def route_changes(
+    changes: DataFrame, load_rules: Callable[[], DataFrame], path: str, dims: sinks.KeyedTable, create=None, once: bool = False
+) -> StreamingQuery:
+    """Row changes split by the rules of each batch: facts by topic, rejects, dimension rows."""
+    return _job(changes, path, lambda out: sinks.route_writer(load_rules, out, dims, create), once)
+
+
+def without_late(rows: DataFrame, path: str, ms: str = "ts", delay: str = "1 second", once: bool = False) -> StreamingQuery:
+    """Rows in time for windows with this ``delay`` (``on_time``), and a reject table of the others (``late``)."""
+    outputs = {
+        "on_time": lambda batch: batch.filter("NOT late").drop("late"),
+        "late": lambda batch: batch.filter("late").drop("late"),
+    }
+    return _job(mark_late(rows, ms, delay), path, lambda out: sinks.fan_out(outputs, out), once)
+
+
 def _stats(rows: DataFrame, path: str, once: bool) -> StreamingQuery:
     return _job(rows, path, lambda out: sinks.stats_writer(out, rows.columns), once)
 
@@ -100,3 +116,23 @@ def provinces(wide: DataFrame, path: str, once: bool = False) -> StreamingQuery:
 
 def keywords(pages: DataFrame, path: str, source=keyword_stats.SEARCH, once: bool = False) -> StreamingQuery:
     return _stats(keyword_stats.keyword_stats(pages, source=source), path, once)
+
+
+def keyword_words(
+    pages: DataFrame, load_dictionary: Callable[[], DataFrame], path: str, source=keyword_stats.SEARCH, once: bool = False
+) -> StreamingQuery:
+    """Searched words, CJK text by a dictionary that is read anew for every batch, as JSON rows.
+
+    Looking up a run takes several steps over all its places, which is work for a batch; the windows
+    over its rows are a job of their own (``word_counts``).
+    """
+
+    def writer(out: str) -> sinks.BatchWriter:
+        store = sinks.json_writer(out)
+        return lambda batch, number: store(keyword_stats.search_words(batch, load_dictionary(), source), number)
+
+    return _job(pages, path, writer, once)
+
+
+def word_counts(words: DataFrame, path: str, once: bool = False) -> StreamingQuery:
+    return _stats(keyword_stats.count_words(words), path, once)

@@ -1,12 +1,17 @@
-"""Micro-batch sinks. Every file sink is idempotent: a replayed batch overwrites its own folder."""
+"""Micro-batch sinks. Every file sink is idempotent: a replayed batch overwrites its own folder.
+
+Batch numbers start again with every checkpoint, so the folder carries the id of the streaming query,
+too: rows that another checkpoint wrote stay.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tradewind.operators import routing, upsert
@@ -24,6 +29,12 @@ def start(
     return writer.start()
 
 
+def batch_folder(batch: DataFrame, batch_id: int) -> str:
+    """``batch=<query>-<number>`` inside a stream, ``batch=<number>`` for a batch written by hand."""
+    run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"batch={run}-{batch_id}" if run else f"batch={batch_id}"
+
+
 def topic_sink(df: DataFrame, servers: str, checkpoint: str, topic: str | None = None) -> StreamingQuery:
     """Rows to a topic; without ``topic`` each row names its own in a ``topic`` column."""
     writer = df.writeStream.format("kafka").option("kafka.bootstrap.servers", servers)
@@ -46,7 +57,7 @@ def table_writer(path: str, columns: list[str] | None = None) -> BatchWriter:
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch.select(*columns) if columns else batch
-        rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        rows.write.mode("overwrite").parquet(f"{path}/{batch_folder(batch, batch_id)}")
 
     return write
 
@@ -55,7 +66,7 @@ def json_writer(path: str) -> BatchWriter:
     """Rows as JSON text, one folder per batch: what a topic between two jobs would carry."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        as_json(batch).write.mode("overwrite").text(f"{path}/batch={batch_id}")
+        as_json(batch).write.mode("overwrite").text(f"{path}/{batch_folder(batch, batch_id)}")
 
     return write
 
@@ -65,7 +76,7 @@ def stats_writer(path: str, columns: list[str]) -> BatchWriter:
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = with_day(batch.select(*columns))
-        rows.write.mode("overwrite").partitionBy("dt").parquet(f"{path}/batch={batch_id}")
+        rows.write.mode("overwrite").partitionBy("dt").parquet(f"{path}/{batch_folder(batch, batch_id)}")
 
     return write
 
@@ -86,113 +97,113 @@ def fan_out(outputs: Mapping[str, Callable[[DataFrame], DataFrame]], path: str)
     """Split each batch into named outputs; the batch is computed once and written per output."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        folder = batch_folder(batch, batch_id)
         batch.persist()
         try:
             for name, select in outputs.items():
-                select(batch).write.mode("overwrite").parquet(f"{path}/{name}/batch={batch_id}")
+                select(batch).write.mode("overwrite").parquet(f"{path}/{name}/{folder}")
         finally:
             batch.unpersist()
 
     return write
 
 
-class SnapshotStore:
-    """Keyed rows in buckets of their keys' hash; a merge rewrites the touched buckets only.
+class KeyedTable:
+    """Keyed rows as a plain partitioned table; a merge rewrites the partitions that its changes touch.
 
-    ``data/v=<n>/bucket=<b>`` holds a bucket as version n left it. The manifest of a version, a few
-    numbers in one file that is written last, says which version each bucket is at; readers follow the
-    newest one, so a merge counts whole or not at all. Versions count up by themselves, whatever the
-    batch ids of a checkpoint are: a new checkpoint goes on from what is stored. A replayed batch is
-    merged again, which changes nothing, as a change never replaces a row of the same or a higher
-    ``seq``. ``part`` names a column that also splits the folders, for reads of one of its values.
+    Rows lie by ``part`` (a column, if given) and a bucket of their keys' hash. A merge is written whole
+    to a second folder and copied from there by dynamic partition overwrite. If that is interrupted, the
+    next merge copies it again before it does anything else, so partitions are never half written for
+    long and none is lost. A replayed batch is merged again, which changes nothing, as a change never
+    replaces a row of the same or a higher ``seq``; checkpoints and batch numbers do not matter. One
+    writer at a time; readers between two partitions see the one before and the other after a merge.
     """
 
+    BUCKET = "__bucket"
+
     def __init__(
-        self, spark: SparkSession, path: str, keys: list[str], seq: str = "seq", buckets: int = 16,
-        part: str | None = None, keep: int = 3,
+        self, spark: SparkSession, path: str, keys: list[str], seq: str = "seq", buckets: int = 16, part: str | None = None
     ):
         self.spark, self.path = spark, path.rstrip("/")
-        self.keys, self.seq, self.buckets, self.part, self.keep = keys, seq, buckets, part, keep
+        self.keys, self.seq, self.buckets = keys, seq, buckets
+        self.split = [part, self.BUCKET] if part else [self.BUCKET]
 
-    def _manifests(self) -> list[tuple[int, dict[int, int]]]:
-        """(version, version of each bucket), oldest first."""
+    def _stored(self, name: str) -> DataFrame | None:
+        """The rows of a folder; None if it is not there or holds nothing."""
         try:
-            stored = self.spark.read.parquet(f"{self.path}/manifest")
-            rows = stored.select("version", "bucket", "at").collect()
-        except AnalysisException:  # nothing is stored yet
-            return []
-        found: dict[int, dict[int, int]] = {}
-        for row in rows:
-            found.setdefault(row["version"], {})[row["bucket"]] = row["at"]
-        return sorted(found.items())
-
-    def versions(self) -> list[int]:
-        return [version for version, _ in self._manifests()]
-
-    def _buckets(self, state: dict[int, int]) -> DataFrame:
-        folders = [f"{self.path}/data/v={version}/bucket={bucket}" for bucket, version in sorted(state.items())]
-        rows = self.spark.read.option("basePath", f"{self.path}/data").parquet(*folders)
-        return rows.withColumn(self.part, F.col(self.part).cast("string")) if self.part else rows
+            found = self.spark.read.parquet(f"{self.path}/{name}").schema
+        except AnalysisException as error:
+            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return None
+            raise
+        # Folder names are text, whatever they look like.
+        kinds = [T.StructField(f.name, T.StringType()) if f.name in self.split[:-1] else f for f in found]
+        return self.spark.read.schema(T.StructType(kinds)).parquet(f"{self.path}/{name}")
 
     def read(self) -> DataFrame | None:
-        """The newest version; read it again for every batch to stay fresh."""
-        found = self._manifests()
-        return self._buckets(found[-1][1]).drop("v", "bucket") if found else None
-
-    def merge(self, changes: DataFrame, batch_id: int, run: str = "") -> None:
-        """Take over changes; ``run`` and ``batch_id`` are noted beside the version they made."""
+        """All rows; read it again for every batch to stay fresh."""
+        rows = self._stored("rows")
+        return None if rows is None else rows.drop(self.BUCKET)
+
+    def _write(self, rows: DataFrame, name: str, mode: str) -> None:
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", mode)
+        writer.partitionBy(*self.split).parquet(f"{self.path}/{name}")
+
+    def _finish(self) -> None:
+        """Copy what is pending, then leave nothing pending."""
+        pending = self._stored("pending")
+        if pending is None or pending.isEmpty():
+            return
+        self._write(pending, "rows", "dynamic")
+        self.spark.createDataFrame([], pending.schema).write.mode("overwrite").parquet(f"{self.path}/pending")
+
+    def merge(self, changes: DataFrame) -> None:
+        self._finish()
         bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
-        newest = upsert.latest(changes, self.keys, self.seq).withColumn("bucket", bucket).persist()
+        newest = upsert.latest(changes, self.keys, self.seq).withColumn(self.BUCKET, bucket).persist()
         try:
-            touched = sorted(row["bucket"] for row in newest.select("bucket").distinct().collect())
-            if not touched:
-                return
-            found = self._manifests()
-            version, state = (found[-1][0] + 1, found[-1][1]) if found else (0, {})
-            there = {b: state[b] for b in touched if b in state}
-            old = self._buckets(there).drop("v").select(*newest.columns) if there else None
-            merged = upsert.upsert(old, newest, self.keys, self.seq)
-            split = ["bucket", self.part] if self.part else ["bucket"]
-            merged.write.mode("overwrite").partitionBy(*split).parquet(f"{self.path}/data/v={version}")
-            state = state | dict.fromkeys(touched, version)
-            rows = [(version, b, at, batch_id, run) for b, at in sorted(state.items())]
-            noted = self.spark.createDataFrame(rows, "version INT, bucket INT, at INT, batch_id BIGINT, run STRING")
-            noted.coalesce(1).write.mode("append").parquet(f"{self.path}/manifest")
+            stored = self._stored("rows")
+            if stored is not None:
+                touched = newest.select(*[F.col(c).alias(f"{c}_") for c in self.split]).distinct()
+                same = [stored[c].eqNullSafe(touched[f"{c}_"]) for c in self.split]
+                stored = stored.join(touched, same, "left_semi").select(*newest.columns)
+            self._write(upsert.upsert(stored, newest, self.keys, self.seq), "pending", "static")
         finally:
             newest.unpersist()
-        self.prune()
-
-    def prune(self) -> None:
-        """Drop the data that none of the newest ``keep`` versions uses; older versions cannot be read after it."""
-        found = self._manifests()
-        used = {(b, at) for _, state in found[-self.keep :] for b, at in state.items()}
-        jvm = self.spark._jvm  # Spark itself has no call to delete a folder
-        for b, at in {(b, at) for _, state in found[: -self.keep] for b, at in state.items()} - used:
-            folder = jvm.org.apache.hadoop.fs.Path(f"{self.path}/data/v={at}/bucket={b}")
-            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+        self._finish()
 
 
 def route_writer(
-    load_rules: Callable[[], DataFrame], path: str, dims: SnapshotStore
+    load_rules: Callable[[], DataFrame], path: str, dims: KeyedTable, create: Callable[[Row], None] | None = None
 ) -> BatchWriter:
     """Route a batch of changes by the rules of the moment: facts, rejects, and dimension rows merged
-    into one keyed store (``sink_table``, ``id``)."""
+    into one keyed table (``sink_table``, ``id``).
+
+    ``create`` is called for every keyed-table rule that this writer has not met before its first rows
+    are written (see ``catalog_table``). Rules are few: those in force are looked through at the driver.
+    """
+    met: set[Row] = set()
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        routed = routing.route(batch, load_rules()).persist()
+        rules = load_rules()
+        if create:
+            for rule in routing.table_rules(rules).collect():
+                if rule not in met:
+                    create(rule)
+                    met.add(rule)
+        folder = batch_folder(batch, batch_id)
+        routed = routing.route(batch, rules).persist()
         try:
-            routing.facts(routed).write.mode("overwrite").partitionBy("topic").parquet(
-                f"{path}/facts/batch={batch_id}"
-            )
-            routing.rejected(routed).write.mode("overwrite").parquet(f"{path}/rejects/batch={batch_id}")
-            dims.merge(upsert.blank_nulls(routing.dimension_changes(routed)), batch_id)
+            routing.facts(routed).write.mode("overwrite").partitionBy("topic").parquet(f"{path}/facts/{folder}")
+            routing.rejected(routed).write.mode("overwrite").parquet(f"{path}/rejects/{folder}")
+            dims.merge(upsert.blank_nulls(routing.dimension_changes(routed)))
         finally:
             routed.unpersist()
 
     return write
 
 
-def dimension(store: SnapshotStore, sink_table: str, columns: list[str]) -> DataFrame:
+def dimension(store: KeyedTable, sink_table: str, columns: list[str]) -> DataFrame:
     """One dimension of the keyed store as a table of text columns."""
     rows = store.read()
     if rows is None:
@@ -207,3 +218,26 @@ def create_table(spark: SparkSession, path: str, sink_columns: str, sink_pk: str
     """Make the empty table a rule asks for; an existing one is left alone."""
     schema = routing.table_schema(sink_columns, sink_pk)
     spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
+
+
+def catalog_table(spark: SparkSession, path: str, database: str = "default") -> Callable[[Row], None]:
+    """For ``route_writer``: a rule's table as a table of the catalog below ``path``, made if it is not there.
+
+    Its columns are text, the key is not null; what the rule says in ``sink_extend`` (``name=value``
+    pairs, comma separated; a name alone is set to true) becomes its table properties.
+    """
+
+    def create(rule: Row) -> None:
+        quoted = lambda name: "`" + name.replace("`", "``") + "`"
+        text = lambda value: "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        schema = routing.table_schema(rule.sink_columns, rule.sink_pk)
+        columns = ", ".join(f"{quoted(f.name)} STRING{'' if f.nullable else ' NOT NULL'}" for f in schema)
+        given = dict((*pair.split("=", 1), "true")[:2] for pair in (rule.sink_extend or "").split(",") if pair.strip())
+        said = ", ".join(f"{text(name.strip())} = {text(value.strip())}" for name, value in given.items())
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {quoted(database)}.{quoted(rule.sink_table)} ({columns}) USING parquet "
+            + (f"TBLPROPERTIES ({said}) " if said else "")
+            + f"LOCATION {text(f'{path}/{rule.sink_table}')}"
+        )
+
+    return create

@@ -65,6 +65,40 @@ def repair_new_flag_stream(heads: DataFrame, ttl_ms: int | None = None) -> DataF
     return others.unionByName(repaired)
 
 
+class LateMarker(StatefulProcessor):
+    """Tells rows behind the watermark from the others; keeps nothing."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        pass
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        watermark = timerValues.getCurrentWatermarkInMs()
+        for chunk in rows:
+            yield pd.DataFrame({"content": chunk["content"], "late": chunk["at"] < watermark})
+
+    def close(self) -> None:
+        pass
+
+
+def mark_late(rows: DataFrame, ms: str = "ts", delay: str = "1 second", spread: int = 64) -> DataFrame:
+    """The rows with ``late``: whether their time (epoch milliseconds) is behind the watermark, or missing.
+
+    Windows drop such rows silently. The event-time column itself does not go through the processor,
+    because Spark would drop them there, too; the rows are dealt by their content, so no key is hot.
+    """
+    timed = rows.withColumn("__time", at_ms(ms)).withWatermark("__time", delay)
+    content = F.to_json(F.struct(*rows.columns))
+    sent = timed.select(
+        content.alias("content"), F.coalesce(F.col(ms), F.lit(-(1 << 63))).alias("at"),
+        F.pmod(F.xxhash64(content), F.lit(spread)).alias("deal"),
+    )
+    marked = sent.groupBy("deal").transformWithStateInPandas(
+        LateMarker(), outputStructType="content STRING, late BOOLEAN", outputMode="Append", timeMode="EventTime"
+    )
+    row = F.from_json("content", rows.schema).alias("row")
+    return marked.select(row, "late").select("row.*", "late")
+
+
 def bounces_stream(
     pages: DataFrame,
     within_ms: int = 10_000,
