@@ -213,7 +213,10 @@ _STREAMS = {
         SELECT * FROM province_stats
         WHERE (ts // 10000 + 1) * 10000 <= (SELECT max(s) * 1000 - 1000 FROM order_wide)""",
     "stream_dim_upsert": _FINAL["dim_upsert"],
+    "stream_new_flag_two_days": _FINAL["log_is_new_two_days"],
 }
+# The jobs written as SQL text give the same rows.
+_STREAMS |= {f"sql_{name}": _STREAMS[f"stream_{name}"] for name in ("keyword_stats", "province_stats")}
 
 # The same reports, read from stored tables.
 _STORED = {

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from catalog import queries as q
 from tradewind.operators import visits
-from tradewind.plans import order_wide, product_stats, province_stats, visitor_stats
+from tradewind.plans import log_split, order_wide, product_stats, province_stats, sql_jobs, visitor_stats
 from tradewind.schemas import KEYWORD_STATS_COLUMNS
 from tradewind.session import shared_dir
 from tradewind.sources import cdc, tables
@@ -145,6 +145,45 @@ def stream_keyword_cjk(t: SampleTables) -> DataFrame:
     return tables.read_stats(t.spark, f"{path}/counts/rows").select(*KEYWORD_STATS_COLUMNS)
 
 
+def _sql_job(t: SampleTables, name: str, rows: DataFrame, second: str, job) -> DataFrame:
+    """A job of SQL text over JSON text, in three runs."""
+    path = _new_dir(t.spark, name)
+    lines = rows.select(F.to_json(F.struct(*rows.columns)).alias("value"), F.expr(second).alias("second"))
+    columns = []
+
+    def run(s: dict[str, DataFrame]) -> None:
+        out = job(t.spark, s["lines"].select("value"))
+        columns[:] = out.columns
+        _run(t.spark, out, path, sinks.stats_writer(f"{path}/rows", out.columns))
+
+    _in_slices(t, {"lines": (lines, "second")}, f"{path}/in", run)
+    return tables.read_stats(t.spark, f"{path}/rows").select(*columns)
+
+
+@q.query
+def sql_keyword_stats(t: SampleTables) -> DataFrame:
+    return _sql_job(t, "sql_keywords", t.search_pages(), "ts div 1000", sql_jobs.keyword_job)
+
+
+@q.query
+def sql_province_stats(t: SampleTables) -> DataFrame:
+    wide = order_wide.with_province(q.order_facts(t), t.dim_province())
+    rows = wide.selectExpr(*[c.split()[0] for c in sql_jobs.WIDE_ORDERS.split(", ")])
+    return _sql_job(t, "sql_provinces", rows, "unix_timestamp(create_time)", sql_jobs.province_job)
+
+
+@q.query
+def stream_new_flag_two_days(t: SampleTables) -> DataFrame:
+    """A table job over the first half, then a stream that starts with the visitors it has seen."""
+    spark, heads = t.spark, ["seq", "mid", "is_new", "ts"]
+    events = log_split.heads(t.log_lines())
+    early = events.filter(f"ts < {q.MIDDLE_MS}")
+    late = _stored(spark, events.filter(f"ts >= {q.MIDDLE_MS}"), "late_heads")
+    repaired = stateful.repair_new_flag_stream(late, seen=visits.seen_visitors(early))
+    rest = _replay(spark, repaired.select(*heads), "new_flag_late")
+    return visits.repair_new_flag(early.select(*heads)).unionByName(rest)
+
+
 @q.query
 def stream_late_rows_rows(t: SampleTables) -> DataFrame:
     """Every fiftieth page view arrives in the last of three runs; those behind the watermark are told apart."""

@@ -4,7 +4,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from tradewind.functions.words import split_words
-from tradewind.plans import keyword_stats, product_stats, province_stats, visitor_stats
+from tradewind.plans import keyword_stats, product_stats, province_stats, sql_jobs, visitor_stats
 from tradewind.schemas import AMOUNT, COMMENT_INFO, KEYWORD_STATS_COLUMNS, PAGE_LOG, VISITOR_STATS_COLUMNS
 
 D = Decimal
@@ -169,3 +169,25 @@ def test_a_very_long_run(spark):
             covered[at : at + len(word)] = b"\1" * len(word)
             at = run.find(word, at + 1)
     assert total == found + covered.count(0)
+
+
+def test_words_from_sql_are_those_of_the_plan(spark, rows):
+    texts = ["Ein Äpfel-baum, 2x; x2 'ça' \\ [a_b]", "中文 mix中文ed ードÀ", "", None, "plain words only", "...", "e\u0301té 𠀀"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id BIGINT, text STRING")
+    sql_jobs.register(spark)
+    docs.createOrReplaceTempView("some_docs")
+    found = spark.sql("SELECT id, word FROM some_docs, LATERAL split_word(text)")
+    assert rows(found, "id", "word") == rows(split_words(docs, "text"), "id", "word")
+    assert found.count() == 19
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Generate explode" in plan and "Join" not in plan and "Aggregate" not in plan
+
+
+def test_sql_jobs_on_tables(spark, rows):
+    lines = spark.createDataFrame(
+        [('{"last_page_id":"search","item":"A b","source":"S","ts":1500}',), ('{"last_page_id":"home","item":"c","ts":1}',), ("no json",)],
+        "value STRING",
+    )
+    assert rows(sql_jobs.keyword_job(spark, lines), "keyword", "ct", "stt", "ts") == [
+        ("a", 1, "1970-01-01 00:00:00", 1500), ("b", 1, "1970-01-01 00:00:00", 1500)
+    ]

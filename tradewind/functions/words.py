@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 _CJK = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsHangul}ー"
 _WORD_RUN = rf"[\p{{L}}\p{{M}}\p{{N}}&&[^{_CJK}]]+"
-_EITHER_RUN = rf"{_WORD_RUN}|[{_CJK}]+"
-_ASCII_BREAK = r"[\x00-/:-@\[-`{-\x7F]+"
+EITHER_RUN = rf"{_WORD_RUN}|[{_CJK}]+"
+ASCII_BREAK = r"[\x00-/:-@\[-`{-\x7F]+"
 PIECE = 256
 
 
@@ -37,9 +37,9 @@ def _tokens(df: DataFrame, text: str) -> DataFrame:
     characters are searched by script.
     """
     rest = [name for name in df.columns if name != text]
-    pieces = df.select(*rest, F.explode(F.split(F.col(text), _ASCII_BREAK)).alias("__piece")).filter("__piece <> ''")
+    pieces = df.select(*rest, F.explode(F.split(F.col(text), ASCII_BREAK)).alias("__piece")).filter("__piece <> ''")
     piece = F.col("__piece")
-    found = F.when(_ascii_only(piece), F.array(piece)).otherwise(F.regexp_extract_all(piece, F.lit(_EITHER_RUN), 0))
+    found = F.when(_ascii_only(piece), F.array(piece)).otherwise(F.regexp_extract_all(piece, F.lit(EITHER_RUN), 0))
     return pieces.select(*rest, F.explode(found).alias("word"))
 
 

@@ -27,9 +27,11 @@ from tradewind.streaming import sinks
 from tradewind.streaming.stateful import bounces_stream, mark_late, repair_new_flag_stream
 
 
-def log_events(lines: DataFrame, ttl_ms: int | None = None) -> DataFrame:
-    """Clean, repaired log lines; ``log_split.starts``, ``pages`` and ``displays`` split them."""
-    fixed = repair_new_flag_stream(log_split.heads(lines), ttl_ms)
+def log_events(lines: DataFrame, ttl_ms: int | None = None, seen: DataFrame | None = None) -> DataFrame:
+    """Clean, repaired log lines; ``log_split.starts``, ``pages`` and ``displays`` split them.
+
+    ``seen``: the visitors of earlier runs, for a job that starts anew."""
+    fixed = repair_new_flag_stream(log_split.heads(lines), ttl_ms, seen)
     return log_split.put_flag(log_split.open_parts(with_parsed(fixed, "value", "line")))
 
 

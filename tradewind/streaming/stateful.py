@@ -18,51 +18,74 @@ from tradewind.operators.visits import is_entry
 
 SLICES_PER_WINDOW = 6
 _HEAD = "mid STRING, seq BIGINT, ts BIGINT, is_new STRING, value STRING"
+_CANDIDATE = "?"
 _HEAD_COLUMNS = ["mid", "seq", "ts", "is_new", "value"]
 
 
 class NewFlagRepair(StatefulProcessor):
-    """Remembers that a visitor was seen as new; optional expiry bounds the state."""
+    """Remembers that a visitor was seen as new; optional expiry bounds the state.
 
-    def __init__(self, ttl_ms: int | None = None):
-        self.ttl_ms = ttl_ms
+    The first rows of a key come out as ``first``, all others as ``rest``.
+    """
+
+    def __init__(self, first: str, rest: str, ttl_ms: int | None = None):
+        self.first, self.rest, self.ttl_ms = first, rest, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.seen = handle.getValueState("seen", "first_ts BIGINT", self.ttl_ms)
 
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        self.seen.update((-1,))
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         known = self.seen.exists()
         held = None  # earliest row so far; everything else can go on at once
         for chunk in rows:
+            chunk = chunk[_HEAD_COLUMNS]
             if not known:
                 if held is not None:
                     chunk = pd.concat([held, chunk], ignore_index=True)
                 first = chunk.sort_values(["ts", "seq"], kind="stable").index[0]
                 held, chunk = chunk.loc[[first]], chunk.drop(index=first)
             if len(chunk):
-                yield chunk.assign(is_new="0")
+                yield chunk.assign(is_new=self.rest)
         if held is not None:
             self.seen.update((int(held["ts"].iloc[0]),))
-            yield held
+            yield held.assign(is_new=self.first)
 
     def close(self) -> None:
         pass
 
 
-def repair_new_flag_stream(heads: DataFrame, ttl_ms: int | None = None) -> DataFrame:
+def _first_of(rows: DataFrame, keys: list[str], processor: NewFlagRepair, initial: DataFrame | None = None) -> DataFrame:
+    return rows.groupBy(*keys).transformWithStateInPandas(
+        processor, outputStructType=_HEAD, outputMode="Append",
+        timeMode="ProcessingTime" if processor.ttl_ms else "None",
+        initialState=None if initial is None else initial.groupBy(*keys),
+    )
+
+
+def repair_new_flag_stream(
+    heads: DataFrame, ttl_ms: int | None = None, seen: DataFrame | None = None, salts: int = 16
+) -> DataFrame:
     """Streaming new-visitor repair over (seq, value, mid, is_new, ts) rows.
 
-    Only rows marked new pass through the keyed state; the others never touch it. Inside a
-    micro-batch the earliest row of a visitor is the first, across batches arrival order decides.
+    Only rows marked new pass through the keyed state; the others never touch it. They are first told
+    apart per (visitor, salt of the row), so that the rows of a hot visitor spread over ``salts`` groups
+    and one candidate of each goes on to the state of the visitor. Inside a micro-batch the earliest row
+    of a visitor is the first, across batches arrival order decides. ``seen`` holds the visitors of
+    earlier runs (``visits.seen_visitors``), none of whose rows is the first; it is taken over when the
+    checkpoint is new.
     """
     rows = heads.select(*_HEAD_COLUMNS)
     marked = rows.filter(F.col("is_new") == "1")
     others = rows.filter(~F.col("is_new").eqNullSafe("1"))
-    repaired = marked.groupBy("mid").transformWithStateInPandas(
-        NewFlagRepair(ttl_ms), outputStructType=_HEAD, outputMode="Append",
-        timeMode="ProcessingTime" if ttl_ms else "None",
-    )
-    return others.unionByName(repaired)
+    salted = marked.withColumn("salt", F.pmod(F.xxhash64("seq"), F.lit(salts)))
+    spread = _first_of(salted, ["mid", "salt"], NewFlagRepair(_CANDIDATE, "0", ttl_ms))
+    initial = None if seen is None else seen.select("mid").distinct()
+    candidates = spread.filter(F.col("is_new") == _CANDIDATE)
+    decided = _first_of(candidates, ["mid"], NewFlagRepair("1", "0", ttl_ms), initial)
+    return others.unionByName(spread.filter(F.col("is_new") != _CANDIDATE)).unionByName(decided)
 
 
 class LateMarker(StatefulProcessor):
