@@ -37,6 +37,15 @@ _FINAL = {
             CAST(CASE WHEN op = 'delete' THEN 0 WHEN tab = 'user_info' THEN 5 WHEN tab = 'base_nation' THEN 2
                 ELSE 4 END AS INTEGER) AS after_fields
         FROM changes""",
+    "cdc_route_versions": """
+        SELECT tab AS "table", op AS operation, seq, sink_table, CASE WHEN sink_table IS NULL THEN NULL
+            WHEN sink_table = 'dim_user_info' THEN 4 WHEN sink_table = 'dim_user_short' THEN 2 ELSE 3 END AS fields
+        FROM (SELECT *, CASE
+            WHEN tab = 'user_info' AND op = 'update' AND seq >= 500 THEN 'dim_user_short'
+            WHEN tab = 'user_info' AND seq >= CASE op WHEN 'insert' THEN 2 WHEN 'update' THEN 3 ELSE 4 END THEN 'dim_user_info'
+            WHEN tab = 'sku_info' AND seq >= 5 THEN 'dim_sku_info'
+            WHEN tab = 'order_info' AND op = 'insert' AND seq >= 6 AND seq < 3000 THEN 'dwd_order_info' END AS sink_table
+            FROM changes WHERE op <> 'delete')""",
     "cdc_route": """
         SELECT tab AS "table", op AS operation, seq, sink_table,
             CASE WHEN sink_table LIKE 'dim%' THEN 'hbase' WHEN sink_table IS NOT NULL THEN 'kafka' END AS sink_type,

@@ -24,6 +24,7 @@ from tradewind.plans import (
     reports,
     visitor_stats,
 )
+from tradewind.schemas import ROUTING_RULE
 from tradewind.session import prepare, shared_dir
 from tradewind.sources import cdc, tables
 from tradewind.sources.sample_tables import SampleTables
@@ -234,6 +235,20 @@ def cdc_route(t: SampleTables) -> DataFrame:
     )
 
 
+@query
+def cdc_route_versions(t: SampleTables) -> DataFrame:
+    """Rules that change midway: user updates go to a narrower table later, orders to none in the end."""
+    later = t.spark.createDataFrame(
+        [("user_info", "update", "hbase", "dim_user_short", "id,name", None, None, 500),
+         ("order_info", "insert", None, None, None, None, None, 3000)],
+        ROUTING_RULE,
+    )
+    found = routing.route_at(cdc.normalise(t.cdc_records()), t.routing_rules().unionByName(later))
+    return found.select(
+        "table", "operation", "seq", "sink_table", F.when(F.col("sink_table").isNotNull(), F.size("after")).alias("fields")
+    )
+
+
 @query
 def cdc_facts(t: SampleTables) -> DataFrame:
     return routing.facts(routed(t))

@@ -63,6 +63,20 @@ def test_routing(spark, rows):
     assert rows(routing.rejected(routed), "seq") == [(3,), (5,), (7,)]
 
 
+def test_a_replay_routes_as_the_first_run(spark, rows):
+    snapshot = [("user", "insert", "hbase", "dim_a", "id", None, None, None)]
+    later = [("user", "insert", "hbase", "dim_b", "id,name", None, None, 10), ("user", "insert", None, None, None, None, None, 20)]
+    early = changes(spark, change("user", "insert", 3, id="1", name="x"), change("user", "insert", 9, id="2", name="y"))
+    late = changes(spark, change("user", "insert", 10, id="3", name="z"), change("user", "insert", 20, id="4", name="w"))
+    first = routing.route_at(early, spark.createDataFrame(snapshot, ROUTING_RULE))
+    everything = spark.createDataFrame(snapshot + later, ROUTING_RULE)
+    again = routing.route_at(early.unionByName(late), everything)
+    assert rows(first, "seq", "sink_table") == [(3, "dim_a"), (9, "dim_a")]
+    assert rows(again, "seq", "sink_table") == [(10, "dim_b"), (20, None), (3, "dim_a"), (9, "dim_a")]
+    assert {r.seq: len(r.after) for r in again.collect()} == {3: 1, 9: 1, 10: 2, 20: 2}
+    assert rows(routing.rejected(again), "seq") == [(20,)]
+
+
 def test_table_layout_from_rules(spark, rows):
     schema = routing.table_schema("code,name", "code")
     assert [(f.name, f.dataType.simpleString(), f.nullable) for f in schema] == [

@@ -9,7 +9,7 @@ from tradewind.operators.enrichment import enrich
 from tradewind.operators.visits import bounces, daily_unique
 from tradewind.operators.windows import tumble, tumble_distinct, with_watermark
 from tradewind.plans import log_split, order_wide, reports
-from tradewind.schemas import CDC_CHANGE, LOG_LINE, PAGE_LOG, ROUTING_RULE
+from tradewind.schemas import CDC_CHANGE, LOG_LINE, ORDER_DETAIL, ORDER_INFO, PAGE_LOG, ROUTING_RULE
 from tradewind.sources import tables
 from tradewind.streaming import jobs, sinks, stateful
 
@@ -221,6 +221,30 @@ def test_a_new_checkpoint_leaves_the_rows_of_the_old_one(spark, tmp_path, kind):
     assert read.count() == 2
 
 
+def test_a_running_job_sees_a_dimension_change(spark, rows, tmp_path):
+    name = {1: "Old", 2: "New"}
+    table = lambda columns, *data: spark.createDataFrame(list(data), ", ".join(f"{c} STRING" for c in columns.split()))
+
+    def dims():
+        return {
+            "users": table("id gender birthday", ("7", "F", "1990-01-01")),
+            "provinces": table("id name area_code iso_code iso_3166_2", ("1", name[number], "a", "i", "j")),
+            "sku": table("id sku_name price spu_id tm_id category3_id"), "spu": table("id spu_name"),
+            "trademark": table("id tm_name"), "category3": table("id name"),
+        }
+
+    orders, details = (Feed(spark, tmp_path / name, schema) for name, schema in (("o", ORDER_INFO), ("d", ORDER_DETAIL)))
+    for number in (1, 2):
+        at = f"2024-01-01 00:0{number}:00"
+        orders.add({"id": number, "province_id": 1, "user_id": 7, "create_time": at})
+        details.add({"id": number * 10, "order_id": number, "sku_id": 5, "create_time": at})
+        query = jobs.wide_orders_by_batch(orders.stream(), details.stream(), dims, "2024-01-31", str(tmp_path / "wide"), once=True)
+        query.awaitTermination()
+    text = spark.read.text(f"{tmp_path}/wide/rows/batch=*")
+    got = text.select(*[F.get_json_object("value", f"$.{c}").alias(c) for c in ("order_id", "province_name", "user_gender")])
+    assert rows(got) == [("1", "Old", "F"), ("2", "New", "F")]
+
+
 def test_late_rows_come_out_on_their_own(spark, rows, tmp_path):
     feed = Feed(spark, tmp_path / "in", "ts BIGINT, name STRING")
     feed.add({"ts": 1_000, "name": "a"}, {"ts": 9_000, "name": "b"})

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,31 +26,55 @@ def keep_listed(row: Column, columns: Column) -> Column:
     return F.map_filter(row, lambda key, _: F.array_contains(wanted, key))
 
 
-def route(changes: DataFrame, rules: DataFrame) -> DataFrame:
-    """Match each change that is not a delete with its rule.
+def rule_versions(rules: DataFrame) -> DataFrame:
+    """Every rule with the range of change numbers it holds for: from its own ``seq`` to the next one's.
 
-    Adds ``sink_type``, ``sink_table``, ``sink_pk`` and cuts ``after`` to the listed columns. A
-    change without a rule keeps nulls there (see ``rejected``). Changes have few distinct tables and
-    operations; where the rules are not small enough for Spark to broadcast, adaptive execution splits
-    the partitions these pile up in.
+    A rule without ``seq`` belongs to the first snapshot and holds from the beginning; a version without
+    a ``sink_table`` ends the rule. Of versions with one ``seq`` the largest by its columns counts.
     """
+    body = F.struct("sink_type", "sink_table", "sink_columns", "sink_pk", "sink_extend")
+    one = rules.groupBy("source_table", "operate_type", F.col("seq").alias("valid_from")).agg(F.max(body).alias("rule"))
+    following = Window.partitionBy("source_table", "operate_type").orderBy(F.asc_nulls_first("valid_from"))
+    ranged = one.withColumn("valid_to", F.lead("valid_from").over(following))
+    return ranged.select("source_table", "operate_type", "valid_from", "valid_to", "rule.*")
+
+
+def _routed(changes: DataFrame, rules: DataFrame, holds: Column) -> DataFrame:
     live = changes.filter(~F.col("operation").eqNullSafe("delete"))
-    matched = live.join(
-        latest_rules(rules),
-        (live["table"] == F.col("source_table")) & (live["operation"] == F.col("operate_type")),
-        "left",
-    )
-    return matched.select(
+    same = (live["table"] == F.col("source_table")) & (live["operation"] == F.col("operate_type"))
+    cut = keep_listed(F.col("after"), F.col("sink_columns"))
+    return live.join(rules, same & holds, "left").select(
         *[c for c in changes.columns if c != "after"],
-        F.when(F.col("sink_columns").isNull(), F.col("after"))
-        .otherwise(keep_listed(F.col("after"), F.col("sink_columns")))
-        .alias("after"),
+        F.when(F.col("sink_columns").isNull() | F.col("sink_table").isNull(), F.col("after")).otherwise(cut).alias("after"),
         "sink_type",
         "sink_table",
         F.coalesce("sink_pk", F.lit(DEFAULT_KEY)).alias("sink_pk"),
     )
 
 
+def route(changes: DataFrame, rules: DataFrame) -> DataFrame:
+    """Match each change that is not a delete with its rule, the one in force now.
+
+    Adds ``sink_type``, ``sink_table``, ``sink_pk`` and cuts ``after`` to the listed columns. A
+    change without a rule keeps nulls there (see ``rejected``). Changes have few distinct tables and
+    operations; where the rules are not small enough for Spark to broadcast, adaptive execution splits
+    the partitions these pile up in.
+    """
+    return _routed(changes, latest_rules(rules), F.lit(True))
+
+
+def route_at(changes: DataFrame, rules: DataFrame) -> DataFrame:
+    """As ``route``, with the rule that was in force at the number (``seq``) of each change.
+
+    Rules and changes are numbered by one clock. A replay with more rules than the first run had routes
+    the old changes as the first run did.
+    """
+    holds = (F.col("valid_from").isNull() | (changes["seq"] >= F.col("valid_from"))) & (
+        F.col("valid_to").isNull() | (changes["seq"] < F.col("valid_to"))
+    )
+    return _routed(changes, rule_versions(rules), holds)
+
+
 def facts(routed: DataFrame) -> DataFrame:
     """Changes for a stream topic; the payload is ``after`` as JSON text."""
     return routed.filter(F.col("sink_type") == STREAM_SINK).select(

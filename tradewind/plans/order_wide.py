@@ -104,6 +104,14 @@ def order_wide(
     delay: str = DELAY,
 ) -> DataFrame:
     facts = order_facts(orders, details, lower, upper, delay)
+    return with_dimensions(facts, users, provinces, sku, spu, trademark, category3, as_of)
+
+
+def with_dimensions(
+    facts: DataFrame, users: DataFrame, provinces: DataFrame, sku: DataFrame, spu: DataFrame, trademark: DataFrame,
+    category3: DataFrame, as_of: Column | str,
+) -> DataFrame:
+    """Order facts with all six dimensions."""
     wide = with_province(with_user(facts, users, as_of), provinces)
     wide = with_product(wide, product_dim(sku, spu, trademark, category3))
     return wide.select(*ORDER_WIDE_COLUMNS, ORDER_TIME)

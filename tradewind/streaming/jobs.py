@@ -78,6 +78,28 @@ def wide_orders(orders: DataFrame, details: DataFrame, *dims: DataFrame, as_of:
     return _job(wide, path, sinks.json_writer, once)
 
 
+def wide_orders_by_batch(
+    orders: DataFrame, details: DataFrame, load_dims: Callable[[], dict[str, DataFrame]], as_of: str, path: str, once: bool = False
+) -> StreamingQuery:
+    """As ``wide_orders``, with dimensions that change while the job runs.
+
+    Only the interval join is a stream; each batch of joined rows looks its dimensions up in what
+    ``load_dims`` reads at that moment (by name: users, provinces, sku, spu, trademark, category3), for
+    instance from a keyed table that another job writes.
+    """
+
+    def writer(out: str) -> sinks.BatchWriter:
+        store = sinks.json_writer(out)
+
+        def write(batch: DataFrame, number: int) -> None:
+            wide = order_wide.with_dimensions(batch, as_of=as_of, **load_dims())
+            store(wide.drop(order_wide.ORDER_TIME), number)
+
+        return write
+
+    return _job(order_wide.order_facts(orders, details), path, writer, once)
+
+
 def wide_payments(payments: DataFrame, wide: DataFrame, path: str, delay: str = "10 seconds", once: bool = False) -> StreamingQuery:
     """Payments with stored order rows; ``delay`` covers how late an order row can be written."""
     paid = order_wide.payment_wide(payments, wide, delay=delay).drop(order_wide.PAYMENT_TIME)
@@ -85,10 +107,11 @@ def wide_payments(payments: DataFrame, wide: DataFrame, path: str, delay: str =
 
 
 def route_changes(
-    changes: DataFrame, load_rules: Callable[[], DataFrame], path: str, dims: sinks.KeyedTable, create=None, once: bool = False
+    changes: DataFrame, load_rules: Callable[[], DataFrame], path: str, dims: sinks.KeyedTable, create=None,
+    versioned: bool = False, once: bool = False,
 ) -> StreamingQuery:
-    """Row changes split by the rules of each batch: facts by topic, rejects, dimension rows."""
-    return _job(changes, path, lambda out: sinks.route_writer(load_rules, out, dims, create), once)
+    """Row changes split by the rules of each batch or change: facts by topic, rejects, dimension rows."""
+    return _job(changes, path, lambda out: sinks.route_writer(load_rules, out, dims, create, versioned), once)
 
 
 def without_late(rows: DataFrame, path: str, ms: str = "ts", delay: str = "1 second", once: bool = False) -> StreamingQuery:

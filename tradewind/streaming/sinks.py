@@ -174,10 +174,11 @@ class KeyedTable:
 
 
 def route_writer(
-    load_rules: Callable[[], DataFrame], path: str, dims: KeyedTable, create: Callable[[Row], None] | None = None
+    load_rules: Callable[[], DataFrame], path: str, dims: KeyedTable, create: Callable[[Row], None] | None = None,
+    versioned: bool = False,
 ) -> BatchWriter:
-    """Route a batch of changes by the rules of the moment: facts, rejects, and dimension rows merged
-    into one keyed table (``sink_table``, ``id``).
+    """Route a batch of changes by the rules of the moment (``versioned``: of the moment of each change):
+    facts, rejects, and dimension rows merged into one keyed table (``sink_table``, ``id``).
 
     ``create`` is called for every keyed-table rule that this writer has not met before its first rows
     are written (see ``catalog_table``). Rules are few: those in force are looked through at the driver.
@@ -192,7 +193,7 @@ def route_writer(
                     create(rule)
                     met.add(rule)
         folder = batch_folder(batch, batch_id)
-        routed = routing.route(batch, rules).persist()
+        routed = (routing.route_at if versioned else routing.route)(batch, rules).persist()
         try:
             routing.facts(routed).write.mode("overwrite").partitionBy("topic").parquet(f"{path}/facts/{folder}")
             routing.rejected(routed).write.mode("overwrite").parquet(f"{path}/rejects/{folder}")
