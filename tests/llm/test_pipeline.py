@@ -41,4 +41,4 @@ def test_all_queries_are_registered():
 
     names = set(registered())
     assert {name for name in queries.QUERIES} <= names
-    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES if n.startswith("op")} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES if n.startswith("op")} == set(range(1, 14))
