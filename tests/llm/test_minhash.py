@@ -66,6 +66,21 @@ def test_equals_brute_force(documents, rows, size):
     assert got == sorted(brute(table, size), key=repr)
 
 
+def test_bands_of_many_blocks(documents, rows, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 5)
+    table = list(enumerate(near_copies(5, 70, 60, 9)))
+    got = rows(minhash.near_duplicates(documents(table), shingle=2))
+    assert got == sorted(brute(table, 2), key=repr)
+
+
+def test_spanning_joins_all_that_links_reach():
+    draw = np.random.default_rng(6)
+    a, b = draw.integers(0, 200, (2, 120))
+    label = minhash.spanning(200, a, b)
+    assert (label[a] == label[b]).all() and (label[label] == label).all()
+    assert minhash.spanning(61, np.arange(60), np.arange(1, 61)).max() == 0
+
+
 def test_copies_and_repeated_rows(documents, rows):
     table = [(i, "the same text in every one of these rows") for i in range(50)] + [(7, "the same text in every one of these rows")]
     got = rows(minhash.near_duplicates(documents(table), shingle=2))

@@ -13,11 +13,12 @@ Steps:
    probability (uniform prior) that the similarity reaches the threshold is a binomial tail, and the
    pair is dropped as soon as that is below ``miss``;
 4. survivors are verified on their full sets;
-5. candidates come in three rounds, so that no round lists the pairs of a large group. First every
-   member meets one other, the smallest member of most of its bands. Then each member visits the
-   largest component that shares a band with it, then all that still do, always from the smaller
-   component to the larger one. A visit compares the member with the whole component, block by block,
-   and ends in one link at most;
+5. no round lists the pairs of a large group. First every member meets one other, the hub of most of
+   its bands: of a band's members the one that shares most bands with others, which is near the middle
+   of its group. Then the members of each band that are in different components by then meet in blocks
+   of at most ``BLOCK``: all but those of the band's largest component with each other and with the
+   blocks of that component. A meeting is one small piece of work, whatever the size of the band, and
+   gives no more links than it has members;
 6. components of the links, spread over the classes.
 
 Empty and null texts have the empty set and are linked with nothing. A null ``doc_id`` is never
@@ -35,21 +36,22 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm.links import components, joined_by
 from tradewind.llm.storage import stored
-from tradewind.llm.texts import Numbers, joined, mixed, ranges, slices, utf8
+from tradewind.llm.texts import Numbers, joined, mixed, slices, utf8
 
 BANDS, ROWS = 40, 5
 BATCH = 32
 CACHED = 1 << 15
-BLOCK = 128
+BLOCK = 512
 FIRST_MINIMA = 64
-PAIRS_AT_ONCE = 1 << 16
 MEMBERS_AT_ONCE = 1 << 13
 MISS = 1e-9
+_MET = "band long, lo int, hi int, block int, id long, component long, n long"
+_MET_NAMES = ["band", "lo", "hi", "block", "id", "component", "n"]
 _FIRST = np.uint64(0x9E3779B97F4A7C15)
 _OTHER = np.uint64(0xD1B54A32D192ED03)
 
@@ -220,56 +222,92 @@ def _pruned_and_verified(percent: int, miss: float):
     return test
 
 
-def _surviving_visits(column: str, percent: int, miss: float):
-    """Visits of which a pair survives: (component, block, visitor)."""
+def meetings(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each meeting (band, lo, hi), from rows sorted by it."""
+    held = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = rows if held is None else pa.concat_tables([held, rows])
+        keys = np.column_stack([rows.column(name).to_numpy() for name in ("band", "lo", "hi")])
+        starts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist()]
+        for start, stop in zip(starts[:-1], starts[1:], strict=True):
+            yield rows.slice(start, stop - start)
+        held = rows.slice(starts[-1])
+    if held is not None and held.num_rows:
+        yield held
+
+
+def _sides(rows: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Who meets whom: the rows of either side and which pairs of them are open (of unlike components)."""
+    lo, hi = rows.column("lo")[0].as_py(), rows.column("hi")[0].as_py()
+    block = rows.column("block").to_numpy()
+    left, right = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
+    component, n = rows.column("component").to_numpy(), rows.column("n").to_numpy()
+    least, most = (f(n[left][:, None], n[right][None, :]) for f in (np.minimum, np.maximum))
+    is_open = (component[left][:, None] != component[right][None, :]) & (100 * least >= percent * most)
+    if lo == hi:
+        is_open &= left[:, None] < right[None, :]
+    return left, right, is_open
+
+
+def surviving(a: np.ndarray, b: np.ndarray, is_open: np.ndarray, similarity: float, miss: float) -> tuple[np.ndarray, np.ndarray]:
+    """Which rows of ``a`` and of ``b`` (signatures) have an open pair that no batch of minima rules out."""
+    i, j = np.flatnonzero(is_open.any(axis=1)), np.flatnonzero(is_open.any(axis=0))
+    is_open, equal = is_open[np.ix_(i, j)], np.zeros((len(i), len(j)), np.uint16)
+    for start in range(0, a.shape[1], BATCH):
+        stop = min(start + BATCH, a.shape[1])
+        for k in range(start, stop):
+            equal += a[i, k][:, None] == b[j, k][None, :]
+        is_open &= equal >= least_equal(stop, similarity, miss)
+        x, y = is_open.any(axis=1), is_open.any(axis=0)
+        i, j, is_open, equal = i[x], j[y], is_open[np.ix_(x, y)], equal[np.ix_(x, y)]
+        if not len(i):
+            break
+    return i, j
+
+
+def _survivors(column: str, percent: int, miss: float):
+    """The rows of a meeting of which a pair survives."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            visitors, members = batch.column("visitors"), batch.column("members")
-            v_count, m_count = visitors.value_lengths().to_numpy(), members.value_lengths().to_numpy()
-            v_sign, m_sign = (
-                np.frombuffer(b"".join(x.flatten().field(column).to_pylist()), np.uint32) for x in (visitors, members)
-            )
-            ids = visitors.flatten().field("id").to_numpy()
-            v_sign, m_sign = v_sign.reshape(len(ids), -1), m_sign.reshape(int(m_count.sum()), -1)
-            # All pairs of a row: each of its visitors with each of its members.
-            row = np.repeat(np.arange(batch.num_rows), v_count)
-            m_first = (np.cumsum(m_count) - m_count)[row]
-            alive = np.zeros(len(ids), bool)
-            ends = np.cumsum(m_count[row])
-            first = 0
-            while first < len(ids):
-                before = ends[first - 1] if first else 0
-                last = max(first + 1, int(np.searchsorted(ends, before + PAIRS_AT_ONCE, side="right")))
-                count = m_count[row[first:last]]
-                visitor = np.repeat(np.arange(first, last), count)
-                member = ranges(m_first[first:last], count)
-                alive[visitor[survives(v_sign[visitor], m_sign[member], percent / 100, miss)]] = True
-                first = last
-            kept = np.flatnonzero(alive)
-            at = pa.array(row[kept])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("component").take(at), batch.column("block").take(at), pa.array(ids[kept])],
-                names=["component", "block", "id"],
-            )
+        for rows in meetings(batches):
+            left, right, is_open = _sides(rows, percent)
+            signs = np.frombuffer(b"".join(rows.column(column).to_pylist()), np.uint32).reshape(rows.num_rows, -1)
+            i, j = surviving(signs[left], signs[right], is_open, percent / 100, miss)
+            if len(i):
+                kept = np.union1d(left[i], right[j])
+                yield from rows.select(_MET_NAMES).take(pa.array(kept)).combine_chunks().to_batches()
 
     return run
 
 
-def _verified_visits(percent: int):
-    """One link of each visitor that is similar to a member of the block."""
+def spanning(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest of ``n`` nodes that each one reaches by the links ``a``, ``b``."""
+    label = np.arange(n)
+    while True:
+        low, moved = np.minimum(label[a], label[b]), label.copy()
+        np.minimum.at(moved, a, low)
+        np.minimum.at(moved, b, low)
+        moved = moved[moved]
+        if (moved == label).all():
+            return label
+        label = moved
+
+
+def _verified(percent: int):
+    """Links between the members of a meeting that are similar, no more than it has members."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            links = []
-            for row in range(batch.num_rows):
-                visitors, members = batch.column("visitors")[row].as_py(), batch.column("members")[row].as_py()
-                left, right = ([np.frombuffer(x["own"], np.uint64) for x in side] for side in (visitors, members))
-                found = similar(left, right, percent)
-                for i in np.flatnonzero(found.any(axis=1)).tolist():
-                    links.append((members[int(found[i].argmax())]["id"], visitors[i]["id"]))
-            a, b = zip(*links, strict=True) if links else ((), ())
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        for rows in meetings(batches):
+            left, right, is_open = _sides(rows, percent)
+            sets = [np.frombuffer(x, np.uint64) for x in rows.column("own").to_pylist()]
+            found = is_open & similar([sets[x] for x in left], [sets[x] for x in right], percent)
+            i, j = np.nonzero(found)
+            if len(i):
+                label = spanning(rows.num_rows, left[i], right[j])
+                linked = np.flatnonzero(label != np.arange(len(label)))
+                ids = rows.column("id").to_numpy()
+                yield pa.RecordBatch.from_arrays([pa.array(ids[label[linked]]), pa.array(ids[linked])], names=["a", "b"])
 
     return run
 
@@ -296,13 +334,17 @@ class NearDuplicates:
             "members",
         )
         keys = self.members.select("id", "n", F.explode("bands").alias("band"))
-        hubs = keys.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("hub"))
-        #: Members of bands with several members, and the smallest member of the band.
-        self.shared = stored(keys.join(hubs.filter("size > 1").select("band", "hub"), "band"), "shared")
+        sizes = keys.groupBy("band").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+        #: Members of bands with several members.
+        self.shared = stored(keys.join(sizes, "band"), "shared")
 
     def _active(self) -> DataFrame:
         """Signature and set of the members that share a band, with the hub of most of their bands."""
-        votes = self.shared.groupBy("id", "hub").agg(F.count(F.lit(1)).alias("votes"))
+        degrees = self.shared.groupBy("id").agg(F.sum("size").alias("degree"))
+        middle = F.max(F.struct("degree", (-F.col("id")).alias("minus_id")))
+        hubs = self.shared.join(degrees, "id").groupBy("band").agg(middle.alias("middle"))
+        hubs = hubs.select("band", (-F.col("middle.minus_id")).alias("hub"))
+        votes = self.shared.select("id", "band").join(hubs, "band").groupBy("id", "hub").agg(F.count(F.lit(1)).alias("votes"))
         rank = F.when(F.col("hub") != F.col("id"), F.struct("votes", (-F.col("hub")).alias("minus_hub")))
         chosen = votes.groupBy("id").agg(F.max(rank).alias("best")).select("id", (-F.col("best.minus_hub")).alias("hub"))
         hubs = chosen.select(F.col("hub").alias("id")).distinct().withColumn("is_hub", F.lit(True))
@@ -320,64 +362,41 @@ class NearDuplicates:
         pairs = active.filter("hub IS NOT NULL").join(hubs, F.col("hub") == F.col("a"))
         return pairs.filter(test("a_signature", "signature", "a_own", "own")).select("a", F.col("id").alias("b"))
 
-    def _apart(self, known: DataFrame) -> DataFrame:
-        """The members of bands that hold several components, with their component and its size."""
+    def _to_meet(self, known: DataFrame) -> DataFrame:
+        """A row per member and meeting, of all bands that hold several components."""
         cells = self.shared.select("id", "n", "band").join(known, "id")
-        bands = cells.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        return stored(cells.join(bands.filter("lo <> hi").select("band"), "band"), "apart")
-
-    def _visits(self, apart: DataFrame, largest: bool) -> DataFrame:
-        """(component, size, id) of members to compare with components they share a band with.
-
-        The smaller component's members visit the larger one; with ``largest``, only the largest that
-        they share a band with.
-        """
-        there = apart.groupBy(F.col("band").alias("of_band"), F.col("component").alias("visited")).agg(
-            F.max("size").alias("visited_size"), F.min("n").alias("least_n"), F.max("n").alias("most_n")
+        counts = cells.groupBy("band", "component").agg(F.count(F.lit(1)).alias("size"))
+        bands = counts.groupBy("band").agg(F.max(F.struct("size", "component")).alias("most"), F.sum("size").alias("all"))
+        bands = bands.filter("all > most.size").select(
+            "band",
+            F.col("most.component").alias("largest"),
+            F.ceil((F.col("all") - F.col("most.size")) / BLOCK).cast("int").alias("others"),
+            F.ceil(F.col("most.size") / BLOCK).cast("int").alias("inside"),
         )
-        fit = (F.col("n") * 100 >= F.col("least_n") * self.percent) & (F.col("most_n") * 100 >= F.col("n") * self.percent)
-        smaller = F.struct("size", "component") < F.struct(F.col("visited_size").alias("size"), F.col("visited").alias("component"))
-        visits = apart.join(there, (F.col("band") == F.col("of_band")) & smaller & fit)
-        visits = visits.select(F.col("visited").alias("component"), F.col("visited_size").alias("size"), "id").distinct()
-        if not largest:
-            return visits
-        return visits.groupBy("id").agg(F.max(F.struct("size", "component")).alias("to")).select("to.component", "to.size", "id")
-
-    def _met(self, visits: DataFrame, members: DataFrame, column: str) -> DataFrame:
-        """Blocks of components with a chunk of their visitors, both with ``column`` of the members."""
-        chunk = F.pmod(F.xxhash64("id"), F.greatest(F.lit(1), F.ceil(F.col("times") / BLOCK))).cast("int")
-        times = visits.groupBy("component", "block").agg(F.count(F.lit(1)).alias("times"))
-        own = members.select("id", column)
-        side = F.collect_list(F.struct("id", column))
-        visitors = visits.join(own, "id").join(times, ["component", "block"]).withColumn("chunk", chunk)
-        visitors = visitors.groupBy("component", "block", "chunk").agg(side.alias("visitors"))
-        visited = members.join(times.select("component", "block"), ["component", "block"], "left_semi")
-        visited = visited.groupBy("component", "block").agg(side.alias("members"))
-        return visitors.join(visited, ["component", "block"])
-
-    def _visited(self, active: DataFrame, known: DataFrame, largest: bool) -> DataFrame | None:
-        """Links found by visits between the components so far; None if no band holds several."""
-        sizes = known.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-        known = stored(known.join(sizes, "component"), "sized")
-        apart = self._apart(known)
-        if apart.isEmpty():
-            return None
-        blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-        visits = self._visits(apart, largest)
-        every_block = F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block")
-        visits = stored(visits.select("component", "id", every_block), "visits")
-        block = F.pmod(F.xxhash64("id"), blocks).alias("block")
-        members = active.join(known.select("id", "component", block), "id")
-        members = members.withColumn("first", F.substring("signature", 1, 4 * FIRST_MINIMA))
-        # Most visits end at the first minima, so those travel first.
-        for column in ("first", "signature"):
-            met = self._met(visits, members, column)
-            test = _surviving_visits(column, self.percent, self.miss)
-            visits = stored(met.mapInArrow(test, "component long, block int, id long"), "alive")
-            if visits.isEmpty():
-                return visits.select(F.col("component").alias("a"), F.col("id").alias("b"))
-        met = self._met(visits, members, "own")
-        return stored(met.mapInArrow(_verified_visits(self.percent), "a long, b long"), "visit_links")
+        # Blocks 0 to others - 1, then those of the largest component, which do not meet each other.
+        is_inside = F.col("component") == F.col("largest")
+        dealt = F.xxhash64("id")
+        block = F.when(is_inside, F.col("others") + F.pmod(dealt, "inside")).otherwise(F.pmod(dealt, "others")).cast("int")
+        last = F.when(is_inside, F.col("others")).otherwise(F.col("others") + F.col("inside")) - 1
+        met = cells.join(bands, "band").withColumn("block", block)
+        met = met.withColumn("other", F.explode(F.sequence(F.lit(0), last.cast("int"))))
+        lo, hi = F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi")
+        return met.select("band", lo, hi, "block", "id", "component", "n")
+
+    def _meeting(self, to_meet: DataFrame, active: DataFrame, column: str, shown: Column) -> DataFrame:
+        """The rows with a column of their members, sorted by meeting."""
+        key = ["band", "lo", "hi"]
+        return to_meet.join(active.select("id", shown.alias(column)), "id").repartition(*key).sortWithinPartitions(*key)
+
+    def _met(self, active: DataFrame, known: DataFrame) -> DataFrame:
+        """Links between members of one band that are in different components so far."""
+        to_meet = stored(self._to_meet(known), "to_meet")
+        # Most pairs end at the first minima, so those travel first.
+        for column, shown in (("first", F.substring("signature", 1, 4 * FIRST_MINIMA)), ("signature", F.col("signature"))):
+            test = _survivors(column, self.percent, self.miss)
+            to_meet = stored(self._meeting(to_meet, active, column, shown).mapInArrow(test, _MET), "surviving")
+        met = self._meeting(to_meet, active, "own", F.col("own"))
+        return stored(met.mapInArrow(_verified(self.percent), "a long, b long"), "met_links")
 
     def linked(self) -> DataFrame:
         """``id, component`` of the members that share a band with any other."""
@@ -385,13 +404,7 @@ class NearDuplicates:
         hubs = components(self._with_hub(active))
         known = active.select("id").distinct().join(hubs, "id", "left")
         known = stored(known.select("id", F.coalesce("component", "id").alias("component")), "known")
-        for largest in (True, False):
-            found = self._visited(active, known, largest)
-            if found is None:
-                break
-            if not found.isEmpty():
-                known = stored(joined_by(known, found), "known")
-        return known
+        return joined_by(known, self._met(active, known))
 
     def labelled(self) -> DataFrame:
         """``doc_id, n_shingles, component_id, kept`` of every document."""
