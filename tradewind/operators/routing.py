@@ -43,7 +43,7 @@ def _routed(changes: DataFrame, rules: DataFrame, holds: Column) -> DataFrame:
     live = changes.filter(~F.col("operation").eqNullSafe("delete"))
     same = (live["table"] == F.col("source_table")) & (live["operation"] == F.col("operate_type"))
     cut = keep_listed(F.col("after"), F.col("sink_columns"))
-    return live.join(rules, same & holds, "left").select(
+    return live.join(F.broadcast(rules), same & holds, "left").select(
         *[c for c in changes.columns if c != "after"],
         F.when(F.col("sink_columns").isNull() | F.col("sink_table").isNull(), F.col("after")).otherwise(cut).alias("after"),
         "sink_type",
@@ -57,8 +57,8 @@ def route(changes: DataFrame, rules: DataFrame) -> DataFrame:
 
     Adds ``sink_type``, ``sink_table``, ``sink_pk`` and cuts ``after`` to the listed columns. A
     change without a rule keeps nulls there (see ``rejected``). Changes have few distinct tables and
-    operations; where the rules are not small enough for Spark to broadcast, adaptive execution splits
-    the partitions these pile up in.
+    operations, on which they would pile up in a shuffle, so the rules go to the changes: they are few,
+    but Spark does not know the size of rows handed in from Python.
     """
     return _routed(changes, latest_rules(rules), F.lit(True))
 
