@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -18,74 +20,107 @@ from tradewind.operators.visits import is_entry
 
 SLICES_PER_WINDOW = 6
 _HEAD = "mid STRING, seq BIGINT, ts BIGINT, is_new STRING, value STRING"
-_CANDIDATE = "?"
+CANDIDATE = "?"
+HELD = 20_000
 _HEAD_COLUMNS = ["mid", "seq", "ts", "is_new", "value"]
 
 
 class NewFlagRepair(StatefulProcessor):
-    """Remembers that a visitor was seen as new; optional expiry bounds the state.
+    """Remembers per visitor of a bucket that they were seen as new; optional expiry bounds the state.
 
-    The first rows of a key come out as ``first``, all others as ``rest``.
+    Of the candidates (``is_new`` as ``CANDIDATE``) the earliest of a visitor not met before comes out as
+    new, the others as not. Visitors are looked up one by one, but the rows go through in chunks.
     """
 
-    def __init__(self, first: str, rest: str, ttl_ms: int | None = None):
-        self.first, self.rest, self.ttl_ms = first, rest, ttl_ms
+    def __init__(self, ttl_ms: int | None = None):
+        self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", "first_ts BIGINT", self.ttl_ms)
+        self.seen = handle.getMapState("visitors", "mid STRING", "first_ts BIGINT", self.ttl_ms)
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        self.seen.update((-1,))
+        for mid in initialState["mid"]:
+            self.seen.updateValue(_visitor(mid), (-1,))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        known = self.seen.exists()
-        held = None  # earliest row so far; everything else can go on at once
+        known: dict[tuple, bool] = {}
+        held = None  # the earliest row so far of each visitor not met before
         for chunk in rows:
             chunk = chunk[_HEAD_COLUMNS]
-            if not known:
-                if held is not None:
-                    chunk = pd.concat([held, chunk], ignore_index=True)
-                first = chunk.sort_values(["ts", "seq"], kind="stable").index[0]
-                held, chunk = chunk.loc[[first]], chunk.drop(index=first)
+            for visitor in map(_visitor, chunk["mid"].unique()):
+                if visitor not in known:
+                    known[visitor] = self.seen.containsKey(visitor)
+            old = chunk["mid"].map(lambda mid: known[_visitor(mid)]).astype(bool)
+            if held is not None:
+                chunk = pd.concat([held, chunk], ignore_index=True)
+                old = pd.concat([pd.Series(False, index=range(len(held))), old], ignore_index=True)
+            order = chunk[~old].sort_values(["ts", "seq"], kind="stable")
+            first = order.index[~order["mid"].duplicated()]
+            held, chunk = chunk.loc[first], chunk.drop(index=first)
             if len(chunk):
-                yield chunk.assign(is_new=self.rest)
-        if held is not None:
-            self.seen.update((int(held["ts"].iloc[0]),))
-            yield held.assign(is_new=self.first)
+                yield chunk.assign(is_new="0")
+        if held is not None and len(held):
+            for mid, ts in zip(held["mid"], held["ts"], strict=True):
+                self.seen.updateValue(_visitor(mid), (None if pd.isna(ts) else int(ts),))
+            yield held.assign(is_new="1")
 
     def close(self) -> None:
         pass
 
 
-def _first_of(rows: DataFrame, keys: list[str], processor: NewFlagRepair, initial: DataFrame | None = None) -> DataFrame:
-    return rows.groupBy(*keys).transformWithStateInPandas(
-        processor, outputStructType=_HEAD, outputMode="Append",
-        timeMode="ProcessingTime" if processor.ttl_ms else "None",
-        initialState=None if initial is None else initial.groupBy(*keys),
-    )
+def _visitor(mid: str | None) -> tuple[str]:
+    """The state's key of a visitor; rows without one are a visitor, too."""
+    return ("",) if mid is None or mid != mid else (f"={mid}",)
+
+
+def _earliest_per_task(chunks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of the marked rows that a task has, at most ``HELD`` visitors at a time, the earliest of each visitor
+    as a candidate, all others as not new."""
+    held = None
+
+    def flagged(rows: pa.Table, flag: str) -> list[pa.RecordBatch]:
+        at = rows.schema.get_field_index("is_new")
+        return rows.set_column(at, rows.schema.field(at), pa.array([flag] * len(rows), pa.string())).to_batches()
+
+    for batch in chunks:
+        rows = pa.Table.from_batches([batch])
+        rows = rows if held is None else pa.concat_tables([held, rows])
+        keys = rows.select(["mid", "ts", "seq"]).to_pandas().sort_values(["ts", "seq"], kind="stable")
+        first = np.zeros(len(rows), dtype=bool)
+        first[keys.index[~keys["mid"].duplicated()]] = True
+        yield from flagged(rows.filter(pa.array(~first)), "0")
+        held = rows.filter(pa.array(first)).combine_chunks()
+        if len(held) > HELD:
+            yield from flagged(held, CANDIDATE)
+            held = None
+    if held is not None:
+        yield from flagged(held, CANDIDATE)
 
 
 def repair_new_flag_stream(
-    heads: DataFrame, ttl_ms: int | None = None, seen: DataFrame | None = None, salts: int = 16
+    heads: DataFrame, ttl_ms: int | None = None, seen: DataFrame | None = None, buckets: int = 1024
 ) -> DataFrame:
     """Streaming new-visitor repair over (seq, value, mid, is_new, ts) rows.
 
-    Only rows marked new pass through the keyed state; the others never touch it. They are first told
-    apart per (visitor, salt of the row), so that the rows of a hot visitor spread over ``salts`` groups
-    and one candidate of each goes on to the state of the visitor. Inside a micro-batch the earliest row
-    of a visitor is the first, across batches arrival order decides. ``seen`` holds the visitors of
-    earlier runs (``visits.seen_visitors``), none of whose rows is the first; it is taken over when the
-    checkpoint is new.
+    Only rows marked new are looked at. Each task first tells the earliest of a visitor among its rows
+    from the others, which are done with before anything is shuffled, so a hot visitor sends one candidate
+    a task; the candidates go to the state of their visitors, which lies in ``buckets`` maps. Inside a
+    micro-batch the earliest row of a visitor is the first, across batches arrival order decides. ``seen``
+    holds the visitors of earlier runs (``visits.seen_visitors``), none of whose rows is the first; it is
+    taken over when the checkpoint is new.
     """
-    rows = heads.select(*_HEAD_COLUMNS)
-    marked = rows.filter(F.col("is_new") == "1")
+    rows = heads.select(*[F.col(c).cast(kind).alias(c) for c, kind in (field.split() for field in _HEAD.split(", "))])
+    bucket = F.pmod(F.xxhash64("mid"), F.lit(buckets)).alias("bucket")
+    marked = rows.filter(F.col("is_new") == "1").mapInArrow(_earliest_per_task, _HEAD)
     others = rows.filter(~F.col("is_new").eqNullSafe("1"))
-    salted = marked.withColumn("salt", F.pmod(F.xxhash64("seq"), F.lit(salts)))
-    spread = _first_of(salted, ["mid", "salt"], NewFlagRepair(_CANDIDATE, "0", ttl_ms))
-    initial = None if seen is None else seen.select("mid").distinct()
-    candidates = spread.filter(F.col("is_new") == _CANDIDATE)
-    decided = _first_of(candidates, ["mid"], NewFlagRepair("1", "0", ttl_ms), initial)
-    return others.unionByName(spread.filter(F.col("is_new") != _CANDIDATE)).unionByName(decided)
+    initial = None if seen is None else seen.select("mid").distinct().select("mid", bucket).groupBy("bucket")
+    candidates = marked.filter(F.col("is_new") == CANDIDATE).select("*", bucket).groupBy("bucket")
+    decided = candidates.transformWithStateInPandas(
+        NewFlagRepair(ttl_ms), outputStructType=_HEAD, outputMode="Append",
+        timeMode="ProcessingTime" if ttl_ms else "None", initialState=initial,
+    )
+    done = marked.filter(F.col("is_new") != CANDIDATE)
+    return others.unionByName(done).unionByName(decided)
 
 
 class LateMarker(StatefulProcessor):
