@@ -166,3 +166,14 @@ def test_create_table_leaves_an_existing_one_alone(spark, tmp_path):
     spark.createDataFrame([("1", "a")], "id STRING, name STRING").write.mode("append").parquet(path)
     sinks.create_table(spark, path, "id,name")
     assert spark.read.parquet(path).count() == 1
+
+
+def test_changes_are_not_moved_to_meet_their_rules(spark):
+    """Without adaptive execution, as in a stream's batch: all changes of a table would meet in one task."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        routed = routing.route(changes(spark, change("user_info", "insert", 1, id="1")), rules(spark))
+        plan = routed._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
