@@ -2,10 +2,12 @@
 
 import json
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tradewind.operators.enrichment import enrich
+from tradewind.operators.intervals import interval_join
 from tradewind.operators.visits import bounces, daily_unique
 from tradewind.operators.windows import tumble, tumble_distinct, with_watermark
 from tradewind.plans import log_split, order_wide, reports
@@ -276,3 +278,48 @@ def test_files_round_trip(spark, tmp_path, kind):
     else:
         tables.write_csv(spark.createDataFrame([(1, "a,b")], "id BIGINT, v STRING"), path)
         assert tuple(tables.read_csv(spark, path, "id BIGINT, v STRING").first()) == (1, "a,b")
+
+
+def test_a_task_sends_one_candidate_of_a_hot_visitor(monkeypatch):
+    def chunk(*rows):
+        names = ["mid", "seq", "ts", "is_new", "value"]
+        return pa.RecordBatch.from_pylist([dict(zip(names, (*r, "1", "v"), strict=True)) for r in rows])
+
+    chunks = [chunk(("a", 1, 9), ("a", 2, 5), (None, 3, 4)), chunk(("a", 4, 5), (None, 5, 3), ("b", 6, 1))]
+
+    def found():
+        out = [r for batch in stateful._earliest_per_task(iter(chunks)) for r in batch.to_pylist()]
+        assert sorted(r["seq"] for r in out) == [1, 2, 3, 4, 5, 6]
+        return sorted(r["seq"] for r in out if r["is_new"] == stateful.CANDIDATE)
+
+    assert found() == [2, 5, 6]
+    monkeypatch.setattr(stateful, "HELD", 1)  # handed on earlier: more candidates, the state decides
+    assert found() == [2, 3, 4, 5, 6]
+
+
+def test_visitors_of_one_bucket_are_told_apart(spark, rows, tmp_path):
+    feed = Feed(spark, tmp_path / "in", "mid STRING, seq BIGINT, ts BIGINT, is_new STRING, value STRING")
+    head = lambda mid, seq, ts: {"mid": mid, "seq": seq, "ts": ts, "is_new": "1", "value": "v"}
+    feed.add(head("a", 1, 9), head("a", 2, 5), head(None, 3, 4), head("", 4, 4))
+    feed.add(head("a", 5, 1), head(None, 6, 1), head("b", 7, 3), head("b", 8, 2), head("c", 9, 1))
+    seen = spark.createDataFrame([("c",)], "mid STRING")
+    out = stateful.repair_new_flag_stream(feed.stream(), seen=seen, buckets=1)
+    run(out, tmp_path)
+    assert rows(result(spark, out, tmp_path).filter("is_new = '1'"), "seq") == [(2,), (3,), (4,), (8,)]
+
+
+def test_a_stream_opens_few_state_stores(spark, tmp_path, monkeypatch):
+    """One store per join partition, as many as the cores ask for; no batch after the last rows."""
+    monkeypatch.setattr(sinks, "STORES_PER_CORE", 0.5)
+    sides = []
+    for name in ("left", "right"):
+        feed = Feed(spark, tmp_path / name, f"{name} BIGINT, {name}_time TIMESTAMP")
+        feed.add({name: 1, f"{name}_time": "2024-01-01 00:00:00"})
+        sides.append(feed.stream().withWatermark(f"{name}_time", "0 seconds"))
+    joined = interval_join(*sides, "left", "right", "left_time", "right_time")
+    sinks.start(joined, f"{tmp_path}/job", sinks.json_writer(f"{tmp_path}/rows"), once=True, closes=False).awaitTermination()
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+    folders = [p for p in (tmp_path / "job" / "state" / "0").iterdir() if p.is_dir() and p.name.isdigit()]
+    assert len(folders) == 2 and not any((p / "left-keyToNumValues").exists() for p in folders)
+    assert len([p for p in (tmp_path / "job" / "commits").iterdir() if p.name.isdigit()]) == 1
+    assert list((tmp_path / "rows").glob("batch=*/*.gz")) and spark.read.text(f"{tmp_path}/rows/batch=*").count() == 1
