@@ -101,3 +101,26 @@ def test_nothing_is_forced_to_broadcast_and_no_job_runs_while_planning(spark):
     plan = product_dim(sku, spu, tm, cat)._jdf.queryExecution().analyzed().toString()
     assert "ResolvedHint" not in plan
     assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
+
+
+def test_wide_rows_are_not_shuffled_again(spark):
+    """The join of orders and details is the last step that moves rows: no exchange of its rows above it."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")
+    before = {key: spark.conf.get(key) for key in keys}
+    try:
+        spark.conf.set(keys[0], "-1")
+        spark.conf.set(keys[1], "false")
+        at = "2024-01-01 10:00:00"
+        wide = order_wide.order_wide(order(spark, (1, at)), detail(spark, (1, 1, 9, at)), *dims(spark), "2024-01-01")
+        payments = spark.createDataFrame([], PAYMENT_INFO)
+        plan = order_wide.payment_wide(payments, wide)._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    indent = lambda line: len(line) - len(line.lstrip(" :+-"))
+    join = next(i for i, line in enumerate(plan) if "SortMergeJoin" in line and "__detail_order" in line)
+    level = indent(plan[join])
+    for line in reversed(plan[:join]):
+        if indent(line) < level:
+            level = indent(line)
+            assert "Exchange" not in line, line
