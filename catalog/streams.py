@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from catalog import queries as q
 from tradewind.operators import visits
-from tradewind.plans import log_split, order_wide, product_stats, province_stats, sql_jobs, visitor_stats
-from tradewind.schemas import KEYWORD_STATS_COLUMNS
+from tradewind.plans import log_split, order_wide, product_stats, sql_jobs, visitor_stats
+from tradewind.schemas import KEYWORD_STATS_COLUMNS, PROVINCE_STATS_COLUMNS
 from tradewind.session import shared_dir
 from tradewind.sources import cdc, tables
 from tradewind.sources.sample_tables import EPOCH, PERIOD, SampleTables
@@ -145,16 +145,13 @@ def stream_keyword_cjk(t: SampleTables) -> DataFrame:
     return tables.read_stats(t.spark, f"{path}/counts/rows").select(*KEYWORD_STATS_COLUMNS)
 
 
-def _sql_job(t: SampleTables, name: str, rows: DataFrame, second: str, job) -> DataFrame:
+def _sql_job(t: SampleTables, name: str, rows: DataFrame, second: str, job, view: tuple[str, str], columns: list[str]) -> DataFrame:
     """A job of SQL text over JSON text, in three runs."""
     path = _new_dir(t.spark, name)
     lines = rows.select(F.to_json(F.struct(*rows.columns)).alias("value"), F.expr(second).alias("second"))
-    columns = []
 
     def run(s: dict[str, DataFrame]) -> None:
-        out = job(t.spark, s["lines"].select("value"))
-        columns[:] = out.columns
-        _run(t.spark, out, path, sinks.stats_writer(f"{path}/rows", out.columns))
+        jobs.sql_stats(sql_jobs.with_time(s["lines"], *view), job, path, columns, once=True).awaitTermination()
 
     _in_slices(t, {"lines": (lines, "second")}, f"{path}/in", run)
     return tables.read_stats(t.spark, f"{path}/rows").select(*columns)
@@ -162,14 +159,16 @@ def _sql_job(t: SampleTables, name: str, rows: DataFrame, second: str, job) -> D
 
 @q.query
 def sql_keyword_stats(t: SampleTables) -> DataFrame:
-    return _sql_job(t, "sql_keywords", t.search_pages(), "ts div 1000", sql_jobs.keyword_job)
+    view, columns = (sql_jobs.SEARCH_PAGES, sql_jobs.PAGE_TIME), KEYWORD_STATS_COLUMNS
+    return _sql_job(t, "sql_keywords", t.search_pages(), "ts div 1000", sql_jobs.keyword_job, view, columns)
 
 
 @q.query
 def sql_province_stats(t: SampleTables) -> DataFrame:
     wide = order_wide.with_province(q.order_facts(t), t.dim_province())
     rows = wide.selectExpr(*[c.split()[0] for c in sql_jobs.WIDE_ORDERS.split(", ")])
-    return _sql_job(t, "sql_provinces", rows, "unix_timestamp(create_time)", sql_jobs.province_job)
+    view, columns = (sql_jobs.WIDE_ORDERS, sql_jobs.WIDE_TIME), PROVINCE_STATS_COLUMNS
+    return _sql_job(t, "sql_provinces", rows, "unix_timestamp(create_time)", sql_jobs.province_job, view, columns)
 
 
 @q.query
@@ -209,15 +208,19 @@ def stream_visitor_stats(t: SampleTables) -> DataFrame:
 
 @q.query
 def stream_product_stats(t: SampleTables) -> DataFrame:
-    activity = _stored(t.spark, q.product_activity(t), "activity_rows")
-    return _replay(t.spark, product_stats.product_stats(activity), "product_stats")
+    path, activity = _new_dir(t.spark, "product_stats"), _stored(t.spark, q.product_activity(t), "activity_rows")
+    jobs.products(activity, path, once=True).awaitTermination()
+    stored = q.products_by_window(t).schema
+    return t.spark.read.schema(stored).parquet(f"{path}/rows").select(*product_stats.COLUMNS)
 
 
 @q.query
 def stream_province_stats(t: SampleTables) -> DataFrame:
     wide = order_wide.with_province(q.order_facts(t), t.dim_province())
-    stored = _stored(t.spark, wide, "wide_rows")
-    return _replay(t.spark, province_stats.province_stats(stored), "province_stats")
+    path, rows = _new_dir(t.spark, "province_stats"), _stored(t.spark, wide, "wide_rows")
+    jobs.provinces(rows, path, once=True).awaitTermination()
+    stored = q.provinces(t).schema
+    return t.spark.read.schema(stored).parquet(f"{path}/rows").select(*PROVINCE_STATS_COLUMNS)
 
 
 @q.query

@@ -94,3 +94,19 @@ def in_day(df: DataFrame, time: str, day: str | None, extra: str = "0 seconds")
 def with_watermark(df: DataFrame, time: str, delay: str | None) -> DataFrame:
     """Attach a watermark on streams; batch inputs pass through."""
     return df.withWatermark(time, delay) if delay and df.isStreaming else df
+
+
+def held(df: DataFrame, time: str, size: str = SIZE, delay: str = "1 second", spread: int = 32) -> DataFrame:
+    """The rows of a stream, let go when the watermark has passed the end of their window.
+
+    A window's rows all come out in one micro-batch, so what is counted per window can be counted on that
+    batch as on a table. The state has at most ``spread`` entries a window, each with its share of the rows,
+    dealt by content: far fewer than an entry per group, each of which is read, written and deleted one by
+    one. Rows behind the watermark and rows without a time are dropped, as by a windowed aggregate.
+    """
+    timed = with_watermark(df.filter(F.col(time).isNotNull()), time, delay)
+    deal = F.pmod(F.xxhash64(*df.columns), F.lit(spread)).alias("__deal")
+    packed = timed.groupBy(F.window(time, size).alias(WINDOW), deal).agg(
+        F.collect_list(F.struct(*df.columns)).alias("__rows")
+    )
+    return packed.select(F.explode("__rows").alias("__row")).select("__row.*")

@@ -19,6 +19,7 @@ AMOUNTS = ["order_amount", "payment_amount", "refund_amount"]
 ORDER_COUNTS = {"order_ct": "order", "paid_order_ct": "payment", "refund_order_ct": "refund"}
 DELAY = "1 second"
 TIME = "event_time"
+COLUMNS = ["stt", "edt", "sku_id", *COUNTS, *AMOUNTS, *ORDER_COUNTS, "ts"]
 
 
 def _rows(

@@ -16,16 +16,18 @@ KEYS = [
 DELAY = "1 second"
 
 
+def timed(wide: DataFrame) -> DataFrame:
+    """The columns that the statistics need, with the order's time."""
+    time = F.col(ORDER_TIME) if ORDER_TIME in wide.columns else text_time("create_time")
+    return wide.select(*KEYS, "order_id", "split_total_amount", time.alias(ORDER_TIME))
+
+
 def province_stats(
     wide: DataFrame, size: str = SIZE, delay: str = DELAY, day: str | None = None
 ) -> DataFrame:
-    time = F.col(ORDER_TIME) if ORDER_TIME in wide.columns else text_time("create_time")
-    rows = wide.select(
-        *KEYS, "order_id", "split_total_amount", time.alias("event_time")
-    )
-    timed = with_watermark(in_day(rows, "event_time", day), "event_time", delay)
+    rows = timed(wide).withColumnRenamed(ORDER_TIME, "event_time")
     return tumble_distinct(
-        timed,
+        with_watermark(in_day(rows, "event_time", day), "event_time", delay),
         "event_time",
         KEYS,
         ["order_id"],

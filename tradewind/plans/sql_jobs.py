@@ -18,6 +18,8 @@ WIDE_ORDERS = (
     "order_id BIGINT, province_id BIGINT, province_name STRING, province_area_code STRING, province_iso_code STRING, "
     "province_3166_2_code STRING, split_total_amount DECIMAL(16,2), create_time STRING"
 )
+# The event times of the two views, as SQL over their columns.
+PAGE_TIME, WIDE_TIME = "timestamp_seconds(ts div 1000)", "try_cast(create_time AS TIMESTAMP)"
 
 _BOUNDS = (
     "date_format(window.start, 'yyyy-MM-dd HH:mm:ss') AS stt, date_format(window.end, 'yyyy-MM-dd HH:mm:ss') AS edt"
@@ -71,12 +73,18 @@ def json_view(
     typed.createOrReplaceTempView(name)
 
 
+def with_time(lines: DataFrame, schema: str, row_time: str) -> DataFrame:
+    """``value, row_time``: the text and the event time of its view, for a job that holds lines by it."""
+    typed = lines.select("value", F.from_json("value", schema).alias("row")).select("value", "row.*")
+    return typed.select("value", F.expr(row_time).alias("row_time"))
+
+
 def keyword_job(spark: SparkSession, lines: DataFrame, delay: str = "1 second") -> DataFrame:
     register(spark)
-    json_view(lines, "search_page", SEARCH_PAGES, "timestamp_seconds(ts div 1000)", delay)
+    json_view(lines, "search_page", SEARCH_PAGES, PAGE_TIME, delay)
     return spark.sql(KEYWORDS)
 
 
 def province_job(spark: SparkSession, lines: DataFrame, delay: str = "1 second") -> DataFrame:
-    json_view(lines, "order_wide", WIDE_ORDERS, "try_cast(create_time AS TIMESTAMP)", delay)
+    json_view(lines, "order_wide", WIDE_ORDERS, WIDE_TIME, delay)
     return spark.sql(PROVINCES)

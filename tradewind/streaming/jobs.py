@@ -9,12 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tradewind.functions.json_text import with_parsed
-from tradewind.functions.times import at_ms, day_text
+from tradewind.functions.times import at_ms, at_second, day_text
 from tradewind.operators.visits import is_entry
+from tradewind.operators.windows import SIZE, held
 from tradewind.plans import (
     keyword_stats,
     log_split,
@@ -23,6 +25,8 @@ from tradewind.plans import (
     province_stats,
     visitor_stats,
 )
+from tradewind.plans.order_wide import ORDER_TIME
+from tradewind.schemas import KEYWORD_STATS_COLUMNS, PROVINCE_STATS_COLUMNS
 from tradewind.streaming import sinks
 from tradewind.streaming.stateful import bounces_stream, mark_late, repair_new_flag_stream
 
@@ -129,20 +133,41 @@ def _stats(rows: DataFrame, path: str, once: bool) -> StreamingQuery:
     return _job(rows, path, lambda out: sinks.stats_writer(out, rows.columns), once)
 
 
+def window_stats(
+    rows: DataFrame, time: str, plan: Callable[[DataFrame], DataFrame], path: str, columns: list[str], delay: str,
+    size: str = SIZE, once: bool = False,
+) -> StreamingQuery:
+    """Statistics per window by a plan over tables: rows are held until their window is over
+    (``windows.held``) and the plan runs on what each batch lets go. ``plan`` must group by that window."""
+    partitions = rows.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    writer = lambda out: sinks.by_batch(plan, sinks.stats_writer(out, columns), partitions)
+    return _job(held(rows, time, size, delay), path, writer, once)
+
+
 def visitors(pages: DataFrame, uv: DataFrame, uj: DataFrame, path: str, once: bool = False) -> StreamingQuery:
     return _stats(visitor_stats.visitor_stats(pages, uv, uj), path, once)
 
 
 def products(activity: DataFrame, path: str, once: bool = False) -> StreamingQuery:
-    return _stats(product_stats.product_stats(activity), path, once)
+    return window_stats(
+        activity, product_stats.TIME, product_stats.product_stats, path, product_stats.COLUMNS, product_stats.DELAY, once=once
+    )
 
 
 def provinces(wide: DataFrame, path: str, once: bool = False) -> StreamingQuery:
-    return _stats(province_stats.province_stats(wide), path, once)
+    rows = province_stats.timed(wide)
+    return window_stats(
+        rows, ORDER_TIME, province_stats.province_stats, path, PROVINCE_STATS_COLUMNS, province_stats.DELAY, once=once
+    )
 
 
 def keywords(pages: DataFrame, path: str, source=keyword_stats.SEARCH, once: bool = False) -> StreamingQuery:
-    return _stats(keyword_stats.keyword_stats(pages, source=source), path, once)
+    """Pages are held as they are; their words are split and counted when the window is over."""
+    source = F.lit(source) if isinstance(source, str) else source
+    searched = keyword_stats.searches(pages).select("last_page_id", "item", source.alias("source"), "ts")
+    timed = searched.withColumn("event_time", at_second("ts"))
+    plan = lambda batch: keyword_stats.keyword_stats(batch, source=F.col("source"))
+    return window_stats(timed, "event_time", plan, path, KEYWORD_STATS_COLUMNS, keyword_stats.DELAY, once=once)
 
 
 def keyword_words(
@@ -162,4 +187,17 @@ def keyword_words(
 
 
 def word_counts(words: DataFrame, path: str, once: bool = False) -> StreamingQuery:
-    return _stats(keyword_stats.count_words(words), path, once)
+    timed = words.select("source", "ts", "word").withColumn("event_time", at_second("ts"))
+    return window_stats(
+        timed, "event_time", keyword_stats.count_words, path, KEYWORD_STATS_COLUMNS, keyword_stats.DELAY, once=once
+    )
+
+
+def sql_stats(
+    timed: DataFrame, job: Callable[[SparkSession, DataFrame], DataFrame], path: str, columns: list[str],
+    delay: str = "1 second", once: bool = False,
+) -> StreamingQuery:
+    """A job of SQL text over lines with their event time (``sql_jobs.with_time``): the text is held by that
+    time, the statement runs on what each batch lets go."""
+    plan = lambda batch: job(batch.sparkSession, batch.select("value"))
+    return window_stats(timed, "row_time", plan, path, columns, delay, once=once)

@@ -112,6 +112,17 @@ def stats_writer(path: str, columns: list[str]) -> BatchWriter:
     return write
 
 
+def by_batch(plan: Callable[[DataFrame], DataFrame], write: BatchWriter, partitions: str) -> BatchWriter:
+    """Each batch through ``plan``, a plan over tables, then to ``write``. It shuffles to ``partitions``, as
+    a table would, not to the few state partitions of its stream."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        with _settings(batch.sparkSession, {"spark.sql.shuffle.partitions": partitions}):
+            write(plan(batch), batch_id)
+
+    return run
+
+
 def jdbc_writer(url: str, table: str, columns: list[str], **options: str) -> BatchWriter:
     """Rows to a database table by position, each batch whole (a replay may repeat it)."""
 
