@@ -323,3 +323,18 @@ def test_a_stream_opens_few_state_stores(spark, tmp_path, monkeypatch):
     assert len(folders) == 2 and not any((p / "left-keyToNumValues").exists() for p in folders)
     assert len([p for p in (tmp_path / "job" / "commits").iterdir() if p.name.isdigit()]) == 1
     assert list((tmp_path / "rows").glob("batch=*/*.gz")) and spark.read.text(f"{tmp_path}/rows/batch=*").count() == 1
+
+
+def test_windows_are_held_in_few_entries(spark, rows, tmp_path):
+    """A word counted per window does not cost an entry of state each: the state has at most 32 a window."""
+    pages = [("search", " ".join(f"w{i}" for i in range(k, k + 300)), "SEARCH", k * 1000) for k in range(20)]
+    schema = "last_page_id STRING, item STRING, source STRING, ts BIGINT"
+    spark.createDataFrame([*pages, ("search", "late", "SEARCH", None)], schema).write.parquet(str(tmp_path / "in"))
+    feed = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+    query = jobs.keywords(feed, str(tmp_path / "job"), F.col("source"), once=True)
+    query.awaitTermination()
+    state = [op for batch in query.recentProgress for op in batch["stateOperators"]]
+    assert state and max(op["numRowsUpdated"] for op in state) <= 2 * 32
+    got = tables.read_stats(spark, str(tmp_path / "job" / "rows"))
+    assert rows(got.filter("stt = '1970-01-01 00:00:00'"), "keyword", "ct")[:2] == [("w0", 1), ("w1", 2)]
+    assert got.filter("stt = '1970-01-01 00:00:00'").agg(F.sum("ct")).first()[0] == 3000
