@@ -11,6 +11,9 @@ from tradewind.functions.times import time_text
 
 SIZE = "10 seconds"
 WINDOW = "window"
+PART = "__part"
+# Tasks per shuffle partition where each of them holds a table of groups, and parts per such task, which evens them out.
+TASKS, SPREAD = 4, 32
 
 
 def _width_us(size: str) -> Column:
@@ -68,6 +71,32 @@ def tumble_distinct(
     return bounds_as_text(out, size)
 
 
+def _tasks(df: DataFrame) -> int:
+    return TASKS * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """The rows of a table in small parts (column ``PART``) by their content, before each becomes many rows."""
+    tasks = _tasks(df)
+    part = F.pmod(F.xxhash64(*df.columns), F.lit(SPREAD * tasks))
+    return df.withColumn(PART, part).repartition(tasks, PART)
+
+
+def tumble_dealt(
+    df: DataFrame, time: str, keys: list[str], partial: Mapping[str, Column], final: Mapping[str, Column], size: str = SIZE
+) -> DataFrame:
+    """Window aggregate of rows that were ``dealt``: inside each part, where the rows are, then over all parts.
+
+    Where nearly every row is a group of its own, a task's table of groups is as large as its share of the
+    rows, both before and after the shuffle. Here that share follows neither from the files nor from
+    how far adaptive execution puts partitions together.
+    """
+    timed = df.filter(F.col(time).isNotNull())
+    step = timed.groupBy(PART, _window(timed, time, size), *keys).agg(*[a.alias(n) for n, a in partial.items()])
+    step = step.drop(PART).repartition(_tasks(df), WINDOW, *keys)
+    return bounds_as_text(step.groupBy(WINDOW, *keys).agg(*[a.alias(n) for n, a in final.items()]), size)
+
+
 def bounds_as_text(df: DataFrame, size: str = SIZE) -> DataFrame:
     window = F.col(WINDOW)
     if df.isStreaming:

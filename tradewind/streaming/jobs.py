@@ -166,7 +166,7 @@ def keywords(pages: DataFrame, path: str, source=keyword_stats.SEARCH, once: boo
     source = F.lit(source) if isinstance(source, str) else source
     searched = keyword_stats.searches(pages).select("last_page_id", "item", source.alias("source"), "ts")
     timed = searched.withColumn("event_time", at_second("ts"))
-    plan = lambda batch: keyword_stats.keyword_stats(batch, source=F.col("source"))
+    plan = lambda batch: keyword_stats.keyword_stats(batch, source=F.col("source"), deal=False)
     return window_stats(timed, "event_time", plan, path, KEYWORD_STATS_COLUMNS, keyword_stats.DELAY, once=once)
 
 
