@@ -132,11 +132,11 @@ def stream_keyword_stats(t: SampleTables) -> DataFrame:
 @q.query
 def stream_keyword_cjk(t: SampleTables) -> DataFrame:
     """Words of searches written in ideographs, by a dictionary of part names: two jobs, three runs."""
-    path, schema = _new_dir(t.spark, "keyword_cjk"), "source STRING, ts BIGINT, word STRING"
+    path, schema = _new_dir(t.spark, "keyword_cjk"), "source STRING, ts BIGINT, word STRING, ct BIGINT"
 
     def run(s: dict[str, DataFrame]) -> None:
         named = lambda: q.cjk_dictionary(t)
-        jobs.keyword_words(s["pages"], named, f"{path}/words", F.col("source"), once=True).awaitTermination()
+        jobs.keyword_words(s["pages"], named, f"{path}/words", F.col("source"), once=True, counted=True).awaitTermination()
         words = tables.json_stream(t.spark, f"{path}/words/rows", schema)
         jobs.word_counts(words, f"{path}/counts", once=True).awaitTermination()
 

@@ -177,3 +177,20 @@ def split_words(df: DataFrame, text: str, dictionary: DataFrame | None = None) -
         looked_up.withColumnRenamed("key", "__key"), "__key"
     )
     return spaced.unionByName(named.select(*rest, F.explode("words").alias("word")))
+
+
+def count_split_words(df: DataFrame, text: str, dictionary: DataFrame) -> DataFrame:
+    """``split_words`` by a dictionary, counted (``ct``): one row per word and value of the other columns.
+
+    CJK runs are counted before they become words, which are far more.
+    """
+    rest = [name for name in df.columns if name != text]
+    spaced = _tokens(df, text, _SPACED_BREAK, _WORD_RUN).select(*rest, F.lower("word").alias("word"))
+    spaced = spaced.groupBy(*rest, "word").agg(F.count(F.lit(1)).alias("ct"))
+    runs = _runs(df, text).groupBy(*rest, "run").agg(F.count(F.lit(1)).alias("n"))
+    # The filter, which all rows pass, keeps the count, so that looking up and naming share what was shuffled.
+    looked_up = words_of_runs(runs.filter("n > 0").select("run"), dictionary).withColumnRenamed("key", "__key")
+    named = runs.filter("n > 0").select(*rest, _key().alias("__key"), "n").join(looked_up, "__key")
+    known = named.select(*rest, "n", F.explode("words").alias("word")).groupBy(*rest, "word").agg(F.sum("n").alias("ct"))
+    # Word runs have no CJK character and CJK words nothing else, so no word is in both.
+    return spaced.unionByName(known)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.functions.times import at_second
-from tradewind.functions.words import split_words
+from tradewind.functions.words import count_split_words, split_words
 from tradewind.operators.windows import PART, SIZE, dealt, in_day, tumble, tumble_dealt, with_watermark
 from tradewind.schemas import KEYWORD_STATS_COLUMNS
 
@@ -26,6 +26,13 @@ def search_words(
     return split_words(_searched(pages, source, day), "item", dictionary)
 
 
+def search_word_counts(
+    pages: DataFrame, dictionary: DataFrame, source: Column | str = SEARCH, day: str | None = None
+) -> DataFrame:
+    """``source, ts, word, ct``: ``search_words``, counted where source, time and word are equal."""
+    return count_split_words(_searched(pages, source, day), "item", dictionary)
+
+
 def _searched(pages: DataFrame, source: Column | str, day: str | None) -> DataFrame:
     source = F.lit(source) if isinstance(source, str) else source
     rows = searches(in_day(pages.withColumn("__time", at_second("ts")), "__time", day))
@@ -33,9 +40,10 @@ def _searched(pages: DataFrame, source: Column | str, day: str | None) -> DataFr
 
 
 def count_words(words: DataFrame, size: str = SIZE, delay: str = DELAY) -> DataFrame:
-    """Hits per word, source and window of ``search_words`` rows."""
+    """Hits per word, source and window of ``search_words`` or ``search_word_counts`` rows."""
     timed = with_watermark(words.withColumn("event_time", at_second("ts")), "event_time", delay)
-    keys, counts = ["word", "source"], {"ct": F.count(F.lit(1)), "ts": F.min("ts")}
+    hits = F.sum("ct") if "ct" in words.columns else F.count(F.lit(1))
+    keys, counts = ["word", "source"], {"ct": hits, "ts": F.min("ts")}
     if PART in words.columns:
         counted = tumble_dealt(timed, "event_time", keys, counts, {"ct": F.sum("ct"), "ts": F.min("ts")}, size)
     else:

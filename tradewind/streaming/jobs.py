@@ -171,23 +171,26 @@ def keywords(pages: DataFrame, path: str, source=keyword_stats.SEARCH, once: boo
 
 
 def keyword_words(
-    pages: DataFrame, load_dictionary: Callable[[], DataFrame], path: str, source=keyword_stats.SEARCH, once: bool = False
+    pages: DataFrame, load_dictionary: Callable[[], DataFrame], path: str, source=keyword_stats.SEARCH, once: bool = False,
+    counted: bool = False,
 ) -> StreamingQuery:
     """Searched words, CJK text by a dictionary that is read anew for every batch, as JSON rows.
 
     Looking up a run takes several steps over all its places, which is work for a batch; the windows
-    over its rows are a job of their own (``word_counts``).
+    over its rows are a job of their own (``word_counts``). ``counted``: equal words of a batch with the same
+    source and time are one row with their number (``ct``) instead of a row each.
     """
-
-    def writer(out: str) -> sinks.BatchWriter:
-        store = sinks.json_writer(out)
-        return lambda batch, number: store(keyword_stats.search_words(batch, load_dictionary(), source), number)
-
+    words = keyword_stats.search_word_counts if counted else keyword_stats.search_words
+    plan = lambda batch: words(batch, load_dictionary(), source)
+    partitions = pages.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    writer = lambda out: sinks.by_batch(plan, sinks.json_writer(out), partitions, coalesce=False)
     return _job(pages, path, writer, once)
 
 
 def word_counts(words: DataFrame, path: str, once: bool = False) -> StreamingQuery:
-    timed = words.select("source", "ts", "word").withColumn("event_time", at_second("ts"))
+    """Words per window of the rows of ``keyword_words``, counted or not."""
+    columns = [c for c in ("source", "ts", "word", "ct") if c in words.columns]
+    timed = words.select(*columns).withColumn("event_time", at_second("ts"))
     return window_stats(
         timed, "event_time", keyword_stats.count_words, path, KEYWORD_STATS_COLUMNS, keyword_stats.DELAY, once=once
     )

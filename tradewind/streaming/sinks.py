@@ -112,12 +112,14 @@ def stats_writer(path: str, columns: list[str]) -> BatchWriter:
     return write
 
 
-def by_batch(plan: Callable[[DataFrame], DataFrame], write: BatchWriter, partitions: str) -> BatchWriter:
+def by_batch(plan: Callable[[DataFrame], DataFrame], write: BatchWriter, partitions: str, coalesce: bool = True) -> BatchWriter:
     """Each batch through ``plan``, a plan over tables, then to ``write``. It shuffles to ``partitions``, as
-    a table would, not to the few state partitions of its stream."""
+    a table would, not to the few state partitions of its stream. ``coalesce``: whether small partitions are
+    put together; not where few bytes become many rows."""
+    settings = {"spark.sql.shuffle.partitions": partitions} | ({} if coalesce else {"spark.sql.adaptive.coalescePartitions.enabled": False})
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        with _settings(batch.sparkSession, {"spark.sql.shuffle.partitions": partitions}):
+        with _settings(batch.sparkSession, settings):
             write(plan(batch), batch_id)
 
     return run
