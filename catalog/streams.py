@@ -35,7 +35,7 @@ def _replay(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 def _stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """A layer written as a table and read as a stream, as between two jobs."""
     path = _new_dir(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.readStream.schema(df.schema).parquet(path)
 
 
@@ -51,7 +51,7 @@ def _in_slices(t: SampleTables, inputs: dict[str, tuple[DataFrame, str]], path:
         for name, (df, second) in inputs.items():
             low, high = (first + (last + 1 - first) * i // slices for i in (k, k + 1))
             low, high = (-(1 << 62) if k == 0 else low), (1 << 62 if k == slices - 1 else high)
-            df.filter(f"{second} >= {low} AND {second} < {high}").write.mode("append").parquet(f"{path}/{name}")
+            df.filter(f"{second} >= {low} AND {second} < {high}").write.mode("append").option("compression", "zstd").parquet(f"{path}/{name}")
         run({name: t.spark.readStream.schema(df.schema).parquet(f"{path}/{name}") for name, (df, _) in inputs.items()})
 
 

@@ -12,6 +12,7 @@ from tradewind.functions.times import time_text
 SIZE = "10 seconds"
 WINDOW = "window"
 PART = "__part"
+HELD, DEAL = "__held", "__deal"
 # Tasks per shuffle partition where each of them holds a table of groups, and parts per such task, which evens them out.
 TASKS, SPREAD = 4, 32
 
@@ -61,14 +62,16 @@ def tumble_distinct(
 
     First per (window, keys, distinct), then per (window, keys): ``final`` counts rows of the first
     step where it wants distinct values and sums its ``partial`` columns. No set is held per group,
-    a hot key spreads over its distinct values, and both steps run on streams too.
+    a hot key spreads over its distinct values, and both steps run on streams too. Rows ``held`` by some of
+    the keys lie together already: with the place they were held at among the keys, neither step moves them.
     """
     timed = df.filter(F.col(time).isNotNull())
-    step = timed.groupBy(_window(timed, time, size), *keys, *distinct).agg(
+    place = [c for c in (HELD, DEAL) if c in df.columns]
+    step = timed.groupBy(_window(timed, time, size), *place, *keys, *distinct).agg(
         *[a.alias(n) for n, a in partial.items()]
     )
-    out = step.groupBy(WINDOW, *keys).agg(*[a.alias(n) for n, a in final.items()])
-    return bounds_as_text(out, size)
+    out = step.groupBy(WINDOW, *place, *keys).agg(*[a.alias(n) for n, a in final.items()])
+    return bounds_as_text(out.drop(*place), size)
 
 
 def _tasks(df: DataFrame) -> int:
@@ -125,17 +128,24 @@ def with_watermark(df: DataFrame, time: str, delay: str | None) -> DataFrame:
     return df.withWatermark(time, delay) if delay and df.isStreaming else df
 
 
-def held(df: DataFrame, time: str, size: str = SIZE, delay: str = "1 second", spread: int = 32) -> DataFrame:
+def held(
+    df: DataFrame, time: str, size: str = SIZE, delay: str = "1 second", spread: int = 32, by: list[str] | None = None
+) -> DataFrame:
     """The rows of a stream, let go when the watermark has passed the end of their window.
 
     A window's rows all come out in one micro-batch, so what is counted per window can be counted on that
     batch as on a table. The state has at most ``spread`` entries a window, each with its share of the rows,
     dealt by content: far fewer than an entry per group, each of which is read, written and deleted one by
     one. Rows behind the watermark and rows without a time are dropped, as by a windowed aggregate.
+
+    ``by``: columns to deal by instead. Rows of a window that agree in them are then in one entry, which they
+    have to fit, and come out together, with their place (``HELD``, ``DEAL``): a plan that groups by these
+    columns and by the place needs no shuffle.
     """
     timed = with_watermark(df.filter(F.col(time).isNotNull()), time, delay)
-    deal = F.pmod(F.xxhash64(*df.columns), F.lit(spread)).alias("__deal")
+    deal = F.pmod(F.xxhash64(*(by or df.columns)), F.lit(spread)).alias(DEAL)
     packed = timed.groupBy(F.window(time, size).alias(WINDOW), deal).agg(
         F.collect_list(F.struct(*df.columns)).alias("__rows")
     )
-    return packed.select(F.explode("__rows").alias("__row")).select("__row.*")
+    place = [F.col(WINDOW).alias(HELD), DEAL] if by else []
+    return packed.select(*place, F.explode("__rows").alias("__row")).select(*([HELD, DEAL] if by else []), "__row.*")

@@ -22,12 +22,14 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
     # A join keeps one store per partition instead of four; no lookup only to count the rows of a store;
-    # a batch uploads its changes, packed well, instead of all files it wrote. A checkpoint keeps the
-    # join format it began with.
+    # a batch uploads its changes, packed well, instead of all files it wrote (``sinks.start`` turns that off
+    # for runs of one large batch); blocks large enough to pack well. A checkpoint keeps the join format it
+    # began with.
     "spark.sql.streaming.join.stateFormatVersion": "3",
     "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.compression": "zstd",
+    "spark.sql.streaming.stateStore.rocksdb.blockSizeKB": "32",
     "spark.sql.streaming.stateStore.compression.codec": "zstd",
 }
 

@@ -135,13 +135,14 @@ def _stats(rows: DataFrame, path: str, once: bool) -> StreamingQuery:
 
 def window_stats(
     rows: DataFrame, time: str, plan: Callable[[DataFrame], DataFrame], path: str, columns: list[str], delay: str,
-    size: str = SIZE, once: bool = False,
+    size: str = SIZE, once: bool = False, by: list[str] | None = None,
 ) -> StreamingQuery:
     """Statistics per window by a plan over tables: rows are held until their window is over
-    (``windows.held``) and the plan runs on what each batch lets go. ``plan`` must group by that window."""
+    (``windows.held``) and the plan runs on what each batch lets go. ``plan`` must group by that window, and by
+    the columns ``by``, if it is given and the plan is one that makes use of where the rows lie."""
     partitions = rows.sparkSession.conf.get("spark.sql.shuffle.partitions")
     writer = lambda out: sinks.by_batch(plan, sinks.stats_writer(out, columns), partitions)
-    return _job(held(rows, time, size, delay), path, writer, once)
+    return _job(held(rows, time, size, delay, by=by), path, writer, once)
 
 
 def visitors(pages: DataFrame, uv: DataFrame, uj: DataFrame, path: str, once: bool = False) -> StreamingQuery:
@@ -150,7 +151,8 @@ def visitors(pages: DataFrame, uv: DataFrame, uj: DataFrame, path: str, once: bo
 
 def products(activity: DataFrame, path: str, once: bool = False) -> StreamingQuery:
     return window_stats(
-        activity, product_stats.TIME, product_stats.product_stats, path, product_stats.COLUMNS, product_stats.DELAY, once=once
+        activity, product_stats.TIME, product_stats.product_stats, path, product_stats.COLUMNS, product_stats.DELAY, once=once,
+        by=["sku_id"],
     )
 
 

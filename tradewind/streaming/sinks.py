@@ -32,15 +32,21 @@ def start(
 
     A new checkpoint gets at most ``STORES_PER_CORE`` state partitions per core, as every batch opens and
     commits all of them. ``closes``: whether rows wait for the watermark; without (inner joins), no batch
-    runs only to drop state, which the next one with rows does.
+    runs only to drop state, which the next one with rows does. With ``once`` a batch changes so much state that
+    its files are uploaded anyway, so no list of the changes is kept beside them; a checkpoint may be taken up
+    either way.
     """
     writer = df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)
     spark = df.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     stores = min(partitions, max(1, int(STORES_PER_CORE * spark.sparkContext.defaultParallelism)))
+    settings = {
+        "spark.sql.shuffle.partitions": stores, "spark.sql.streaming.noDataMicroBatches.enabled": closes,
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": not once,
+    }
     # The stream takes a copy of the settings when it starts.
-    with _settings(spark, {"spark.sql.shuffle.partitions": stores, "spark.sql.streaming.noDataMicroBatches.enabled": closes}):
+    with _settings(spark, settings):
         return writer.start()
 
 
@@ -107,7 +113,7 @@ def stats_writer(path: str, columns: list[str]) -> BatchWriter:
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = with_day(batch.select(*columns))
-        rows.write.mode("overwrite").partitionBy("dt").parquet(f"{path}/{batch_folder(batch, batch_id)}")
+        rows.write.mode("overwrite").option("compression", "zstd").partitionBy("dt").parquet(f"{path}/{batch_folder(batch, batch_id)}")
 
     return write
 
