@@ -9,10 +9,12 @@ equal meets under one seed. Steps:
 1. documents go into slices of some megabytes, compressed, in a table bucketed by slice: every later pass
    reads it in place, only what is said about a slice travels to it;
 2. a slice lists its stretches: the runs of strings with one seed, as (seed, digest of the whole stretch)
-   with the smallest document of the slice. These lists go to parts of the seed space. There they
-   make the batches of a family of levels (``suffix_levels``): scanned against the levels, merged
-   geometrically. An answer per stretch goes back: held whole by a smaller document, alone with its seed,
-   or one of several with this seed;
+   with the smallest document of the slice, and a check of the bytes up to the middle before and behind the
+   seed. These lists go to parts of the seed space. There they make the batches of a family of levels
+   (``suffix_levels``): scanned against the levels, merged geometrically. An answer per stretch goes back:
+   held whole by a smaller document, alone, or one that may have a string in common with another. A common
+   string reaches over the middle on one side of the seed at least, so a stretch whose checks no other
+   stretch of its seed has is alone, however many share the seed;
 3. only the last kind is looked at byte by byte, once per distinct stretch: all its suffixes, cut to
    ``LENGTH`` bytes, go through a family of levels again, batch by batch a sorted suffix array, and come
    back with a mark per string that a smaller document has;
@@ -53,6 +55,7 @@ SLICE_BYTES = 2 << 20
 CROWD, CROWDED = 8, 4096
 ALONE, HELD, SHARED, CROWDS = range(4)
 _PLACE = np.uint64(20)  # bits of a place in a piece; the other 44 are those of a seed
+_PLACES = np.uint64((1 << 20) - 1)
 _PIECE = (1 << 18) - 256
 _BYTES_A_PART, _BYTES_A_STRING_PART = 16 << 20, 8 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -60,7 +63,7 @@ _UNBASE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _LETTERS = mixed(np.arange(1, 257, dtype=np.uint64) * _BASE)
 
 _SLICE = "slice long, bytes long, ids binary, lengths binary, text binary"
-_LIST = "part long, slice long, seeds binary, digests binary, docs binary, crowds binary"
+_LIST = "part long, slice long, seeds binary, digests binary, sides binary, docs binary, crowds binary"
 _STRINGS = "part long, slice long, crowded boolean, lengths binary, docs binary, text binary"
 _ANSWER = "slice long, kind int, part long, marks binary"
 
@@ -81,8 +84,12 @@ def _sliced(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number += 1
 
 
-def stretches(text: np.ndarray, lengths: np.ndarray, length: int = LENGTH, seed: int = SEED):
-    """Runs of strings with one seed: its hash, the run's digest, first string, number of strings, document."""
+def stretches(text: np.ndarray, lengths: np.ndarray, length: int = LENGTH, seed: int = SEED, sided: bool = False):
+    """Runs of strings with one seed: its hash, the run's digest, first string, number of strings, document, sides.
+
+    ``sides``: a check (16 bits) of the seed with the bytes that half of its strings have before it, another one
+    with those that the other half have behind it; 0 where the run does not reach that far, or if not ``sided``.
+    """
     ends = np.cumsum(lengths)
     starts, window = ends - lengths, length - seed + 1
     powers = np.cumprod(np.full(min(len(text), _PIECE + length) + 1, _BASE))
@@ -118,10 +125,17 @@ def stretches(text: np.ndarray, lengths: np.ndarray, length: int = LENGTH, seed:
         count = (stop - run).astype(np.int64)
         digest = mixed((sums[stop + length - 1] - sums[run]) * unpowers[run] + count.astype(np.uint64))
         # The smallest of many hashes are all small; mixed again, they spread over the seed space.
-        found.append((mixed(least[run] >> _PLACE) >> _PLACE, digest, run + at, count, some[doc]))
+        place = (least[run] & _PLACES).astype(np.int64)
+        sides = np.zeros((len(run), 2), np.uint16)
+        half = (length - seed) // 2
+        for side, begin, end in ((0, place - half, place + seed), (1, place, place + length - half + 1)) if sided else ():
+            whole = np.flatnonzero((begin >= run) & (end < stop + length))
+            check = mixed((sums[end[whole]] - sums[begin[whole]]) * unpowers[begin[whole]])
+            sides[whole, side] = check >> np.uint64(48) | np.uint64(1)
+        found.append((mixed(least[run] >> _PLACE) >> _PLACE, digest, run + at, count, some[doc], sides))
     if not found:
         none = np.empty(0, np.int64)
-        return none.astype(np.uint64), none.astype(np.uint64), none, none, none
+        return none.astype(np.uint64), none.astype(np.uint64), none, none, none, np.empty((0, 2), np.uint16)
     return tuple(np.concatenate(column) for column in zip(*found))
 
 
@@ -133,13 +147,15 @@ def part_of(seeds: np.ndarray, parts: int) -> np.ndarray:
 class Slice:
     """A slice's documents and its distinct stretches, in the order in which answers about them come back."""
 
-    def __init__(self, row: dict):
+    def __init__(self, row: dict, sided: bool = False):
         self.ids = np.frombuffer(row["ids"], np.int64)
         self.lengths = np.frombuffer(row["lengths"], np.int64)
         self.text = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["text"]), np.uint8)
-        seeds, digests, start, count, doc = stretches(self.text, self.lengths)
+        seeds, digests, start, count, doc, sides = stretches(self.text, self.lengths, sided=sided)
         order = np.lexsort((self.ids[doc], digests, seeds))
-        self.seeds, self.digests, self.start, self.count, self.doc = (x[order] for x in (seeds, digests, start, count, doc))
+        self.seeds, self.digests, self.start, self.count, self.doc, self.sides = (
+            x[order] for x in (seeds, digests, start, count, doc, sides)
+        )
         changed = self.seeds[1:] != self.seeds[:-1]
         first = np.ones(len(seeds), bool)
         first[1:] = changed | (self.digests[1:] != self.digests[:-1])
@@ -206,18 +222,19 @@ def _listed(parts: int):
 
     def run(table: pa.Table) -> pa.Table:
         row = table.to_pylist()[0]
-        own = Slice(row)
+        own = Slice(row, sided=True)
         part = part_of(own.seeds[own.first], parts)
         rows = []
         for p in np.unique(part):
             at = slice(*np.searchsorted(part, [p, p + 1]))
             crowd = own.crowd[at]
-            seeds, digests, docs = own.seeds[own.first[at]], own.digests[own.first[at]], own.lowest[at]
+            first, docs = own.first[at], own.lowest[at]
+            seeds, digests, sides = own.seeds[first], own.digests[first], own.sides[first]
             listed = ~crowd
             rows.append(
                 {
                     "part": int(p), "slice": row["slice"], "seeds": _deltas(seeds[listed]),
-                    "digests": digests[listed].tobytes(), "docs": _docs(docs[listed]),
+                    "digests": digests[listed].tobytes(), "sides": sides[listed].tobytes(), "docs": _docs(docs[listed]),
                     "crowds": np.unique(seeds[crowd]).tobytes(),
                 }
             )
@@ -233,32 +250,49 @@ def _arrow(ddl: str) -> pa.Schema:
 
 def _answered(table: pa.Table) -> pa.Table:
     """What a part of the seed space says about the stretches of each slice."""
-    batches, levels, crowds = [], Levels(), []
+    batches, levels, crowds, checks = [], Levels(), [], []
     for row in sorted(table.to_pylist(), key=lambda r: r["slice"]):
         digests = np.frombuffer(row["digests"], np.uint64)
         crowds.append(np.frombuffer(row["crowds"], np.uint64))
+        checks.append(np.frombuffer(row["sides"], np.uint16).reshape(-1, 2))
         seeds, docs = _undeltas(row["seeds"], len(digests)), _undocs(row["docs"], len(digests))
         pairs = np.column_stack([seeds, digests]).astype(">u8")
         keys = fixed(pairs.view(np.uint8).reshape(len(pairs), 16))
         batches.append((row["slice"], seeds, docs))
         levels.put(keys, docs)
     part, rows = table.column("part")[0].as_py(), []
-    known, lowest = np.empty(0, "S16"), np.empty(0, np.int64)
+    known, smallest, places = np.empty(0, "S16"), np.empty(0, np.int64), np.empty(0, np.int64)
     if any(len(docs) for _, _, docs in batches):
-        known, lowest = levels.whole()[0], levels.lowest()
-    names, stretches_of = np.unique(known.view(">u8").reshape(-1, 2)[:, 0].astype(np.uint64), return_counts=True)
+        (known, smallest), places = levels.whole(), levels.places()
+    sides = np.zeros((len(known), 2), np.uint16)
+    sides[places] = np.concatenate(checks)
+    seeds_of = known.view(">u8").reshape(-1, 2)[:, 0].astype(np.uint64)
+    names, name, stretches_of = np.unique(seeds_of, return_inverse=True, return_counts=True)
     crowded = np.isin(names, np.concatenate(crowds)) | (stretches_of > CROWDED)
-    said = np.where(crowded, CROWDS, np.where(stretches_of > 1, SHARED, ALONE)).astype(np.uint8)
+    said = np.where(crowded[name], CROWDS, ALONE).astype(np.uint8)
+    several = np.flatnonzero(~crowded[name] & (stretches_of[name] > 1))
+    said[several[_sided(name[several], sides[several])]] = SHARED
     at = 0
-    for number, seeds, docs in batches:
-        marks = said[np.searchsorted(names, seeds)] if len(seeds) else np.empty(0, np.uint8)
-        held = docs > lowest[at : at + len(docs)]
+    for number, _, docs in batches:
+        place = places[at : at + len(docs)]
+        marks, held = said[place], docs > smallest[place]
         at += len(docs)
         marks = np.where(held & (marks != CROWDS), np.uint8(HELD), marks)
         rows.append({"slice": number, "kind": 0, "part": part, "marks": marks.tobytes()})
     return pa.Table.from_pylist(rows, _arrow(_ANSWER))
 
 
+def _sided(name: np.ndarray, sides: np.ndarray) -> np.ndarray:
+    """Which of the distinct stretches, with the numbers of their seeds, have a side in common with another one."""
+    found = np.zeros(len(name), bool)
+    for side in range(2):
+        reach = np.flatnonzero(sides[:, side])
+        own = name[reach].astype(np.uint64) << np.uint64(16) | sides[reach, side].astype(np.uint64)
+        _, group, members = np.unique(own, return_inverse=True, return_counts=True)
+        found[reach] |= members[group] > 1
+    return found
+
+
 def _spelt(parts: int):
     """What has to be compared by its bytes: shared stretches by seed, the strings of crowds one by one."""
 

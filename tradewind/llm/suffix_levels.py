@@ -78,7 +78,11 @@ class Levels:
             self._merge()
         return self.levels[0]
 
+    def places(self) -> np.ndarray:
+        """Where each string put is among all of them, in the order of putting."""
+        known = self.whole()[0]
+        return np.concatenate([np.searchsorted(known, keys)[place] for keys, place in self.batches])
+
     def lowest(self) -> np.ndarray:
         """The smallest document of each string put, in the order of putting."""
-        known, docs = self.whole()
-        return np.concatenate([docs[np.searchsorted(known, keys)][place] for keys, place in self.batches])
+        return self.whole()[1][self.places()]
